@@ -189,7 +189,7 @@ def near_groups(docs: DataFrame, k: int = 3, radius: int = 3, block: int = 2048)
     return rows.join(joined, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th"))).select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, k: int = 5, radius: int = 6, most: int = 22, block: int = 2048) -> DataFrame:
+def similar_groups(docs: DataFrame, k: int = 5, radius: int = 6, most: int = 20, block: int = 2048) -> DataFrame:
     """doc_id, th, component_id: groups of documents of about 0.8 or more similarity of their k-word shingles.
 
     Candidates: fingerprints of distinct long words within ``radius`` bits (every such pair collides).
