@@ -151,13 +151,14 @@ class Codec:
     the results are kept as little-endian ids, up to ``most`` cuts.
     """
 
-    def __init__(self, data: bytes, verify: bool, most: int = 1_000_000):
+    def __init__(self, data: bytes, verify: bool, most: int = 300_000):
         self.tokenizer, self.verify, self.most = build_tokenizer(data), verify, most
         m = parse_model(data)
         if m["squeeze"] or not m["dummy_prefix"] or m["charsmap"] or not self.tokenizer.pre_tokenizer:
             self.cut = None  # such a model's texts are encoded whole
         else:
             self.cut = re.compile(" +[^ ]*").findall
+            self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
         # what each id stands for, as bytes: byte pieces join to characters
         self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
         self.ids: dict[str, bytes] = {}
@@ -170,7 +171,9 @@ class Codec:
 
     def learn(self, cuts: list[str]) -> None:
         whole = cuts if self.cut is None else [c[1:] for c in cuts]  # the dummy prefix stands for the first blank
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+        # cuts are normalised already: blanks are markers
+        given = whole if self.cut is None else [c.replace(" ", MARK) for c in cuts]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
         back = (b"".join(map(self.surface.__getitem__, x)).decode("utf-8", "replace")[1:] for x in found)
         self.bad.update(c for c, w, x in zip(cuts, whole, back, strict=True) if w != x)
         if self.verify:
