@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import lodestone
+
+# Python functions travel with their code: executors need no copy of this library.
+cloudpickle.register_pickle_by_value(lodestone)
+
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}
