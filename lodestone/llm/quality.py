@@ -99,7 +99,8 @@ def train(texts: list[str], labels: list[int], hidden: int = 24, gate: int = 12,
     """Model parameters by Adam on the document log-loss; None without both labels."""
     if len(set(labels)) < 2:
         return None
-    x, n = passages(texts)
+    parts = [passages(texts[i : i + 100]) for i in range(0, len(texts), 100)]
+    x, n = (np.concatenate(p) for p in zip(*parts, strict=True))
     y, rng = np.array(labels, float), np.random.default_rng(seed)
     mean, std = x.mean(0), x.std(0) + 1e-3
     d = x.shape[1]
@@ -157,7 +158,7 @@ def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: i
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 6000) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
     """doc_id, held_out, score, predicted; rows whose crc32 mod 5 is 0 are held out of training."""
     model = train(*training_sample(docs, labels, "quality", remainder(5) != 0, most))
     return scored(docs, model).select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")

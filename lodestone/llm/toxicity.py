@@ -123,11 +123,20 @@ def beginnings(word: str) -> list[str]:
 
 def offending(texts: list[str], labels: list[int], share: float = 0.03, ratio: float = 9) -> set[str]:
     """Words and beginnings of words that mark toxic documents: in at least that share of them, and there so many times as often as elsewhere."""
-    seen = {0: Counter(), 1: Counter()}
-    for t, y in zip(texts, labels, strict=True):
-        seen[y].update({b for w in set(WORD.findall(t.lower())) for b in beginnings(w)})
     toxic, clean = labels.count(1), labels.count(0)
-    return {w for w, c in seen[1].items() if c >= max(3, share * toxic) and c / toxic >= ratio * (seen[0][w] + 0.5) / clean}
+
+    def counted(y: int, only: set[str] | None) -> Counter:
+        seen = Counter()
+        for t, label in zip(texts, labels, strict=True):
+            if label == y:
+                found = {b for w in set(WORD.findall(t.lower())) for b in beginnings(w)}
+                seen.update(found if only is None else found & only)
+        return seen
+
+    # only what is frequent in toxic documents is counted in the others
+    often = {w: c for w, c in counted(1, None).items() if c >= max(3, share * toxic)}
+    elsewhere = counted(0, set(often))
+    return {w for w, c in often.items() if c / toxic >= ratio * (elsewhere[w] + 0.5) / clean}
 
 
 def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5) -> dict | None:
@@ -143,20 +152,22 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
         hit = [c for c in cuts if any(c[1])]
         plain = [c for c in cuts if not any(c[1]) and len(c[0]) > 1]
         windows += hit + [plain[i] for i in rng.permutation(len(plain))[: 3 + len(hit)]]
-    cache: dict[str, list[int]] = {}
     b = len(windows)
-    feats, tags, live = np.full((b, WINDOW, OWN + 2), SLOTS), np.zeros((b, WINDOW)), np.zeros((b, WINDOW), bool)
+    known = {w: i for i, w in enumerate(sorted({w for words, _ in windows for w in words}))}
+    table = np.array([slots_of(w) for w in known], np.int32)
+    feats, tags, live = np.full((b, WINDOW, OWN + 2), SLOTS, np.int32), np.zeros((b, WINDOW), np.int8), np.zeros((b, WINDOW), bool)
     for i, (words, y) in enumerate(windows):
-        f = np.array([cache.get(w) or cache.setdefault(w, slots_of(w)) for w in words])
+        f = table[[known[w] for w in words]]
         k = len(words)
         feats[i, :k, :OWN] = f[:, :OWN]
         feats[i, 1:k, OWN], feats[i, : k - 1, OWN + 1] = f[:-1, OWN], f[1:, OWN + 1]
         tags[i, :k], live[i, :k] = y, True
+    del windows, known, table
     weights, bias, trans = np.zeros(SLOTS + 1), -2.0, np.array([0.0, -1.0, 0.0, -1.0])
     sums, tsum, bsum = np.full(SLOTS + 1, 1e-6), np.full(4, 1e-6), 1e-6
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(b), max(1, b // 256)):
-            f, y, on = feats[rows], tags[rows], live[rows]
+            f, y, on = feats[rows], tags[rows].astype(float), live[rows]
             e = np.where(on, np.clip(weights[f].sum(2) + bias, -30, 30), 0)
             t00, t01, t10, t11 = np.exp(trans)
             x, fw, bw = np.exp(e), np.ones_like(e), np.ones_like(e)
@@ -185,7 +196,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
             tsum += gt * gt
             trans = trans - 0.2 * gt / np.sqrt(tsum)
     model = {"weights": weights.astype(np.float32)[:SLOTS], "bias": float(bias), "transitions": trans, "logistic": np.zeros(3)}
-    total, top, _, _ = Chain(model).documents(texts)
+    chain = Chain(model, 100_000)
+    parts = [chain.documents(texts[i : i + 100])[:2] for i in range(0, len(texts), 100)]
+    total, top = (np.concatenate(x) for x in zip(*parts, strict=True))
     z, y, w = np.stack([np.ones(len(total)), np.log1p(total), top], 1), np.array(labels, float), np.zeros(3)
     for _ in range(30):  # Newton's method with a small ridge
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -193,9 +206,6 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
     return model | {"logistic": w}
 
 
-_chains: dict[int, Chain] = {}
-
-
 def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: int = 1 << 21) -> DataFrame:
     """doc_id, score, predicted, spans (start, end, probability) for every row; code point offsets."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the hashed weights: a fixed number of slots
@@ -248,12 +258,12 @@ def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.5) -
     return docs.mapInArrow(run, docs.schema)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = 6000) -> dict | None:
+def fitted(docs: DataFrame, labels: DataFrame, most: int = 4000) -> dict | None:
     """A model from at most ``most`` labelled documents whose crc32 mod 4 is not 2."""
     return train(*training_sample(docs, labels, "toxic", remainder(4) != 2, most))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = 6000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_spans; rows whose crc32 mod 4 is 2 are held out of training."""
     out = scored(docs, fitted(docs, labels, most))
     return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
