@@ -13,7 +13,8 @@ meet pairwise.  A bucket of at most ``block`` fingerprints is compared in one ta
 of a spanning forest, never all of its pairs.  A larger bucket is solved exactly by meeting points:
 every member emits the points within ceil(r / 2) bits of it (among the bits that the mask leaves
 free); two members are within r exactly if a point of one's inner ball lies in the other's outer
-ball, and all members around such a point form one star.  That is linear in the bucket.
+ball, and all members around such a point form one star.  That is linear in the bucket.  Where further
+fingerprints decide, a larger bucket is solved by pivots and then exactly among what they leave apart.
 
 Nulls and ties: a null or blank text has fingerprint zero and is linked like any other; rows with a
 null doc_id get a fingerprint and take part in links but carry no smallest id (a component of such
@@ -156,23 +157,59 @@ def links(prints: DataFrame, radius: int = 3, block: int = 2048, check: tuple[st
     found = lists.select("members").mapInPandas(compare, "u bigint, v bigint").distinct()
     dense = shared.where(F.col("n") > block)
     if check:
-        return found.union(_pivot_links(dense, names, limit, block))
+        return _dense_links(checkpointed(found), dense, names, limit, block)
     points = _meeting_points(dense.select("m", "fp"), masks, radius)
     return found.union(points)
 
 
-def _pivot_links(dense: DataFrame, names: list[str], limit: int, block: int) -> DataFrame:
-    """Links in buckets over the block size when check columns decide.
+def _dense_links(found: DataFrame, dense: DataFrame, names: list[str], limit: int, block: int, pivots: int = 8) -> DataFrame:
+    """found and the links that buckets over the block size add when check columns decide.
 
-    The bucket is cut into sub-blocks by a hash of the node; every member meets the smallest node of
-    each sub-block, and the members of a sub-block are compared among themselves.  A bucket of n nodes
-    costs n * n / block comparisons in the join, of which only links come out.
+    First every member meets a few pivots of its bucket, which joins a family of near copies in linear
+    time.  The components of the links so far are then known: of each bucket only the members outside
+    its most common component (usually few) still meet all others, in pairs of pieces of about half a
+    block each.  Two components that meet give one link, so no pair is lost and never all are emitted.
     """
-    cut = dense.withColumn("piece", F.pmod(F.xxhash64("node"), (F.col("n") * 2 / block + 1).cast("long")))
-    pivots = cut.groupBy("m", "key", "piece").agg(F.min_by(F.struct("node", *names), "node").alias("p")).select(F.col("m").alias("m2"), F.col("key").alias("key2"), "p")
-    d = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"p.{c}"))) for c in names), F.lit(0))
-    met = cut.join(pivots, (F.col("m") == F.col("m2")) & (F.col("key") == F.col("key2")) & (d <= limit) & (F.col("node") != F.col("p.node")))
-    return met.select(F.col("node").alias("u"), F.col("p.node").alias("v")).distinct()
+    if dense.isEmpty():
+        return found
+
+    def d(a: str, b: str):
+        return sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in names), F.lit(0))
+
+    keys = [F.col("m") == F.col("m2"), F.col("key") == F.col("key2")]
+    chosen = dense.groupBy("m", "key", F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("piece")).agg(F.min_by(F.struct("node", *names), "node").alias("p")).select(F.col("m").alias("m2"), F.col("key").alias("key2"), "p")
+    met = dense.join(chosen, keys + [d("", "p.") <= limit, F.col("node") != F.col("p.node")])
+    first = checkpointed(found.union(met.select(F.col("node").alias("u"), F.col("p.node").alias("v"))).distinct())
+
+    named = components(first).select(F.col("node").alias("k"), F.col("component").alias("label"))
+    marked = checkpointed(dense.join(named, F.col("node") == F.col("k"), "left").select("m", "key", "n", "node", F.coalesce("label", "node").alias("label"), *names))
+    shares = marked.groupBy("m", "key", "label").agg(F.count(F.lit(1)).alias("c"))
+    mains = shares.groupBy("m", "key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.sum("c").alias("all"), F.max("c").alias("c"))
+    left = mains.where(F.col("c") < F.col("all")).select(F.col("m").alias("m2"), F.col("key").alias("key2"), "main", (F.col("all") - F.col("c")).alias("r"))
+    split = marked.join(left, keys).select("m", "key", "node", "label", *names, (F.col("label") != F.col("main")).alias("rest"), (F.col("n") * 2 / block + 1).cast("long").alias("wide"), (F.col("r") * 2 / block + 1).cast("long").alias("deep"))
+    h, one = F.xxhash64("node"), F.lit(1).cast("long")
+    cells = [F.col(x) for x in ("m", "key", "node", "label", *names)]
+    all_of_them = split.select(*cells, F.lit(False).alias("asks"), F.pmod(h, "wide").alias("a"), F.explode(F.sequence(one, F.col("deep"))).alias("b"))
+    asking = split.where("rest").select(*cells, F.lit(True).alias("asks"), F.explode(F.sequence(one, F.col("wide"))).alias("a"), (F.pmod(h, "deep") + 1).alias("b")).withColumn("a", F.col("a") - 1)
+
+    def compare(batches):
+        for pdf in batches:
+            u, v = [], []
+            for members in pdf["members"]:
+                ask = np.array([r["asks"] for r in members], bool)
+                nodes, label = (np.array([r[x] for r in members], np.int64) for x in ("node", "label"))
+                cols = [np.array([r[c] for r in members], dtype=np.int64).view(np.uint64) for c in names]
+                near = sum(np.bitwise_count(c[ask][:, None] ^ c[~ask][None, :]).astype(np.int16) for c in cols) <= limit
+                i, j = np.nonzero(near & (label[ask][:, None] != label[~ask][None, :]))
+                seen = {(int(x), int(y)): k for k, (x, y) in enumerate(zip(label[ask][i], label[~ask][j], strict=True))}
+                u += [int(nodes[ask][i[k]]) for k in seen.values()]
+                v += [int(nodes[~ask][j[k]]) for k in seen.values()]
+            yield pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
+
+    pieces = all_of_them.unionByName(asking).groupBy("m", "key", "a", "b").agg(F.collect_list(F.struct("asks", "node", "label", *names)).alias("members"))
+    # a piece without askers, or with askers alone, has nothing to compare
+    pieces = pieces.where(F.exists("members", lambda x: x["asks"]) & F.exists("members", lambda x: ~x["asks"]))
+    return first.union(pieces.select("members").mapInPandas(compare, "u bigint, v bigint")).distinct()
 
 
 def near_groups(docs: DataFrame, k: int = 3, radius: int = 3, block: int = 2048) -> DataFrame:

@@ -83,6 +83,31 @@ def test_links_in_dense_buckets(spark, block):
     assert {v: got.get(v, v) for v in signed} == {v: signed[label[i]] for i, v in enumerate(signed)}
 
 
+@pytest.mark.parametrize("block", [2048, 8, 2])
+def test_checked_links_lose_nothing_in_dense_buckets(spark, block):
+    """Candidates within 6 bits, links within 20 bits of two more fingerprints; chains reach beyond any pivot."""
+    import random
+
+    rng, rows = random.Random(4), set()
+    flip = lambda x, bits, k: x ^ sum(1 << b for b in rng.sample(range(bits), k))
+    for _ in range(3):
+        f, g = rng.getrandbits(64), rng.getrandbits(128)
+        for _ in range(25):
+            rows.add((flip(f, 64, rng.choice([0, 1, 3])), flip(g, 128, rng.choice([4, 9, 12]))))
+        for _ in range(12):  # a chain, each 15 bits from the one before
+            g = flip(g, 128, 15)
+            rows.add((f, g))
+    rows = sorted(rows)
+    low = lambda x: near_dedup.signed(x & near_dedup.M64)
+    df = spark.createDataFrame([(i, low(f), low(g), low(g >> 64)) for i, (f, g) in enumerate(rows)], "node long, fp long, g0 long, g1 long")
+    near = [(a, b) for a, b in combinations(range(len(rows)), 2) if (rows[a][0] ^ rows[b][0]).bit_count() <= 6 and (rows[a][1] ^ rows[b][1]).bit_count() <= 20]
+    # pairs that share a bucket by chance are candidates too, so only their distance is held against the links
+    fair = [(a, b) for a, b in combinations(range(len(rows)), 2) if (rows[a][1] ^ rows[b][1]).bit_count() <= 20]
+    found = [(r.u, r.v) for r in near_dedup.links(df, 6, block, ("g0", "g1"), 20).collect()]
+    label = smallest(len(rows), found)
+    assert all(label[a] == label[b] for a, b in near) and {tuple(sorted(x)) for x in found} <= set(fair)
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 6])
 def test_masks_cover(radius):
     import random
