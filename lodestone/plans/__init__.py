@@ -1,3 +1,3 @@
 """Named queries over the tables of a data folder; importing this registers them."""
 
-from lodestone.plans import graphs, logs, scans, search, statistics, texts  # noqa: F401
+from lodestone.plans import graphs, listings, logs, scans, search, statistics, texts  # noqa: F401
