@@ -25,6 +25,7 @@ import struct
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,7 +185,9 @@ class Codec:
         if len(self.ids) > self.most:
             self.ids.clear(), self.bad.clear(), self.other.clear()
         cuts = [[t] if self.cut is None else self.cut(f" {t.replace(MARK, ' ')}") if t else [] for t in texts]
-        self.learn([c for c in set().union(*cuts) if c not in self.ids])
+        new = [c for c in set().union(*cuts) if c not in self.ids]
+        for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
+            self.learn(new[i : i + 4096])
         ids = [b"".join(map(self.ids.__getitem__, c)) for c in cuts]
         round_trip = [(not self.bad or self.bad.isdisjoint(c)) and MARK not in t for c, t in zip(cuts, texts, strict=True)]
         return ids, round_trip, [not self.other or self.other.isdisjoint(c) for c in cuts]
@@ -198,16 +201,16 @@ def _codec(data: bytes, verify: bool) -> Codec:
     return _built[key]
 
 
-def _batches(texts: list[str], most: int = 1 << 20):
-    """Slices of about a megabyte of text, so that memory follows the batch and not the partition."""
+def pieces(column: pa.Array, most: int = 1 << 20):
+    """Slices of about a megabyte of a string column, so that memory follows the slice and not the batch."""
     at = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        size += n
         if size >= most:
-            yield slice(at, i + 1)
+            yield column.slice(at, i + 1 - at)
             at, size = i + 1, 0
-    if at < len(texts):
-        yield slice(at, len(texts))
+    if at < len(column):
+        yield column.slice(at)
 
 
 def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame:
@@ -223,12 +226,13 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         codec = _codec(shared.value, verify)
         for batch in batches:
-            texts, doc_ids = batch.column("t").to_pylist(), batch.column("doc_id")
-            for part in _batches(texts):
-                ids, round_trip, same = codec.encode(texts[part])
+            at = 0
+            for part in pieces(batch.column("t")):
+                ids, round_trip, same = codec.encode(part.to_pylist())
                 ends = np.cumsum([0, *map(len, ids)]) // 4
                 values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                columns = [doc_ids.slice(part.start, part.stop - part.start), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same if verify else [None] * len(ids), pa.bool_())]
+                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same if verify else [None] * len(ids), pa.bool_())]
+                at += len(part)
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
