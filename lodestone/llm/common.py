@@ -49,6 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Arrow batches of about ``size`` bytes, so that a Python worker's memory follows neither the number of
+    rows nor their length; a size that the session names already is left alone."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(size))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and cuts the lineage, so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

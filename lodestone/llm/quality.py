@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import whole_text
+from lodestone.llm.common import bounded_batches, whole_text
 from lodestone.llm.labelled import remainder, training_sample
 
 PASSAGE, PAIRS, RUNS = 512, 64, 256
@@ -141,6 +141,7 @@ def score(model: dict | None, texts: list[str]) -> np.ndarray:
 
 def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: int = 1 << 20) -> DataFrame:
     """doc_id, score, predicted for every row; chunk: characters of text worked on at once."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

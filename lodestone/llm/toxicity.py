@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import whole_text
+from lodestone.llm.common import bounded_batches, whole_text
 from lodestone.llm.labelled import remainder, training_sample
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -208,6 +208,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
 
 def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: int = 1 << 21) -> DataFrame:
     """doc_id, score, predicted, spans (start, end, probability) for every row; code point offsets."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the hashed weights: a fixed number of slots
 
     def run(batches):
@@ -245,6 +246,7 @@ def _score(chain: Chain | None, texts: list[str]) -> tuple[np.ndarray, list[list
 
 def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.5) -> DataFrame:
     """The rows of docs that score below the threshold, with all columns, in one pass."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
