@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import whole_text
+from lodestone.llm.common import bounded_batches, whole_text
 
 MARK = "▁"
 # Piece kinds and model kinds of the file format.
@@ -218,6 +218,7 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame
 
     round_trip: the ids decode to the text.  parity: the SentencePiece library gives the same ids.
     """
+    bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
         data = f.read()
     shared = docs.sparkSession.sparkContext.broadcast(data)  # one vocabulary: its size is the model file's
@@ -241,6 +242,7 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame
 
 def decoded(tokens: DataFrame, model_file: str) -> DataFrame:
     """doc_id, text from doc_id, ids."""
+    bounded_batches(tokens.sparkSession)
     with open(model_file, "rb") as f:
         shared = tokens.sparkSession.sparkContext.broadcast(f.read())
 
