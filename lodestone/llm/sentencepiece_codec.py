@@ -148,11 +148,13 @@ class Codec:
     """Encodes whole texts by way of their distinct pieces between blanks.
 
     A cut starts at each run of blanks, where no merge crosses.  New cuts of a batch are encoded
-    together by the library's threads, decoded again, and compared with the SentencePiece library;
-    the results are kept as little-endian ids, up to ``most`` cuts.
+    together by the library's threads, decoded again, and compared with the SentencePiece library; a
+    slice of cuts is compared as a whole first, and cut by cut only where that finds a difference.
+    The results are kept as little-endian ids, up to about ``most`` cuts in two generations: when the
+    younger is full it becomes the older, and what is still used moves back.
     """
 
-    def __init__(self, data: bytes, verify: bool, most: int = 300_000):
+    def __init__(self, data: bytes, verify: bool, most: int = 500_000):
         self.tokenizer, self.verify, self.most = build_tokenizer(data), verify, most
         m = parse_model(data)
         if m["squeeze"] or not m["dummy_prefix"] or m["charsmap"] or not self.tokenizer.pre_tokenizer:
@@ -160,9 +162,12 @@ class Codec:
         else:
             self.cut = re.compile(" +[^ ]*").findall
             self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
+        self.prefix = " " if m["dummy_prefix"] else ""
         # what each id stands for, as bytes: byte pieces join to characters
         self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
+        self.sizes = np.array([len(x) for x in self.surface], np.int64)
         self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.bad: set[str] = set()  # cuts that do not decode to themselves
         self.other: set[str] = set()  # cuts that the SentencePiece library encodes otherwise
         if verify:
@@ -170,22 +175,54 @@ class Codec:
 
             self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
 
+    def apart(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all cuts one after another, and where each cut's end."""
+        given = cuts if self.cut is None else [c.replace(" ", MARK) for c in cuts]  # such cuts are normalised already
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
+        return np.array([i for x in lists for i in x], "<i4"), np.cumsum([len(x) for x in lists])
+
+    def together(self, cuts: list[str], run: int = 512) -> np.ndarray:
+        """The same ids, from one encoding per run of cuts, whose words they are."""
+        given = [c.replace(" ", MARK) for c in cuts]
+        runs = [given[i : i + run] for i in range(0, len(given), run)]
+        return np.concatenate([np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)])
+
+    def decoded(self, flat: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """What ids stand for, and where each one starts (and the last ends)."""
+        return b"".join(map(self.surface.__getitem__, flat.tolist())), np.concatenate([[0], np.cumsum(self.sizes[flat])])
+
     def learn(self, cuts: list[str]) -> None:
         whole = cuts if self.cut is None else [c[1:] for c in cuts]  # the dummy prefix stands for the first blank
-        # cuts are normalised already: blanks are markers
-        given = whole if self.cut is None else [c.replace(" ", MARK) for c in cuts]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
-        back = (b"".join(map(self.surface.__getitem__, x)).decode("utf-8", "replace")[1:] for x in found)
-        self.bad.update(c for c, w, x in zip(cuts, whole, back, strict=True) if w != x)
+        expected = [(self.prefix + w).encode() for w in whole]
+        flat = ends = None
+        if self.cut:
+            flat = self.together(cuts)
+            back, at = self.decoded(flat)
+            sizes = np.cumsum([len(x) for x in expected])
+            ends = np.searchsorted(at, sizes)
+            if back != b"".join(expected) or not np.array_equal(at[ends], sizes):
+                flat = None  # some cut does not decode to itself: its ids do not tell where it ends
+        if flat is None:
+            flat, ends = self.apart(cuts)
+            back, at = self.decoded(flat)
+            self.bad.update(c for c, x, i, j in zip(cuts, expected, [0, *at[ends[:-1]]], at[ends], strict=True) if back[i:j] != x)
+        ours, starts, ends = flat.tolist(), [0, *ends[:-1].tolist()], ends.tolist()
         if self.verify:
-            self.other.update(c for c, x, y in zip(cuts, found, self.library.encode(whole, num_threads=1), strict=True) if x != y)
-        self.ids.update((c, np.array(x, "<i4").tobytes()) for c, x in zip(cuts, found, strict=True))
+            theirs = self.library.encode(whole, num_threads=1)
+            self.other.update(c for c, x, i, j in zip(cuts, theirs, starts, ends, strict=True) if x != ours[i:j])
+        raw = flat.tobytes()
+        self.ids.update((c, raw[4 * i : 4 * j]) for c, i, j in zip(cuts, starts, ends, strict=True))
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
-        if len(self.ids) > self.most:
-            self.ids.clear(), self.bad.clear(), self.other.clear()
+        if len(self.ids) > self.most // 2:
+            self.older, self.ids = self.ids, {}
+            self.bad &= self.older.keys()
+            self.other &= self.older.keys()
         cuts = [[t] if self.cut is None else self.cut(f" {t.replace(MARK, ' ')}") if t else [] for t in texts]
-        new = [c for c in set().union(*cuts) if c not in self.ids]
+        missing = set().union(*cuts).difference(self.ids)
+        known = missing.intersection(self.older)
+        self.ids.update((c, self.older[c]) for c in known)
+        new = list(missing - known)
         for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
             self.learn(new[i : i + 4096])
         ids = [b"".join(map(self.ids.__getitem__, c)) for c in cuts]
