@@ -51,36 +51,37 @@ def _kinds() -> np.ndarray:
     return table
 
 
+BY_KIND = np.eye(KINDS)[_kinds()]
+
+
+def _counted(values: np.ndarray, ok: np.ndarray, bins: int) -> np.ndarray:
+    """How often each value below ``bins`` is in each row where ok."""
+    total = len(values)
+    at = np.add(values, (np.arange(total) * bins)[:, None], dtype=np.int64)
+    at[~ok] = total * bins  # a bin of its own
+    return np.bincount(at.ravel(), minlength=total * bins + 1)[: total * bins].reshape(total, bins)
+
+
 def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows of all passages, and the number of passages of each text."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    n = np.array([max(1, -(-len(r) // PASSAGE)) for r in raw])
-    flat = np.zeros(n.sum() * PASSAGE, np.uint8)
-    used = np.zeros(n.sum())
-    at = 0
-    for r, k in zip(raw, n, strict=True):
-        flat[at * PASSAGE : at * PASSAGE + len(r)] = np.frombuffer(r, np.uint8)
-        used[at : at + k] = PASSAGE
-        used[at + k - 1] = len(r) - (k - 1) * PASSAGE
-        at += k
-    total = int(n.sum())
-    place = np.arange(flat.size) % PASSAGE
-    whole = np.repeat(used, PASSAGE)
-    row = np.repeat(np.arange(total), PASSAGE)
-    ok = place < whole
-    kinds = np.bincount(row[ok] * KINDS + _kinds()[flat[ok]], minlength=total * KINDS).reshape(total, KINDS)
-    x = flat.astype(np.int64)
-    ok2 = place < whole - 1
-    ok2[-1:] = False
-    i = np.nonzero(ok2)[0]
-    pairs = np.bincount(row[i] * PAIRS + (x[i] * 37 + x[i + 1] * 101 >> 2) % PAIRS, minlength=total * PAIRS).reshape(total, PAIRS)
-    i = np.nonzero(place < whole - 3)[0]
-    quads = ((x[i] * 31 + x[np.minimum(i + 1, x.size - 1)]) * 31 + x[np.minimum(i + 2, x.size - 1)]) * 31 + x[np.minimum(i + 3, x.size - 1)]
-    runs = np.bincount(row[i] * RUNS + quads * 2654435761 % 4294967291 % RUNS, minlength=total * RUNS).reshape(total, RUNS)
+    size = np.array([len(r) for r in raw], np.int64)
+    n = np.maximum(1, -(-size // PASSAGE))
+    used = np.full(n.sum(), PASSAGE, np.int64)
+    used[np.cumsum(n) - 1] = size - (n - 1) * PASSAGE
+    x = np.frombuffer(b"".join(r.ljust(k * PASSAGE, b"\0") for r, k in zip(raw, n.tolist(), strict=True)), np.uint8).reshape(-1, PASSAGE)
+    ok = np.arange(PASSAGE) < used[:, None]
+    kinds = _counted(x, ok, 256) @ BY_KIND
+    two = x.astype(np.uint16)
+    pairs = _counted((two[:, :-1] * np.uint16(37) + two[:, 1:] * np.uint16(101) >> np.uint16(2)) & np.uint16(PAIRS - 1), ok[:, 1:], PAIRS)
+    # four bytes in a row, multiplied and cut to the top bits
+    four = x.astype(np.uint32)
+    four = four[:, :-3] | four[:, 1:-2] << np.uint32(8) | four[:, 2:-1] << np.uint32(16) | four[:, 3:] << np.uint32(24)
+    runs = _counted(four * np.uint32(2654435761) >> np.uint32(24), ok[:, 3:], RUNS)
     size = np.maximum(used, 1)[:, None]
     spread = (runs > 0).sum(1, keepdims=True) / np.minimum(RUNS, np.maximum(used - 3, 1))[:, None]
     peak = runs.max(1, keepdims=True) / size
-    return np.hstack([kinds / size, pairs / size, spread, peak, np.log1p(used)[:, None] / 6]).astype(np.float64), n
+    return np.hstack([kinds / size, pairs / size, spread, peak, np.log1p(used)[:, None] / 6]), n
 
 
 def _forward(m: dict, x: np.ndarray, n: np.ndarray):
