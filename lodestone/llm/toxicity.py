@@ -34,10 +34,18 @@ WORD = re.compile(r"[^\W\d_]+")
 SLOTS, WINDOW, OWN = 1 << 20, 32, 8  # hashed weights, words in a training window, features of the word itself
 
 
+KIND = [zlib.crc32(x) for x in (b"w ", b"s ", b"p ", b"l ", b"r ")]  # each kind of feature starts its hash
+
+
 def slots_of(word: str) -> list[int]:
-    """Hashed features of a word: itself, its beginnings and its end; as left and as right neighbour."""
-    own = [f"w {word}", f"s {word[-3:]}", *(f"p {word[:k]}" for k in range(3, 9))]
-    return [zlib.crc32(f.encode("utf-8", "surrogatepass")) % SLOTS for f in (*own, f"l {word}", f"r {word}")]
+    """Hashed features of a word: itself, its end and its beginnings; as left and as right neighbour."""
+    whole, crc = word.encode("utf-8", "surrogatepass"), zlib.crc32
+    if len(whole) == len(word):
+        end, starts = whole[-3:], [whole[:k] for k in range(3, 9)]
+    else:
+        end, *starts = (x.encode("utf-8", "surrogatepass") for x in (word[-3:], *(word[:k] for k in range(3, 9))))
+    w, s, p, left, right = KIND
+    return [x % SLOTS for x in (crc(whole, w), crc(end, s), *[crc(x, p) for x in starts], crc(whole, left), crc(whole, right))]
 
 
 class Chain:
