@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +59,18 @@ def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
         spark.conf.set(name, str(size))
 
 
+def pieces(column: pa.Array, most: int = 1 << 20):
+    """Slices of about a megabyte of a string column, so that memory follows the slice and not the batch."""
+    at = size = 0
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        size += n
+        if size >= most:
+            yield column.slice(at, i + 1 - at)
+            at, size = i + 1, 0
+    if at < len(column):
+        yield column.slice(at)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and cuts the lineage, so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -25,11 +25,10 @@ import struct
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, whole_text
+from lodestone.llm.common import bounded_batches, pieces, whole_text
 
 MARK = "▁"
 # Piece kinds and model kinds of the file format.
@@ -229,6 +228,11 @@ class Codec:
         round_trip = [(not self.bad or self.bad.isdisjoint(c)) and MARK not in t for c, t in zip(cuts, texts, strict=True)]
         return ids, round_trip, [not self.other or self.other.isdisjoint(c) for c in cuts]
 
+    def forget(self) -> None:
+        """Drops the kept cuts: a worker outlives its task, and other tasks need the memory."""
+        self.ids, self.older, self.bad, self.other = {}, {}, set(), set()
+        pa.default_memory_pool().release_unused()
+
 
 def _codec(data: bytes, verify: bool) -> Codec:
     """One per Python worker and model."""
@@ -238,18 +242,6 @@ def _codec(data: bytes, verify: bool) -> Codec:
     return _built[key]
 
 
-def pieces(column: pa.Array, most: int = 1 << 20):
-    """Slices of about a megabyte of a string column, so that memory follows the slice and not the batch."""
-    at = size = 0
-    for i, n in enumerate(pc.binary_length(column).to_pylist()):
-        size += n
-        if size >= most:
-            yield column.slice(at, i + 1 - at)
-            at, size = i + 1, 0
-    if at < len(column):
-        yield column.slice(at)
-
-
 def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame:
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
@@ -263,6 +255,12 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame
     def run(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         codec = _codec(shared.value, verify)
+        try:
+            yield from coded(codec, batches)
+        finally:
+            codec.forget()
+
+    def coded(codec, batches):
         for batch in batches:
             at = 0
             for part in pieces(batch.column("t")):

@@ -24,10 +24,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, whole_text
+from lodestone.llm.common import bounded_batches, pieces, whole_text
 from lodestone.llm.labelled import remainder, training_sample
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -51,7 +52,7 @@ def slots_of(word: str) -> list[int]:
 class Chain:
     """Feature scores by word, learned as they come, and the recursions."""
 
-    def __init__(self, model: dict, most: int = 400_000):
+    def __init__(self, model: dict, most: int = 200_000):
         self.model, self.most = model, most
         self.known: dict[str, int] = {}
         self.scores = np.zeros((1024, 3))
@@ -260,10 +261,11 @@ def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.5) -
     def run(batches):
         chain = Chain(shared.value) if shared.value else None
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for at in range(0, len(texts), 512):
-                keep = _score(chain, texts[at : at + 512])[0] < threshold
+            at = 0
+            for part in pieces(pc.fill_null(batch.column("text"), "")):
+                keep = _score(chain, part.to_pylist())[0] < threshold
                 yield batch.slice(at, len(keep)).filter(pa.array(keep))
+                at += len(keep)
 
     return docs.mapInArrow(run, docs.schema)
 
