@@ -153,7 +153,7 @@ class Codec:
     younger is full it becomes the older, and what is still used moves back.
     """
 
-    def __init__(self, data: bytes, verify: bool, most: int = 500_000):
+    def __init__(self, data: bytes, verify: bool, most: int = 250_000):
         self.tokenizer, self.verify, self.most = build_tokenizer(data), verify, most
         m = parse_model(data)
         if m["squeeze"] or not m["dummy_prefix"] or m["charsmap"] or not self.tokenizer.pre_tokenizer:
