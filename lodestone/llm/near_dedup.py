@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import WHITE, ascii_lower, checkpointed, hex16, voted_bits, votes, whole_text, words_by
 from lodestone.llm.components import components
+from lodestone.llm.jaccard import similar_rows
 
 M64 = (1 << 64) - 1
 
@@ -63,21 +64,6 @@ def shingles(words: Column, k: int) -> Column:
     return F.when(n == 0, F.array().cast(f"array<struct<{','.join(f's{i}:string' for i in range(k))}>>")).when(n < k, whole).otherwise(zipped)
 
 
-def word_prints(docs: DataFrame, least: int = 5) -> DataFrame:
-    """doc_id, th, wp: fingerprint of the distinct words of at least so many letters (of all words if there are none).
-
-    Edits of single words change it less than a shingle fingerprint, and function words, which unrelated
-    texts share, have no say: a good key to find candidates by.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
-    words = words_by(ascii_lower(F.col("t")), WHITE)
-    rows = rows.select("doc_id", F.xxhash64("t").alias("th"), F.array_distinct(words).alias("w"))
-    long_words = F.filter("w", lambda x: F.char_length(x) >= least)
-    rows = rows.select("doc_id", "th", F.when(F.size(long_words) > 0, long_words).otherwise(F.col("w")).alias("w"))
-    terms = rows.select("doc_id", "th", F.posexplode_outer("w").alias("at", "s")).select("doc_id", "th", F.coalesce("at", F.lit(0)).alias("at"), F.when(F.col("s").isNotNull(), F.xxhash64("s")).alias("h"))
-    return votes(terms, ["doc_id", "th"], ["h"], "at").select("doc_id", "th", voted_bits(0, F.col("total")).alias("wp"))
-
-
 def fingerprints(docs: DataFrame, k: int = 3, more: int = 0) -> DataFrame:
     """doc_id, th, fp [, g0.., total]: one row per doc_id and text. ``more`` adds so many further 64-bit fingerprints with other seeds."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
@@ -226,21 +212,14 @@ def near_groups(docs: DataFrame, k: int = 3, radius: int = 3, block: int = 2048)
     return rows.join(joined, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("th"))).select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def similar_groups(docs: DataFrame, k: int = 5, radius: int = 6, most: int = 20, block: int = 2048) -> DataFrame:
-    """doc_id, th, component_id: groups of documents of about 0.8 or more similarity of their k-word shingles.
+def similar_groups(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5)) -> DataFrame:
+    """doc_id, th, component_id: groups of documents with a Jaccard similarity of a/b or more of their k-word shingles.
 
-    Candidates: fingerprints of distinct long words within ``radius`` bits (every such pair collides).
-    Links: 128 bits of shingle fingerprint differ in at most ``most`` bits; at a Jaccard similarity of
-    0.8 the expected distance is 19, at random 64.
+    Groups are named by their smallest id; without ids the name is null.
     """
-    shingled = fingerprints(docs, k, more=1).select("doc_id", "th", F.col("fp").alias("g0"), F.col("g0").alias("g1"))
-    worded = word_prints(docs).select(F.col("doc_id").alias("i"), F.col("th").alias("h"), F.col("wp").alias("fp"))
-    prints = checkpointed(shingled.join(worded, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("th") == F.col("h"))).select("doc_id", "th", "fp", "g0", "g1"))
-    # rows that agree in all three are one node, named by its smallest id
-    nodes = checkpointed(prints.where("doc_id is not null").groupBy("fp", "g0", "g1").agg(F.min("doc_id").alias("node")))
-    member = components(links(nodes, radius, block, ("g0", "g1"), most))
-    named = nodes.join(member.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select(F.col("fp").alias("a"), F.col("g0").alias("b"), F.col("g1").alias("c"), F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, (F.col("fp") == F.col("a")) & (F.col("g0") == F.col("b")) & (F.col("g1") == F.col("c")), "left").select("doc_id", "th", "component_id")
+    rows = checkpointed(similar_rows(docs, k, similar))
+    named = rows.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "c")
+    return rows.join(named, F.col("component") == F.col("c")).select("doc_id", "th", "component_id")
 
 
 def drop_similar(docs: DataFrame, **how) -> DataFrame:

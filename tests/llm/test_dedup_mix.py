@@ -124,6 +124,30 @@ def test_similar_texts_leave_one(docs):
     assert (7, BASE) in kept and not any(i in (8,) for i, _ in kept) and (6, "one") in kept and (None, "no id") in kept
 
 
+def test_similar_groups_are_those_of_brute_force(spark):
+    """Pairs around a similarity of 0.8, in texts of 3 to 400 words, beside a line that most texts share."""
+    import random
+
+    rng, line = random.Random(6), "this line stands in most of the texts of the table "
+    texts = ["", " ", "a b c", "A  b c", "a b d"]
+    for n in (20, 60, 100, 100, 100, 200, 400):
+        base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        for edits in (0, 1, 1, 2, 2, 3, 3, 4, 8):
+            words = list(base)
+            for at in rng.sample(range(n), edits * n // 100 or edits):
+                words[at] = f"x{rng.randrange(5000)}"
+            texts.append((line if rng.random() < 0.7 else "") + " ".join(words))
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    near = [(a, b) for a, b in combinations(range(len(texts)), 2) if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(near) > 30
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_dedup.similar_groups(df).collect()}
+    assert got == dict(enumerate(smallest(len(texts), near)))
+
+
 def test_fingerprints(docs):
     rows = {(r.doc_id, r.n_chars, r.fingerprint): r for r in fingerprint.fingerprint_pairs(docs, ranges=3).collect()}
     out = fingerprint.fingerprint_pairs(docs, ranges=3).collect()
