@@ -18,7 +18,7 @@ from lodestone.llm.registry import table, tokenizer_file
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model scores at one half or more go."""
+    """Documents that the toxicity model predicts to be toxic (a score of 0.3 or more) go."""
     return toxicity.without_toxic(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
 
 

@@ -253,7 +253,7 @@ def _score(chain: Chain | None, texts: list[str]) -> tuple[np.ndarray, list[list
     return chain.score(total, top), spans
 
 
-def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.3) -> DataFrame:
     """The rows of docs that score below the threshold, with all columns, in one pass."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)

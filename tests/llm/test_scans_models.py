@@ -112,6 +112,13 @@ def test_classifiers(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - sum(r[3] for r in rows)
 
 
+@pytest.mark.parametrize("score", [0.25, 0.4])
+def test_what_is_predicted_toxic_goes(docs, score):
+    model = {"weights": np.zeros(toxicity.SLOTS, np.float32), "bias": 0.0, "transitions": np.zeros(4), "logistic": np.array([np.log(score / (1 - score)), 0.0, 0.0])}
+    clean = sum(r.predicted == 0 for r in toxicity.scored(docs, model).collect())
+    assert toxicity.without_toxic(docs, model).count() == clean == (len(TEXTS) if score < 0.3 else 0)
+
+
 def test_chain_marginals_by_enumeration():
     model = {"weights": np.zeros(toxicity.SLOTS, np.float32), "bias": 0.0, "transitions": np.array([0.3, -0.7, 0.1, 0.9]), "logistic": np.zeros(3)}
     e, n = np.array([0.5, -1.0, 2.0, 0.2, -0.4]), np.array([4, 1])
