@@ -222,7 +222,15 @@ def similar_groups(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5
     return rows.join(named, F.col("component") == F.col("c")).select("doc_id", "th", "component_id")
 
 
-def drop_similar(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs whose id is the smallest of its group, or that have no id, with all columns."""
-    gone = similar_groups(docs, **how).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+def drop_similar(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5)) -> DataFrame:
+    """One row of each group, with all columns: the smallest doc_id, of equal ids the smallest text hash; null ids come last."""
+    rows = checkpointed(similar_rows(docs, k, similar))
+    best = rows.groupBy(F.col("component").alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
+    gone = rows.join(best, F.col("component") == F.col("c")).where(~stays).select(F.col("doc_id").alias("__gone"), F.col("th").alias("__gone_th")).distinct()
+    keyed = docs.withColumn("__th", F.xxhash64(whole_text()))
+    kept = keyed.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (F.col("__th") == F.col("__gone_th")), "left_anti")
+    # rows of one id and text are told apart only where there are any
+    if not rows.groupBy("doc_id", "th").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "__th"])
+    return kept.drop("__th")

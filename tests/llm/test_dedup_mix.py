@@ -148,6 +148,14 @@ def test_similar_groups_are_those_of_brute_force(spark):
     assert got == dict(enumerate(smallest(len(texts), near)))
 
 
+def test_rows_of_repeated_and_null_ids_stand_for_themselves(spark):
+    other = " ".join(f"other{i}" for i in range(200))
+    rows = [(7, BASE), (9, BASE.replace("tail90", "q")), (9, "dup id"), (9, "dup id"), (None, BASE.replace("tail80", "q")), (None, other), (None, other.replace("other150", "q")), (None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id or -1, r.text[:6]) for r in near_dedup.drop_similar(df).collect()))
+    assert kept == [(-1, "no id"), (-1, "other0"), (7, "word0x"), (9, "dup id")]
+
+
 def test_fingerprints(docs):
     rows = {(r.doc_id, r.n_chars, r.fingerprint): r for r in fingerprint.fingerprint_pairs(docs, ranges=3).collect()}
     out = fingerprint.fingerprint_pairs(docs, ranges=3).collect()
