@@ -66,16 +66,16 @@ def shingles(words: Column, k: int) -> Column:
 
 def fingerprints(docs: DataFrame, k: int = 3, more: int = 0) -> DataFrame:
     """doc_id, th, fp [, g0.., total]: one row per doc_id and text. ``more`` adds so many further 64-bit fingerprints with other seeds."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"), F.monotonically_increasing_id().alias("row"))
     words = words_by(ascii_lower(F.col("t")), WHITE)
-    terms = rows.select("doc_id", F.xxhash64("t").alias("th"), words.alias("w")).select("doc_id", "th", F.posexplode_outer(shingles(F.col("w"), k)).alias("at", "s"))
+    terms = rows.select("doc_id", "row", F.xxhash64("t").alias("th"), words.alias("w")).select("doc_id", "th", "row", F.posexplode_outer(shingles(F.col("w"), k)).alias("at", "s"))
     text = F.concat_ws(" ", *[F.col(f"s.s{i}") for i in range(k)])
-    terms = terms.select("doc_id", "th", F.coalesce("at", F.lit(0)).alias("at"), F.when(F.col("s").isNotNull(), F.xxhash64(text)).alias("h"))
+    terms = terms.select("doc_id", "th", "row", F.coalesce("at", F.lit(0)).alias("at"), F.when(F.col("s").isNotNull(), F.xxhash64(text)).alias("h"))
     # in a text without shingles there is nothing to vote
     terms = terms.select("*", *[F.when(F.col("h").isNotNull(), F.xxhash64("h", F.lit(i))).alias(f"h{i}") for i in range(more)])
-    # a repeated row multiplies all votes of its id and text, which changes no majority
-    voted = votes(terms, ["doc_id", "th"], ["h", *[f"h{i}" for i in range(more)]], "at")
-    return voted.select("doc_id", "th", voted_bits(0, F.col("total")).alias("fp"), *[voted_bits(j + 1, F.col("total")).alias(f"g{j}") for j in range(more)])
+    # rows that repeat an id and text vote apart: their counts together could leave a counter
+    voted = votes(terms, ["doc_id", "th", "row"], ["h", *[f"h{i}" for i in range(more)]], "at")
+    return voted.select("doc_id", "th", voted_bits(0, F.col("total")).alias("fp"), *[voted_bits(j + 1, F.col("total")).alias(f"g{j}") for j in range(more)]).dropDuplicates(["doc_id", "th"])
 
 
 def _forest(near: np.ndarray) -> list[tuple[int, int]]:

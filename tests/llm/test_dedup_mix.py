@@ -65,6 +65,12 @@ def test_near_groups(docs):
     assert sorted({(r.doc_id or -1, r.fingerprint, -1 if r.component_id is None else r.component_id) for r in rows}) == sorted(set(want))
 
 
+def test_repeated_rows_keep_their_fingerprint(spark):
+    rows = [(1, BASE)] * 10 + [(None, BASE)] * 10 + [(2, BASE)]
+    got = {r.fingerprint for r in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {f"{prints([BASE])[0]:016x}"}
+
+
 @pytest.mark.parametrize("block", [2048, 2])
 def test_links_in_dense_buckets(spark, block):
     """A block of 2 sends nearly every bucket through the meeting points."""
