@@ -3,8 +3,9 @@
 The base kinds are regular expressions.  The method adds tokens of which a first-order Markov model of
 random strings is likelier than one of ordinary identifiers: both are trained from labelled samples by
 counting character pairs, and the ratio is a table with one entry per pair of the alphabet's
-characters, so a scan needs the text alone.  Candidates are maximal runs of token characters; a
-candidate that overlaps a base span adds nothing.
+characters, so a scan needs the text alone.  Candidates are maximal runs of token characters, their
+parts between delimiters, and the subspan of a run with the largest summed ratio; a run that is random
+as a whole is reported as one.  A candidate that overlaps a base span adds nothing.
 
 Positions are code points.  They come from the pieces between matches: what a split by the pattern
 leaves, and what the pattern takes, alternate.
@@ -30,25 +31,25 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+TOKEN, PART = r"[A-Za-z0-9+/_=-]{16,}", r"[A-Za-z0-9+]{16,}"
 SPAN = "array<struct<s:int,k:int,e:int>>"
 
 # Parts of ordinary identifiers.
 PARTS = "get set list read write open close user name file path index count total value key map node tree table row column data base cache load save parse format string number error message request response client server session config option default test case build version release update delete insert select order group join filter window stream batch page text word line token label score model train sample document source target weight size length start end first last next previous the and with from into over under".split()
 
 
-def labelled_samples(spark: SparkSession, n: int = 1500) -> DataFrame:
-    """text, secret: random strings in three alphabets and identifiers in four styles, fixed by a seed."""
+def labelled_samples(spark: SparkSession, n: int = 2500) -> DataFrame:
+    """text, secret: random strings in five alphabets and identifiers in five styles, fixed by a seed."""
     out = []
     for i in range(n):
         d = hashlib.sha512(f"sample {i}".encode()).digest()
-        kind = i % 3
-        chars = ["0123456789abcdef", ALPHABET[:62], ALPHABET[:64]][kind]
+        kind = i % 5
+        chars = ["0123456789abcdef", ALPHABET[:62], ALPHABET[:64], "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"][kind]
         out.append(("".join(chars[b % len(chars)] for b in d[: 20 + d[63] % 28]), True))
         words = [PARTS[b % len(PARTS)] for b in d[10 : 14 + i % 4]]
-        style = d[40] % 4
+        style = d[40] % 5
         number = str(d[41] * 7) if d[42] % 2 else ""
-        out.append((["_".join(words), "".join(w.title() for w in words), "-".join(words), "/".join(words)][style] + number, False))
+        out.append((["_".join(words), "".join(w.title() for w in words), "-".join(words), "/".join(words), "_".join(words).upper()][style] + number, False))
     return spark.createDataFrame(out, "text string, secret boolean")
 
 
@@ -69,12 +70,26 @@ def pair_table(samples: DataFrame) -> list[float]:
     return table
 
 
-def ratio(token: Column, table: list[float]) -> Column:
-    """Mean log-likelihood ratio of a token's character pairs."""
+def scored(token: Column, table: Column) -> Column:
+    """total: summed log-likelihood ratio of a token's character pairs; best, s, e: that of its best subspan, and where."""
     k = len(ALPHABET)
     chars = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    total = F.aggregate(chars, F.struct(F.lit(-1).alias("p"), F.lit(0.0).alias("s")), lambda a, c: F.struct(c.alias("p"), (a["s"] + F.when(a["p"] < 0, 0.0).otherwise(F.get(F.lit(table), a["p"] * k + c))).alias("s")))
-    return total["s"] / (F.length(token) - 1)
+    state = "struct<p:int,i:int,total:double,run:double,at:int,best:double,s:int,e:int>"
+
+    def step(a: Column, c: Column) -> Column:
+        x = F.when(a["p"] < 0, 0.0).otherwise(F.get(table, a["p"] * k + c))
+        run, at = F.greatest(a["run"] + x, F.lit(0.0)), F.when(a["run"] + x > 0, a["at"]).otherwise(a["i"])
+        better = a["run"] + x > a["best"]
+        out = [c, a["i"] + 1, a["total"] + x, run, at, F.greatest(a["best"], run), F.when(better, a["at"]).otherwise(a["s"]), F.when(better, a["i"] + 1).otherwise(a["e"])]
+        return F.struct(*[v.alias(n) for v, n in zip(out, ["p", "i", "total", "run", "at", "best", "s", "e"], strict=True)]).cast(state)
+
+    return F.aggregate(chars, F.struct(*[F.lit(v).alias(n) for v, n in zip([-1, 0, 0.0, 0.0, 0, 0.0, 0, 0], ["p", "i", "total", "run", "at", "best", "s", "e"], strict=True)]).cast(state), step)
+
+
+def varied(token: Column) -> Column:
+    """Whether at least half of a token's pairs, or 64, are different ones: a repeated character is not random."""
+    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: F.substring(token, i, F.lit(2))))
+    return F.size(pairs) >= F.least((F.length(token) - 1) / 2, F.lit(64))
 
 
 def matches(text: Column, pattern: str, kind: int, group: int = 0, keep=None) -> Column:
@@ -93,16 +108,35 @@ def matches(text: Column, pattern: str, kind: int, group: int = 0, keep=None) ->
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
 
 
+def random_spans(token: Column, start: Column, table: Column, least: float) -> Column:
+    """Spans of a run of token characters that look random: the run, or its parts and its best subspan."""
+    enough = least * 19  # the evidence of the shortest token that the mean alone decides
+
+    def odd(v: Column) -> Column:
+        total = scored(v, table)["total"]
+        return (total >= F.greatest(F.lit(enough), least * (F.length(v) - 1))) & varied(v)
+
+    span = lambda s, e: F.struct((start + s).cast("int").alias("s"), F.lit(3).alias("k"), (start + e).cast("int").alias("e"))
+    none = F.array().cast(SPAN)
+    parts = F.transform(matches(token, PART, 3, 0, odd), lambda x: span(x["s"], x["e"]))
+    top = F.transform(F.array(scored(token, table)), lambda b: F.when((b["best"] >= enough) & (b["e"] - b["s"] >= 16) & varied(F.substring(token, b["s"] + 1, b["e"] - b["s"])), F.array(span(b["s"], b["e"]))).otherwise(none))
+    # the best subspan of a part that is reported says nothing new
+    inner = F.transform(F.array(parts), lambda q: F.concat(q, F.filter(F.flatten(top), lambda b: ~F.exists(q, lambda x: (x["s"] < b["e"]) & (b["s"] < x["e"])))))
+    return F.when(odd(token), F.array(span(F.lit(0), F.length(token)))).otherwise(F.flatten(inner)).cast(SPAN)
+
+
 def secrets(docs: DataFrame, samples: DataFrame | None = None, least: float = 0.8) -> DataFrame:
     """doc_id, assigns, accesses, hexes, randoms: arrays of (s, k, e) for every row.
 
-    least: mean log-likelihood ratio per character pair from which a token counts as random.
+    least: mean log-likelihood ratio per character pair from which a token counts as random; tokens and
+    subspans under 20 characters need the sum that 20 characters would.
     """
     table = pair_table(samples if samples is not None else labelled_samples(docs.sparkSession))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"), F.lit(table).alias("table"))
     t = F.col("t")
-    odd = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]") & (ratio(v, table) >= least)
-    rows = rows.select("doc_id", matches(t, ASSIGN, 0, 2, lambda v: F.char_length(v) >= 8).alias("assigns"), matches(t, ACCESS, 1).alias("accesses"), matches(t, HEX, 2).alias("hexes"), matches(t, TOKEN, 3, 0, odd).alias("tokens"))
+    rows = rows.select("doc_id", "t", "table", matches(t, ASSIGN, 0, 2, lambda v: F.char_length(v) >= 8).alias("assigns"), matches(t, ACCESS, 1).alias("accesses"), matches(t, HEX, 2).alias("hexes"), matches(t, TOKEN, 3).alias("runs"))
+    tokens = F.flatten(F.transform("runs", lambda r: random_spans(F.substring(t, r["s"] + 1, r["e"] - r["s"]), r["s"], F.col("table"), least)))
+    rows = rows.select("doc_id", "assigns", "accesses", "hexes", tokens.alias("tokens"))
     base = F.concat("assigns", "accesses", "hexes")
     free = F.filter("tokens", lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
     return rows.select("doc_id", "assigns", "accesses", "hexes", free.alias("randoms"))

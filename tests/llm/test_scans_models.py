@@ -40,6 +40,22 @@ def test_secrets(docs):
     assert "random" in spans[6] and "random" not in spans[9]
 
 
+def test_recall_of_embedded_secrets(spark):
+    import random
+
+    rng, rows = random.Random(8), []
+    alphabets = [(secrets.ALPHABET[:62], 20), (secrets.ALPHABET[:62], 32), (secrets.ALPHABET[:52], 24), ("0123456789ABCDEF", 32), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32)]
+    for kind, (chars, n) in enumerate(alphabets):
+        for before in ("", "client_session_value=", "path/to/config/session/value/", "/users/session/"):
+            rows += [(f"{kind} {before}", f"see {before}{''.join(rng.choices(chars, k=n))} there") for _ in range(60)]
+    rows += [("plain", f"see {s.join(rng.choices(secrets.PARTS, k=6))} there") for s in "_-/" for _ in range(100)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: "random" in r.spans for r in secrets.secret_report(df).collect()}
+    share = {k: np.mean([found[i] for i, (x, _) in enumerate(rows) if x == k]) for k in {x for x, _ in rows}}
+    print(sorted(share.items()))
+    assert share.pop("plain") <= 0.02 and min(share.values()) >= 0.8
+
+
 def base(text, rule):
     out = [(m.start(), 0, m.end()) for m in re.finditer(rule[0], text, re.ASCII) if len(m[2]) >= 8]
     out += [(m.start(), 1, m.end()) for m in re.finditer(rule[1], text) if len(m[0]) >= 16]
