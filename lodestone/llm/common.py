@@ -36,6 +36,23 @@ def words_by(text: Column, separator: str) -> Column:
     return F.array_remove(F.split(text, separator, -1), "")
 
 
+def running(sizes: Column, block: int = 128) -> Column:
+    """For every entry of an array of numbers the sum of those before it.
+
+    Appending copies an array, so that sums are appended within blocks, and once per block.
+    """
+    last = F.greatest(F.size(sizes) - 1, F.lit(0))
+    empty = F.array().cast("array<int>")
+
+    def sums(values: Column, start: Column) -> Column:
+        first = F.struct(start.cast("int").alias("at"), empty.alias("out"))
+        return F.aggregate(values, first, lambda a, x: F.struct((a["at"] + x).cast("int").alias("at"), F.array_append(a["out"], a["at"]).cast("array<int>").alias("out")))["out"]
+
+    blocks = F.transform(F.sequence(F.lit(0), last, F.lit(block)), lambda i: F.slice(sizes, i + 1, block))
+    totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: (a + x).cast("int")))
+    return F.flatten(F.zip_with(blocks, sums(totals, F.lit(0)), sums))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one is set only where none is named (as in tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -5,10 +5,12 @@ random strings is likelier than one of ordinary identifiers: both are trained fr
 counting character pairs, and the ratio is a table with one entry per pair of the alphabet's
 characters, so a scan needs the text alone.  Candidates are maximal runs of token characters, their
 parts between delimiters, and the subspan of a run with the largest summed ratio; a run that is random
-as a whole is reported as one.  A candidate that overlaps a base span adds nothing.
+as a whole is reported as one.  Base spans are blanked before runs are looked for, so no span of the
+method overlaps one.
 
 Positions are code points.  They come from the pieces between matches: what a split by the pattern
-leaves, and what the pattern takes, alternate.
+leaves, and what the pattern takes, alternate; their lengths are summed in blocks, so that a text with
+many matches costs little more than its length.
 
 Nulls and ties: a null text is empty and has no spans; every row is scanned by itself, so repeated rows
 give repeated results and a null doc_id is kept.  An empty table gives an empty result; other columns
@@ -23,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import whole_text
+from lodestone.llm.common import running, whole_text
 
 # The base patterns; hex and access with their least lengths, which maximal runs allow.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -32,7 +34,9 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN, PART = r"[A-Za-z0-9+/_=-]{16,}", r"[A-Za-z0-9+]{16,}"
-SPAN = "array<struct<s:int,k:int,e:int>>"
+SPAN = "s:int,k:int,e:int"
+# hex digits that an assignment ends are one short where its first letter is a hex digit too
+BLANK_HEX = HEX + r"|[0-9a-f]{31}(?=\x00)"
 
 # Parts of ordinary identifiers.
 PARTS = "get set list read write open close user name file path index count total value key map node tree table row column data base cache load save parse format string number error message request response client server session config option default test case build version release update delete insert select order group join filter window stream batch page text word line token label score model train sample document source target weight size length start end first last next previous the and with from into over under".split()
@@ -88,24 +92,34 @@ def scored(token: Column, table: Column) -> Column:
 
 def varied(token: Column) -> Column:
     """Whether at least half of a token's pairs, or 64, are different ones: a repeated character is not random."""
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: F.substring(token, i, F.lit(2))))
-    return F.size(pairs) >= F.least((F.length(token) - 1) / 2, F.lit(64))
+    # the characters once as an array: cutting each pair from the text would start from its beginning
+    chars, n = F.split(token, ""), F.length(token)
+    pairs = F.zip_with(F.slice(chars, 1, F.greatest(n - 1, F.lit(0))), F.slice(chars, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, b))
+    return F.size(F.array_distinct(pairs)) >= F.least((n - 1) / 2, F.lit(64))
 
 
-def matches(text: Column, pattern: str, kind: int, group: int = 0, keep=None) -> Column:
-    """Spans of the non-overlapping matches of a pattern; keep(value of the group) may reject some."""
-    found, values, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.split(text, pattern, -1)
-    # one more gap than matches: the last entry has no match
-    both = F.filter(F.arrays_zip(found.alias("m"), values.alias("v"), gaps.alias("g")), lambda x: x["m"].isNotNull())
+def cut_by(text: Column, pattern: str, group: int = 0) -> Column:
+    """The text as gaps (g), each but the last followed by a match (m) and the match's group (v)."""
+    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    none = F.lit(None).cast("string")
+    whole = F.array(F.struct(text.alias("g"), none.alias("m"), none.alias("v")))
+    return F.when(text.rlike(pattern), F.arrays_zip(gaps.alias("g"), found.alias("m"), values.alias("v"))).otherwise(whole)
 
-    def step(a: Column, x: Column) -> Column:
-        s = a["at"] + F.char_length(x["g"])
-        span = F.struct(s.alias("s"), F.lit(kind).alias("k"), (s + F.char_length(x["m"])).alias("e"))
-        out = F.array_append(a["out"], span)
-        return F.struct(span["e"].alias("at"), (F.when(keep(x["v"]), out).otherwise(a["out"]) if keep else out).cast(SPAN).alias("out"))
 
-    spans = F.aggregate(both, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(SPAN))
+def spans_of(cuts: Column, kind: int, keep=None) -> Column:
+    """Spans (s, k, e) and values (v) of the matches; keep(value) may reject some."""
+    size = lambda x: F.coalesce(F.char_length(x), F.lit(0))
+    at = running(F.transform(cuts, lambda x: size(x["g"]) + size(x["m"])))
+    spans = F.zip_with(cuts, at, lambda x, a: F.struct((a + size(x["g"])).alias("s"), F.lit(kind).alias("k"), (a + size(x["g"]) + size(x["m"])).alias("e"), x["v"].alias("v")))
+    return F.filter(spans, lambda x: x["v"].isNotNull() & (keep(x["v"]) if keep else F.lit(True))).cast(f"array<struct<{SPAN},v:string>>")
+
+
+def blanked(cuts: Column, keep=None) -> Column:
+    """The text with a zero character in place of each character of a match that is kept."""
+    zeros = lambda x: F.repeat(F.lit("\0"), F.char_length(x["m"]))
+    filled = lambda x: F.when(keep(x["v"]), zeros(x)).otherwise(x["m"]) if keep else zeros(x)
+    return F.array_join(F.transform(cuts, lambda x: F.when(x["m"].isNull(), x["g"]).otherwise(F.concat(x["g"], filled(x)))), "")
 
 
 def random_spans(token: Column, start: Column, table: Column, least: float) -> Column:
@@ -117,12 +131,12 @@ def random_spans(token: Column, start: Column, table: Column, least: float) -> C
         return (total >= F.greatest(F.lit(enough), least * (F.length(v) - 1))) & varied(v)
 
     span = lambda s, e: F.struct((start + s).cast("int").alias("s"), F.lit(3).alias("k"), (start + e).cast("int").alias("e"))
-    none = F.array().cast(SPAN)
-    parts = F.transform(matches(token, PART, 3, 0, odd), lambda x: span(x["s"], x["e"]))
+    none = F.array().cast(f"array<struct<{SPAN}>>")
+    parts = F.transform(spans_of(cut_by(token, PART), 3, odd), lambda x: span(x["s"], x["e"]))
     top = F.transform(F.array(scored(token, table)), lambda b: F.when((b["best"] >= enough) & (b["e"] - b["s"] >= 16) & varied(F.substring(token, b["s"] + 1, b["e"] - b["s"])), F.array(span(b["s"], b["e"]))).otherwise(none))
     # the best subspan of a part that is reported says nothing new
     inner = F.transform(F.array(parts), lambda q: F.concat(q, F.filter(F.flatten(top), lambda b: ~F.exists(q, lambda x: (x["s"] < b["e"]) & (b["s"] < x["e"])))))
-    return F.when(odd(token), F.array(span(F.lit(0), F.length(token)))).otherwise(F.flatten(inner)).cast(SPAN)
+    return F.when(odd(token), F.array(span(F.lit(0), F.length(token)))).otherwise(F.flatten(inner)).cast(f"array<struct<{SPAN}>>")
 
 
 def secrets(docs: DataFrame, samples: DataFrame | None = None, least: float = 0.8) -> DataFrame:
@@ -132,14 +146,17 @@ def secrets(docs: DataFrame, samples: DataFrame | None = None, least: float = 0.
     subspans under 20 characters need the sum that 20 characters would.
     """
     table = pair_table(samples if samples is not None else labelled_samples(docs.sparkSession))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"), F.lit(table).alias("table"))
-    t = F.col("t")
-    rows = rows.select("doc_id", "t", "table", matches(t, ASSIGN, 0, 2, lambda v: F.char_length(v) >= 8).alias("assigns"), matches(t, ACCESS, 1).alias("accesses"), matches(t, HEX, 2).alias("hexes"), matches(t, TOKEN, 3).alias("runs"))
-    tokens = F.flatten(F.transform("runs", lambda r: random_spans(F.substring(t, r["s"] + 1, r["e"] - r["s"]), r["s"], F.col("table"), least)))
-    rows = rows.select("doc_id", "assigns", "accesses", "hexes", tokens.alias("tokens"))
-    base = F.concat("assigns", "accesses", "hexes")
-    free = F.filter("tokens", lambda x: ~F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return rows.select("doc_id", "assigns", "accesses", "hexes", free.alias("randoms"))
+    long_enough = lambda v: F.char_length(v) >= 8
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
+    rows = rows.select("doc_id", "t", cut_by(F.col("t"), ASSIGN, 2).alias("a"))
+    bare = lambda cuts, kind, keep=None: F.transform(spans_of(cuts, kind, keep), lambda x: x.dropFields("v"))
+    rows = rows.select("doc_id", bare(F.col("a"), 0, long_enough).alias("assigns"), bare(cut_by(F.col("t"), ACCESS), 1).alias("accesses"), bare(cut_by(F.col("t"), HEX), 2).alias("hexes"), blanked(F.col("a"), long_enough).alias("t"))
+    for pattern in (ACCESS, BLANK_HEX):
+        rows = rows.withColumn("t", F.when(F.col("t").rlike(pattern), blanked(cut_by(F.col("t"), pattern))).otherwise(F.col("t")))
+    # the table is bound once per row: the runs' lambda refers to it
+    rows = rows.select("doc_id", "assigns", "accesses", "hexes", spans_of(cut_by(F.col("t"), TOKEN), 3).alias("runs"), F.lit(table).alias("table"))
+    tokens = F.flatten(F.transform("runs", lambda r: random_spans(r["v"], r["s"], F.col("table"), least)))
+    return rows.select("doc_id", "assigns", "accesses", "hexes", tokens.alias("randoms"))
 
 
 def joined(spans: Column) -> Column:

@@ -56,6 +56,68 @@ def test_recall_of_embedded_secrets(spark):
     assert share.pop("plain") <= 0.02 and min(share.values()) >= 0.8
 
 
+def spans_by_loop(text, table, least=0.8):
+    """The method's spans by plain Python: base spans blanked, then runs, parts and best subspans."""
+    k, found = len(secrets.ALPHABET), []
+
+    def ratio(v):
+        c = [secrets.ALPHABET.index(x) for x in v]
+        return [table[a * k + b] for a, b in zip(c, c[1:], strict=False)]
+
+    def odd(v):
+        return sum(ratio(v)) >= max(least * 19, least * (len(v) - 1)) - 1e-9 and varied(v)
+
+    def varied(v):
+        return len({v[i : i + 2] for i in range(len(v) - 1)}) >= min((len(v) - 1) / 2, 64)
+
+    taken = [(m.start(), m.end()) for m in re.finditer(secrets.ASSIGN, text, re.ASCII) if len(m[2]) >= 8]
+    taken += [m.span() for p in (secrets.ACCESS, secrets.HEX) for m in re.finditer(p, text)]
+    chars = list(text)
+    for a, b in taken:
+        chars[a:b] = "\0" * (b - a)
+    for m in re.finditer(secrets.TOKEN, "".join(chars)):
+        v, at = m[0], m.start()
+        if odd(v):
+            found.append((at, at + len(v)))
+            continue
+        parts = [(at + x.start(), at + x.end()) for x in re.finditer(secrets.PART, v) if odd(x[0])]
+        run = best = 0.0
+        start = s = e = 0
+        for i, x in enumerate([0.0, *ratio(v)]):
+            run, start = (run + x, start) if run + x > 0 else (0.0, i)
+            if run > best:
+                best, s, e = run, start, i + 1
+        if best >= least * 19 and e - s >= 16 and varied(v[s:e]) and not any(a < at + e and at + s < b for a, b in parts):
+            parts.append((at + s, at + e))
+        found += parts
+    return sorted(found)
+
+
+def test_spans_are_those_of_a_loop(spark):
+    import random
+
+    rng = random.Random(12)
+    rand = lambda n, chars=secrets.ALPHABET[:62]: "".join(rng.choices(chars, k=n))
+    texts = [t or "" for _, t in TEXTS]
+    texts += ["0123456789abcdef" * 2 + "api_key=abcdefgh1234", rand(31, "0123456789abcdef") + "api_key=" + rand(20) + " x", f"secret={rand(12)}/{rand(30)} é😀 {rand(40)}"]
+    for _ in range(60):
+        words = ["_".join(rng.choices(secrets.PARTS, k=3)) + rng.choice("/=-_ ") + rand(rng.choice([10, 16, 19, 20, 24, 40])) for _ in range(4)]
+        texts.append(rng.choice(["é", ""]) + rng.choice([" ", "/", "="]).join([*words, "token: " + rand(9), rand(40, "0123456789abcdef")]))
+    texts.append(" ".join(rand(20) for _ in range(700)))
+    table = secrets.pair_table(secrets.labelled_samples(spark))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted((x.s, x.e) for x in r.randoms) for r in secrets.secrets(df).collect()}
+    want = {i: spans_by_loop(t, table) for i, t in enumerate(texts)}
+    assert sum(map(len, want.values())) > 700
+    assert got == want
+
+
+def test_many_matches_in_one_text(spark):
+    text = "token=abcdefgh1 " * 20000
+    r = secrets.secret_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert r.n_assign == 20000 and r.base_sha256 == hashlib.sha256(",".join(f"assign:{i}:{i + 15}" for i in range(0, 320000, 16)).encode()).hexdigest()
+
+
 def base(text, rule):
     out = [(m.start(), 0, m.end()) for m in re.finditer(rule[0], text, re.ASCII) if len(m[2]) >= 8]
     out += [(m.start(), 1, m.end()) for m in re.finditer(rule[1], text) if len(m[0]) >= 16]
