@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from functools import reduce
 
@@ -94,6 +95,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def bounded_broadcast(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """Marks a stored table of narrow rows for broadcast if it has at most so many; beyond that it is joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def release(spark: SparkSession) -> None:
+    """Lets go of shuffle files and checkpoints that nothing refers to any more: Spark drops them when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 # ---------------------------------------------------------------- bit votes
 
 BYTES, PAIR = 0x0101010101010101, 0x000000FF000000FF  # eight counters of 8 bits; two of 32

@@ -6,11 +6,14 @@ for either one's size n, so in any order of all shingles the first n - ceil(a n
 one in common: no pair is lost to the search.  The order puts shingles that are frequent in a sample
 last, the others by their hash; it decides the cost, not the result.
 
-Links: in every bucket (nodes with a shingle in common among their first) all members meet the smallest
-one, which joins a family of near copies in linear time.  Pairs of a bucket that are not in one
-component then meet each other.  Before sets are compared, pairs go whose sizes or whose parity bits
-(256, one per shingle; they differ in no more bits than the sets do in shingles) exclude the
-similarity.  A bucket whose members are all unlike costs the square of its size in parity comparisons.
+Links: the SimHash of every set goes through the tables of ``covering`` first, which joins families of
+near copies; each link is decided by the sets.  Then, in every bucket of the index (nodes with a
+shingle in common among their first), members of other components than the smallest one's meet it, and
+what is still apart meets pairwise.  Before sets are compared, pairs go whose sizes, whose parity bits
+(256, one per shingle; they differ in no more bits than the sets do in shingles) or whose places of
+common shingles exclude the similarity: after the last common one of the first shingles no more can be
+common than what is left of the shorter rest.  A bucket whose members are all unlike costs the square
+of its size in parity comparisons.
 """
 
 from __future__ import annotations
@@ -22,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, checkpointed, pieces, whole_text
+from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, pieces, release, whole_text
 from lodestone.llm.components import components
+from lodestone.llm.covering import links
 
 PARITY = [f"b{i}" for i in range(4)]
 
@@ -63,6 +67,12 @@ class Shingles:
         return np.unique(_spread(h))
 
 
+def _simhash(s: np.ndarray) -> int:
+    """Each shingle's hash votes on 64 bits."""
+    votes = np.unpackbits(s.view(np.uint8).reshape(len(s), 8), axis=1).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * votes > len(s)).view(np.int64)[0])
+
+
 def _name(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -93,7 +103,7 @@ def _frequent(docs: DataFrame, k: int, sample: int = 20_000, most: int = 50_000)
 
 
 def shingled(docs: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
-    """doc_id, th, node, n, parity bits and the first shingles of every row."""
+    """doc_id, th, node, n, SimHash, parity bits and the first shingles of every row."""
     a, b = similar
     bounded_batches(docs.sparkSession)
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k))
@@ -116,11 +126,11 @@ def shingled(docs: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
                 rest = batch.slice(at, len(sets))
                 at += len(sets)
                 bits = np.array([_parity(s) for s in sets], np.int64).reshape(-1, len(PARITY))
-                out = [rest.column("doc_id"), rest.column("th"), pa.array([_name(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *[pa.array(bits[:, j]) for j in range(len(PARITY))], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first)))]
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "th", "node", "n", *PARITY, "first"])
+                out = [rest.column("doc_id"), rest.column("th"), pa.array([_name(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_simhash(s) for s in sets], pa.int64()), *[pa.array(bits[:, j]) for j in range(len(PARITY))], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first)))]
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "th", "node", "n", "fp", *PARITY, "first"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).select("doc_id", F.xxhash64("t").alias("th"), "t")
-    return rows.mapInArrow(run, f"doc_id long, th long, node long, n long, {', '.join(f'{c} long' for c in PARITY)}, first array<long>")
+    return rows.mapInArrow(run, f"doc_id long, th long, node long, n long, fp long, {', '.join(f'{c} long' for c in PARITY)}, first array<long>")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -149,10 +159,11 @@ def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar
     """The pairs u, v whose similarity is large enough, by their sets."""
     a, b = similar
     pairs = checkpointed(pairs.select("u", "v").distinct())
-    asked = pairs.select(F.explode(F.array("u", "v")).alias("asked")).distinct()
+    asked = bounded_broadcast(checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("asked")).distinct()))
     # one text of each node asked for
     texts = rows.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(F.min("th").alias("__th")).select("__th")
-    chosen = docs.select(whole_text().alias("t")).join(texts.distinct(), F.xxhash64("t") == F.col("__th"), "left_semi")
+    texts = bounded_broadcast(checkpointed(texts.distinct()))
+    chosen = docs.select(whole_text().alias("t")).join(texts, F.xxhash64("t") == F.col("__th"), "left_semi")
     sets = checkpointed(_sets(chosen, k).dropDuplicates(["node"]))
     left, right = sets.select(F.col("node").alias("un"), F.col("set").alias("us")), sets.select(F.col("node").alias("vn"), F.col("set").alias("vs"))
     both = pairs.join(left, F.col("u") == F.col("un")).join(right, F.col("v") == F.col("vn"))
@@ -160,30 +171,74 @@ def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar
     return checkpointed(both.where(common * (a + b) >= (F.size("us") + F.size("vs")) * a).select("u", "v"))
 
 
-def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
-    """u, v: links whose components are those of "the Jaccard similarity is at least a/b"."""
-    parity = [F.first(c).alias(c) for c in PARITY]
-    nodes = checkpointed(rows.groupBy("node").agg(F.first("n").alias("n"), *parity, F.first("first").alias("first")))
-    keyed = nodes.select("node", F.explode("first").alias("h"))
-    counts = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("low")).where("c > 1").select(F.col("h").alias("h2"), "low")
-    shared = checkpointed(keyed.join(counts, F.col("h") == F.col("h2")).select("h", "node", "low"))
-
-    def told(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(f"{name}node"), F.col("n").alias(f"{name}n"), *[F.col(c).alias(f"{name}{c}") for c in PARITY])
+def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """The pairs (u_node, v_node, u_n, v_n) that the places of their common first shingles allow.
 
-    met = shared.where("node <> low").select("node", "low").distinct()
-    met = met.join(told("u_"), F.col("node") == F.col("u_node")).join(told("v_"), F.col("low") == F.col("v_node")).where(_possible(similar, "u_", "v_"))
-    found = _decided(docs, rows, met.select(F.col("node").alias("u"), F.col("low").alias("v")), k, similar)
+    Up to the last common one, all common shingles are among the first of both and so in ``shared``.
+    """
+    a, b = similar
 
-    named = components(found).select(F.col("node").alias("k"), F.col("component").alias("label"))
-    marked = checkpointed(shared.join(named, F.col("node") == F.col("k"), "left").select("h", "node", "low", F.coalesce("label", "node").alias("label")))
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("u_n", "v_n"))
+            lists = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("u_h", "u_at", "v_h", "v_at")]
+            keep = np.zeros(len(n), bool)
+            for i in range(len(n)):
+                h, at, g, to = (values[ends[i] : ends[i + 1]] for ends, values in lists)
+                _, x, y = np.intersect1d(h, g, assume_unique=True, return_indices=True)
+                most = len(x) + min(n[i] - 1 - at[x].max(), m[i] - 1 - to[y].max()) if len(x) else 0
+                keep[i] = most * (a + b) >= (n[i] + m[i]) * a
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("u_node", "v_node")], ["u", "v"])
+
+    pairs = checkpointed(pairs.select("u_node", "v_node", "u_n", "v_n").distinct())
+    asked = bounded_broadcast(checkpointed(pairs.select(F.explode(F.array("u_node", "v_node")).alias("asked")).distinct()))
+    lists = shared.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(F.collect_list(F.struct("h", "at")).alias("l"))
+    lists = checkpointed(lists.select("node", F.col("l.h").alias("h"), F.col("l.at").alias("at")))
+    both = pairs
+    for x in ("u_", "v_"):
+        both = both.join(lists.select(F.col("node").alias(f"{x}k"), F.col("h").alias(f"{x}h"), F.col("at").alias(f"{x}at")), F.col(f"{x}node") == F.col(f"{x}k"))
+    return both.select("u_node", "v_node", "u_n", "v_n", "u_h", "u_at", "v_h", "v_at").mapInArrow(run, "u long, v long")
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """h, node, at: the first shingles that more than one row has, and their places."""
+    keyed = rows.select("node", F.posexplode("first").alias("at", "h"))
+    counts = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("h").alias("h2"))
+    return checkpointed(keyed.join(counts, F.col("h") == F.col("h2")).select("h", "node", "at").distinct())
+
+
+def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2) -> DataFrame:
+    """u, v: links whose components are those of "the Jaccard similarity is at least a/b"."""
+    spark = docs.sparkSession
+    nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITY)]))
+    found = _decided(docs, rows, links(nodes.where("n > 0").select("node", "fp"), radius), k, similar)
+    shared = _shared(rows)
+    release(spark)
+
+    def labelled(found: DataFrame) -> DataFrame:
+        named = components(found).select(F.col("node").alias("k"), F.col("component").alias("label"))
+        return checkpointed(nodes.join(named, F.col("node") == F.col("k"), "left").select("node", "n", *PARITY, F.coalesce("label", "node").alias("label")))
+
+    def told(known: DataFrame, x: str) -> DataFrame:
+        return known.select(*[F.col(c).alias(f"{x}{c}") for c in ("node", "label", "n", *PARITY)])
+
+    apart = F.col("u_label") != F.col("v_label")
+    known = labelled(found)
+    lows = shared.groupBy(F.col("h").alias("h2")).agg(F.min("node").alias("low"))
+    met = shared.join(lows, F.col("h") == F.col("h2")).where("node <> low").select("node", "low").distinct()
+    met = met.join(told(known, "u_"), F.col("node") == F.col("u_node")).join(told(known, "v_"), F.col("low") == F.col("v_node")).where(apart & _possible(similar, "u_", "v_"))
+    found = checkpointed(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
+    del met
+    release(spark)
+
+    known = labelled(found)
+    marked = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
     # a bucket within one component has nothing left to say, and all have met the smallest member
-    open_ones = marked.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(F.col("h").alias("h2"))
-    left = checkpointed(marked.where("node <> low").join(open_ones, F.col("h") == F.col("h2"), "left_semi").join(told("").withColumnRenamed("node", "x_node"), F.col("node") == F.col("x_node")))
-    one, two = (left.select("h", *[F.col(c).alias(f"{x}{c}") for c in ("node", "label", "n", *PARITY)]) for x in ("u_", "v_"))
-    one = one.withColumnRenamed("h", "h1")
-    rest = one.join(two, (F.col("h1") == F.col("h")) & (F.col("u_node") < F.col("v_node")) & (F.col("u_label") != F.col("v_label")) & _possible(similar, "u_", "v_"))
-    return found.union(_decided(docs, rows, rest.select(F.col("u_node").alias("u"), F.col("v_node").alias("v")), k, similar))
+    open_ones = marked.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("node").alias("low")).where("x <> y").select(F.col("h").alias("h2"), "low")
+    left = checkpointed(marked.join(open_ones, F.col("h") == F.col("h2")).where("node <> low").select(*marked.columns))
+    one, two = (left.select(F.col("h").alias(f"{x}h"), *[F.col(c).alias(f"{x}{c}") for c in ("node", "label", "n", *PARITY)]) for x in ("u_", "v_"))
+    rest = one.join(two, (F.col("u_h") == F.col("v_h")) & (F.col("u_node") < F.col("v_node")) & apart & _possible(similar, "u_", "v_"))
+    return found.union(_decided(docs, rows, _placed(rest, shared, similar), k, similar))
 
 
 def similar_rows(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5)) -> DataFrame:

@@ -3,18 +3,13 @@
 Fingerprint: every k-word shingle's XXH64 votes on 64 bits.  The fingerprints are counted natively:
 shingles are exploded from the word array and packed sums take the votes.
 
-Search: the masks are those of a covering family for radius r.  Each of the 64 bits gets a random
-vector of r + 1 bits; for each of the 2**(r+1) - 1 non-zero vectors v the mask keeps the bits whose
-vector has an odd inner product with v.  Any r differing bits span at most r dimensions, so some v is
-orthogonal to all of them: that mask keeps none of the differing bits and the pair collides.
-
-Links: only distinct fingerprints are searched, so exact copies and copies of one fingerprint never
-meet pairwise.  A bucket of at most ``block`` fingerprints is compared in one task and gives the edges
-of a spanning forest, never all of its pairs.  A larger bucket is solved exactly by meeting points:
-every member emits the points within ceil(r / 2) bits of it (among the bits that the mask leaves
-free); two members are within r exactly if a point of one's inner ball lies in the other's outer
-ball, and all members around such a point form one star.  That is linear in the bucket.  Where further
-fingerprints decide, a larger bucket is solved by pivots and then exactly among what they leave apart.
+Search: ``covering`` deals the fingerprints to the tables of a covering family of masks, so that every
+pair within the radius collides in some table.  Only distinct fingerprints are searched: exact copies
+and copies of one fingerprint never meet pairwise.
+
+``similar_groups`` and ``drop_similar`` decide by the exact Jaccard similarity of word shingles
+(``jaccard``): the covering tables over the SimHash of each shingle set find the first candidates, and
+a lossless index those pairs that lie beyond the radius.
 
 Nulls and ties: a null or blank text has fingerprint zero and is linked like any other; rows with a
 null doc_id get a fingerprint and take part in links but carry no smallest id (a component of such
@@ -23,37 +18,14 @@ rows alone has a null component_id).  An empty table gives an empty result; othe
 
 from __future__ import annotations
 
-import random
-from itertools import combinations
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import WHITE, ascii_lower, checkpointed, hex16, voted_bits, votes, whole_text, words_by
+from lodestone.llm.common import WHITE, ascii_lower, bounded_broadcast, checkpointed, hex16, voted_bits, votes, whole_text, words_by
 from lodestone.llm.components import components
+from lodestone.llm.covering import links
 from lodestone.llm.jaccard import similar_rows
 
-M64 = (1 << 64) - 1
-
-
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
-def covering_masks(radius: int, bits: int = 64, seed: int = 7) -> list[int]:
-    """2**(radius+1) - 1 bit masks; any two fingerprints within radius agree on all bits of at least one.
-
-    The vectors are dealt evenly over the bits, so that every mask keeps about half of them.
-    """
-    space = list(range(1, 1 << (radius + 1)))
-    rng, dealt = random.Random(seed), []
-    while len(dealt) < bits:
-        rng.shuffle(space)
-        dealt += space
-    return [sum(1 << i for i in range(bits) if (dealt[i] & v).bit_count() & 1) for v in range(1, 1 << (radius + 1))]
-
 
 def shingles(words: Column, k: int) -> Column:
     """k-word shingles as structs; fewer than k words give one shingle of all of them."""
@@ -78,126 +50,6 @@ def fingerprints(docs: DataFrame, k: int = 3, more: int = 0) -> DataFrame:
     return voted.select("doc_id", "th", voted_bits(0, F.col("total")).alias("fp"), *[voted_bits(j + 1, F.col("total")).alias(f"g{j}") for j in range(more)]).dropDuplicates(["doc_id", "th"])
 
 
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Spanning forest edges of a boolean adjacency matrix."""
-    left, edges = np.ones(len(near), bool), []
-    for i in range(len(near)):
-        if not left[i]:
-            continue
-        left[i], front = False, [i]
-        while front:
-            j = front.pop()
-            for x in np.nonzero(near[j] & left)[0]:
-                left[x] = False
-                edges.append((j, int(x)))
-                front.append(int(x))
-    return edges
-
-
-def _meeting_points(dense: DataFrame, masks: list[int], radius: int) -> DataFrame:
-    """Links of buckets of any size: bucket, fp -> u, v."""
-    outer, inner = (radius + 1) // 2, radius // 2
-
-    def expand(batches):
-        for pdf in batches:
-            for m, fp in zip(pdf["m"], pdf["fp"], strict=True):
-                free = [1 << i for i in range(64) if not masks[m] >> i & 1]
-                for d in range(outer + 1):
-                    z = [signed(((fp & M64) ^ sum(c)) & M64) for c in combinations(free, d)]
-                    yield pd.DataFrame({"m": m, "z": z, "fp": fp, "near": d <= inner})
-
-    points = dense.mapInPandas(expand, "m int, z bigint, fp bigint, near boolean")
-    # a point with no member's inner ball links nobody
-    stars = points.groupBy("m", "z").agg(F.min("fp").alias("v"), F.max("near").alias("met"), F.count(F.lit(1)).alias("n")).where("met and n > 1").select(F.col("m").alias("m2"), F.col("z").alias("z2"), "v")
-    return points.join(stars, (F.col("m") == F.col("m2")) & (F.col("z") == F.col("z2"))).select(F.col("fp").alias("u"), "v").where("u <> v").distinct()
-
-
-def links(prints: DataFrame, radius: int = 3, block: int = 2048, check: tuple[str, ...] = (), most: int = 0) -> DataFrame:
-    """u, v: links between nodes whose components are those of "fp differs in at most radius bits".
-
-    prints: node, fp and the columns of ``check``, one row per node.  With check columns (further
-    fingerprints) fp only finds candidates, and a link needs their summed distance to be at most ``most``.
-    """
-    masks = covering_masks(radius)
-    literal = F.array(*[F.struct(F.lit(i).alias("m"), F.lit(signed(x)).alias("mask")) for i, x in enumerate(masks)])
-    keyed = prints.select("node", "fp", F.explode(literal).alias("x")).select("node", F.col("x.m").alias("m"), F.col("fp").bitwiseAND(F.col("x.mask")).alias("key"))
-    counts = keyed.groupBy("m", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("m").alias("m2"), F.col("key").alias("key2"), "n")
-    shared = keyed.join(counts, (F.col("m") == F.col("m2")) & (F.col("key") == F.col("key2"))).select("m", "key", "n", F.col("node").alias("u"))
-    shared = checkpointed(shared.join(prints, F.col("u") == F.col("node")).select("m", "key", "n", *prints.columns))
-    names, limit = (list(check), most) if check else (["fp"], radius)
-
-    def compare(batches):
-        for pdf in batches:
-            u, v = [], []
-            for members in pdf["members"]:
-                nodes = [r["node"] for r in members]
-                cols = [np.array([r[c] for r in members], dtype=np.int64).view(np.uint64) for c in names]
-                d = sum(np.bitwise_count(c[:, None] ^ c[None, :]).astype(np.int16) for c in cols)
-                for i, j in _forest(d <= limit):
-                    u.append(nodes[i])
-                    v.append(nodes[j])
-            yield pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
-
-    # n is known before the lists are built, so no list exceeds the block
-    lists = shared.where(F.col("n") <= block).groupBy("m", "key").agg(F.collect_list(F.struct("node", *names)).alias("members"))
-    found = lists.select("members").mapInPandas(compare, "u bigint, v bigint").distinct()
-    dense = shared.where(F.col("n") > block)
-    if check:
-        return _dense_links(checkpointed(found), dense, names, limit, block)
-    points = _meeting_points(dense.select("m", "fp"), masks, radius)
-    return found.union(points)
-
-
-def _dense_links(found: DataFrame, dense: DataFrame, names: list[str], limit: int, block: int, pivots: int = 8) -> DataFrame:
-    """found and the links that buckets over the block size add when check columns decide.
-
-    First every member meets a few pivots of its bucket, which joins a family of near copies in linear
-    time.  The components of the links so far are then known: of each bucket only the members outside
-    its most common component (usually few) still meet all others, in pairs of pieces of about half a
-    block each.  Two components that meet give one link, so no pair is lost and never all are emitted.
-    """
-    if dense.isEmpty():
-        return found
-
-    def d(a: str, b: str):
-        return sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in names), F.lit(0))
-
-    keys = [F.col("m") == F.col("m2"), F.col("key") == F.col("key2")]
-    chosen = dense.groupBy("m", "key", F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("piece")).agg(F.min_by(F.struct("node", *names), "node").alias("p")).select(F.col("m").alias("m2"), F.col("key").alias("key2"), "p")
-    met = dense.join(chosen, keys + [d("", "p.") <= limit, F.col("node") != F.col("p.node")])
-    first = checkpointed(found.union(met.select(F.col("node").alias("u"), F.col("p.node").alias("v"))).distinct())
-
-    named = components(first).select(F.col("node").alias("k"), F.col("component").alias("label"))
-    marked = checkpointed(dense.join(named, F.col("node") == F.col("k"), "left").select("m", "key", "n", "node", F.coalesce("label", "node").alias("label"), *names))
-    shares = marked.groupBy("m", "key", "label").agg(F.count(F.lit(1)).alias("c"))
-    mains = shares.groupBy("m", "key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.sum("c").alias("all"), F.max("c").alias("c"))
-    left = mains.where(F.col("c") < F.col("all")).select(F.col("m").alias("m2"), F.col("key").alias("key2"), "main", (F.col("all") - F.col("c")).alias("r"))
-    split = marked.join(left, keys).select("m", "key", "node", "label", *names, (F.col("label") != F.col("main")).alias("rest"), (F.col("n") * 2 / block + 1).cast("long").alias("wide"), (F.col("r") * 2 / block + 1).cast("long").alias("deep"))
-    h, one = F.xxhash64("node"), F.lit(1).cast("long")
-    cells = [F.col(x) for x in ("m", "key", "node", "label", *names)]
-    all_of_them = split.select(*cells, F.lit(False).alias("asks"), F.pmod(h, "wide").alias("a"), F.explode(F.sequence(one, F.col("deep"))).alias("b"))
-    asking = split.where("rest").select(*cells, F.lit(True).alias("asks"), F.explode(F.sequence(one, F.col("wide"))).alias("a"), (F.pmod(h, "deep") + 1).alias("b")).withColumn("a", F.col("a") - 1)
-
-    def compare(batches):
-        for pdf in batches:
-            u, v = [], []
-            for members in pdf["members"]:
-                ask = np.array([r["asks"] for r in members], bool)
-                nodes, label = (np.array([r[x] for r in members], np.int64) for x in ("node", "label"))
-                cols = [np.array([r[c] for r in members], dtype=np.int64).view(np.uint64) for c in names]
-                near = sum(np.bitwise_count(c[ask][:, None] ^ c[~ask][None, :]).astype(np.int16) for c in cols) <= limit
-                i, j = np.nonzero(near & (label[ask][:, None] != label[~ask][None, :]))
-                seen = {(int(x), int(y)): k for k, (x, y) in enumerate(zip(label[ask][i], label[~ask][j], strict=True))}
-                u += [int(nodes[ask][i[k]]) for k in seen.values()]
-                v += [int(nodes[~ask][j[k]]) for k in seen.values()]
-            yield pd.DataFrame({"u": np.array(u, np.int64), "v": np.array(v, np.int64)})
-
-    pieces = all_of_them.unionByName(asking).groupBy("m", "key", "a", "b").agg(F.collect_list(F.struct("asks", "node", "label", *names)).alias("members"))
-    # a piece without askers, or with askers alone, has nothing to compare
-    pieces = pieces.where(F.exists("members", lambda x: x["asks"]) & F.exists("members", lambda x: ~x["asks"]))
-    return first.union(pieces.select("members").mapInPandas(compare, "u bigint, v bigint")).distinct()
-
-
 def near_groups(docs: DataFrame, k: int = 3, radius: int = 3, block: int = 2048) -> DataFrame:
     """doc_id, fingerprint, component_id for every row."""
     prints = checkpointed(fingerprints(docs, k))
@@ -229,6 +81,7 @@ def drop_similar(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5))
     stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("th") == F.col("best.th"))
     gone = rows.join(best, F.col("component") == F.col("c")).where(~stays).select(F.col("doc_id").alias("__gone"), F.col("th").alias("__gone_th")).distinct()
     keyed = docs.withColumn("__th", F.xxhash64(whole_text()))
+    gone = bounded_broadcast(checkpointed(gone))
     kept = keyed.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (F.col("__th") == F.col("__gone_th")), "left_anti")
     # rows of one id and text are told apart only where there are any
     if not rows.groupBy("doc_id", "th").count().where("count > 1").isEmpty():

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lodestone.llm import components, exact_dedup, fingerprint, mixing, near_dedup
+from lodestone.llm import components, covering, exact_dedup, fingerprint, mixing, near_dedup
 
 BASE = " ".join(f"word{i % 37}x{i % 11} tail{i}" for i in range(300))
 TEXTS = [(1, "a b c d e", "x"), (2, "a b c d e", "x"), (3, None, None), (4, "", "y"), (5, " \t\n", None), (6, "one", "z"), (7, BASE, "x"), (8, BASE.replace("tail7", "head7"), "x"), (9, BASE.replace("tail7 ", "head7 ").replace("tail90", "q"), "y"), (9, "dup id", "y"), (9, "dup id", "y"), (None, "no id", "y"), (10, "ÄÖ ü " * 50, "\U0001f600"), (11, "long " * 20000, "x")]
@@ -82,43 +82,18 @@ def test_links_in_dense_buckets(spark, block):
         c = rng.getrandbits(64)
         values += [c] + [c ^ sum(1 << b for b in rng.sample(range(64), rng.choice([1, 2, 3, 5]))) for _ in range(5)]
     values = sorted(set(values))
-    df = spark.createDataFrame([(near_dedup.signed(v),) for v in values], "fp long").withColumn("node", F.col("fp"))
-    got = {r.node: r.component for r in components.components(near_dedup.links(df, 3, block)).collect()}
-    signed = sorted(map(near_dedup.signed, values))
-    label = smallest(len(signed), [(a, b) for a, b in combinations(range(len(signed)), 2) if ((signed[a] ^ signed[b]) & near_dedup.M64).bit_count() <= 3])
+    df = spark.createDataFrame([(covering.signed(v),) for v in values], "fp long").withColumn("node", F.col("fp"))
+    got = {r.node: r.component for r in components.components(covering.links(df, 3, block)).collect()}
+    signed = sorted(map(covering.signed, values))
+    label = smallest(len(signed), [(a, b) for a, b in combinations(range(len(signed)), 2) if ((signed[a] ^ signed[b]) & covering.M64).bit_count() <= 3])
     assert {v: got.get(v, v) for v in signed} == {v: signed[label[i]] for i, v in enumerate(signed)}
 
 
-@pytest.mark.parametrize("block", [2048, 8, 2])
-def test_checked_links_lose_nothing_in_dense_buckets(spark, block):
-    """Candidates within 6 bits, links within 20 bits of two more fingerprints; chains reach beyond any pivot."""
-    import random
-
-    rng, rows = random.Random(4), set()
-    flip = lambda x, bits, k: x ^ sum(1 << b for b in rng.sample(range(bits), k))
-    for _ in range(3):
-        f, g = rng.getrandbits(64), rng.getrandbits(128)
-        for _ in range(25):
-            rows.add((flip(f, 64, rng.choice([0, 1, 3])), flip(g, 128, rng.choice([4, 9, 12]))))
-        for _ in range(12):  # a chain, each 15 bits from the one before
-            g = flip(g, 128, 15)
-            rows.add((f, g))
-    rows = sorted(rows)
-    low = lambda x: near_dedup.signed(x & near_dedup.M64)
-    df = spark.createDataFrame([(i, low(f), low(g), low(g >> 64)) for i, (f, g) in enumerate(rows)], "node long, fp long, g0 long, g1 long")
-    near = [(a, b) for a, b in combinations(range(len(rows)), 2) if (rows[a][0] ^ rows[b][0]).bit_count() <= 6 and (rows[a][1] ^ rows[b][1]).bit_count() <= 20]
-    # pairs that share a bucket by chance are candidates too, so only their distance is held against the links
-    fair = [(a, b) for a, b in combinations(range(len(rows)), 2) if (rows[a][1] ^ rows[b][1]).bit_count() <= 20]
-    found = [(r.u, r.v) for r in near_dedup.links(df, 6, block, ("g0", "g1"), 20).collect()]
-    label = smallest(len(rows), found)
-    assert all(label[a] == label[b] for a, b in near) and {tuple(sorted(x)) for x in found} <= set(fair)
-
-
 @pytest.mark.parametrize("radius", [1, 2, 3, 6])
 def test_masks_cover(radius):
     import random
 
-    masks, rng = near_dedup.covering_masks(radius), random.Random(1)
+    masks, rng = covering.covering_masks(radius), random.Random(1)
     assert len(masks) == 2 ** (radius + 1) - 1
     for _ in range(500):
         d = sum(1 << b for b in rng.sample(range(64), radius))
@@ -182,7 +157,7 @@ def test_fingerprint_neighbours(spark):
     rng = random.Random(5)
     c = [rng.getrandbits(128) for _ in range(4)]
     values = sorted({x ^ sum(1 << b for b in rng.sample(range(128), k)) for x in c for k in (0, 2, 4, 6, 9)})
-    low = lambda x: near_dedup.signed(x & near_dedup.M64)
+    low = lambda x: covering.signed(x & covering.M64)
     df = spark.createDataFrame([(low(v), low(v >> 64)) for v in values], "f0 long, f1 long")
     want = sum((a ^ b).bit_count() <= 7 for a, b in combinations(values, 2))
     assert fingerprint.neighbours(df, 7).count() == want
