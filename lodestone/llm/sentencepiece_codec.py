@@ -2,14 +2,15 @@
 
 The model file is parsed (a small protobuf reader, no generated code) and rebuilt: its normaliser
 (identity, dummy prefix, extra white space), the metaspace marker, byte fallback, and either a Unigram
-model from the piece scores or, for a BPE model, the merges that its scores rank.  Batches are encoded
-by the library's threads.  ``verify`` compares every text with the SentencePiece library itself.
+model from the piece scores or, for a BPE model, the merges that its scores rank.  Batches of whole
+texts are encoded by the library's threads and decoded again; ``verify`` encodes every text with the
+SentencePiece library too and compares.
 
 The model's path is a parameter and may be any file that the driver reads; its bytes travel to the
 executors with the task, whose size is that of one vocabulary.
 
 Where no piece of the vocabulary has the marker after another character (this is checked), merges never
-cross the start of a run of blanks: distinct cuts are encoded once per batch.
+cross the start of a run of blanks: words are encoded apart, and very long texts in segments.
 
 Nulls and ties: a null text is empty and has no ids; every row is encoded by itself; a null doc_id is
 kept; an empty table gives an empty result; other columns are ignored by ``encoded``.
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import bounded_batches, pieces, whole_text
 
 MARK = "▁"
+STARTS = re.compile(f"(?<![ {MARK}])[ {MARK}](?=.)", re.DOTALL)  # where runs of blanks start that do not end the text at once
 # Piece kinds and model kinds of the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -144,108 +146,67 @@ _built: dict[str, object] = {}
 
 
 class Codec:
-    """Encodes whole texts by way of their distinct pieces between blanks.
+    """Encodes and decodes whole texts, and compares both with the text and the SentencePiece library.
 
-    A cut starts at each run of blanks, where no merge crosses.  New cuts of a batch are encoded
-    together by the library's threads, decoded again, and compared with the SentencePiece library; a
-    slice of cuts is compared as a whole first, and cut by cut only where that finds a difference.
-    The results are kept as little-endian ids, up to about ``most`` cuts in two generations: when the
-    younger is full it becomes the older, and what is still used moves back.
+    Texts over ``longest`` characters are cut at starts of runs of blanks, which no merge crosses, so that
+    the libraries' tables follow the segment and not the text; shorter texts are one segment.
     """
 
-    def __init__(self, data: bytes, verify: bool, most: int = 250_000):
-        self.tokenizer, self.verify, self.most = build_tokenizer(data), verify, most
+    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, threads: int = 2):
+        from tokenizers import normalizers
+
         m = parse_model(data)
-        if m["squeeze"] or not m["dummy_prefix"] or m["charsmap"] or not self.tokenizer.pre_tokenizer:
-            self.cut = None  # such a model's texts are encoded whole
-        else:
-            self.cut = re.compile(" +[^ ]*").findall
-            self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
-        self.prefix = " " if m["dummy_prefix"] else ""
-        # what each id stands for, as bytes: byte pieces join to characters
-        self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
-        self.sizes = np.array([len(x) for x in self.surface], np.int64)
-        self.ids: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.bad: set[str] = set()  # cuts that do not decode to themselves
-        self.other: set[str] = set()  # cuts that the SentencePiece library encodes otherwise
+        self.tokenizer, self.longest, self.threads, self.library = build_tokenizer(data), longest, threads, None
+        self.cuts = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and self.tokenizer.pre_tokenizer is not None
+        if self.cuts:  # segments bring their first blank along, the dummy prefix or the text's
+            self.tokenizer.normalizer = normalizers.Replace(" ", MARK)
         if verify:
             import sentencepiece
 
             self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
 
-    def apart(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all cuts one after another, and where each cut's end."""
-        given = cuts if self.cut is None else [c.replace(" ", MARK) for c in cuts]  # such cuts are normalised already
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
-        return np.array([i for x in lists for i in x], "<i4"), np.cumsum([len(x) for x in lists])
-
-    def together(self, cuts: list[str], run: int = 512) -> np.ndarray:
-        """The same ids, from one encoding per run of cuts, whose words they are."""
-        given = [c.replace(" ", MARK) for c in cuts]
-        runs = [given[i : i + run] for i in range(0, len(given), run)]
-        return np.concatenate([np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)])
-
-    def decoded(self, flat: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """What ids stand for, and where each one starts (and the last ends)."""
-        return b"".join(map(self.surface.__getitem__, flat.tolist())), np.concatenate([[0], np.cumsum(self.sizes[flat])])
-
-    def learn(self, cuts: list[str]) -> None:
-        whole = cuts if self.cut is None else [c[1:] for c in cuts]  # the dummy prefix stands for the first blank
-        expected = [(self.prefix + w).encode() for w in whole]
-        flat = ends = None
-        if self.cut:
-            flat = self.together(cuts)
-            back, at = self.decoded(flat)
-            sizes = np.cumsum([len(x) for x in expected])
-            ends = np.searchsorted(at, sizes)
-            if back != b"".join(expected) or not np.array_equal(at[ends], sizes):
-                flat = None  # some cut does not decode to itself: its ids do not tell where it ends
-        if flat is None:
-            flat, ends = self.apart(cuts)
-            back, at = self.decoded(flat)
-            self.bad.update(c for c, x, i, j in zip(cuts, expected, [0, *at[ends[:-1]]], at[ends], strict=True) if back[i:j] != x)
-        ours, starts, ends = flat.tolist(), [0, *ends[:-1].tolist()], ends.tolist()
-        if self.verify:
-            theirs = self.library.encode(whole, num_threads=1)
-            self.other.update(c for c, x, i, j in zip(cuts, theirs, starts, ends, strict=True) if x != ours[i:j])
-        raw = flat.tobytes()
-        self.ids.update((c, raw[4 * i : 4 * j]) for c, i, j in zip(cuts, starts, ends, strict=True))
-
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
-        if len(self.ids) > self.most // 2:
-            self.older, self.ids = self.ids, {}
-            self.bad &= self.older.keys()
-            self.other &= self.older.keys()
-        cuts = [[t] if self.cut is None else self.cut(f" {t.replace(MARK, ' ')}") if t else [] for t in texts]
-        missing = set().union(*cuts).difference(self.ids)
-        known = missing.intersection(self.older)
-        self.ids.update((c, self.older[c]) for c in known)
-        new = list(missing - known)
-        for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
-            self.learn(new[i : i + 4096])
-        ids = [b"".join(map(self.ids.__getitem__, c)) for c in cuts]
-        round_trip = [(not self.bad or self.bad.isdisjoint(c)) and MARK not in t for c, t in zip(cuts, texts, strict=True)]
-        return ids, round_trip, [not self.other or self.other.isdisjoint(c) for c in cuts]
-
-    def forget(self) -> None:
-        """Drops the kept cuts: a worker outlives its task, and other tasks need the memory."""
-        self.ids, self.older, self.bad, self.other = {}, {}, set(), set()
-        pa.default_memory_pool().release_unused()
-
-
-def _codec(data: bytes, verify: bool) -> Codec:
-    """One per Python worker and model."""
+    def segments(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text] if text else []
+        out, at, padded = [], 0, f" {text}" if text else ""
+        while len(padded) - at > self.longest and (found := STARTS.search(padded, at + self.longest)):
+            out.append(padded[at : found.start()])
+            at = found.start()
+        return [*out, padded[at:]] if padded else []
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool], list[bool | None]]:
+        """Ids, round_trip and parity (None without the library) of every text."""
+        cut = [self.segments(t) for t in texts]
+        flat = [x for xs in cut for x in xs]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
+        whole = [x[1:] for x in flat] if self.cuts else flat
+        back = [a == b for a, b in zip(self.tokenizer.decode_batch(ids, skip_special_tokens=False), whole, strict=True)]
+        same = [a == b for a, b in zip(self.library.encode(whole, num_threads=self.threads), ids, strict=True)] if self.library else []
+        out, round_trip, parity, at = [], [], [], 0
+        for xs in cut:
+            end = at + len(xs)
+            out.append(ids[at] if len(xs) == 1 else [i for x in ids[at:end] for i in x])
+            round_trip.append(all(back[at:end]))
+            parity.append(all(same[at:end]) if self.library else None)
+            at = end
+        return out, round_trip, parity
+
+
+def _codec(data: bytes, verify: bool, threads: int = 2) -> Codec:
+    """One per Python worker and model; the library's thread pool starts with the first."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "true"
+    os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
     key = hashlib.sha256(data).hexdigest() + str(verify)
     if key not in _built:
-        _built[key] = Codec(data, verify)
+        _built[key] = Codec(data, verify, threads=threads)
     return _built[key]
 
 
-def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int = 2) -> DataFrame:
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
-    round_trip: the ids decode to the text.  parity: the SentencePiece library gives the same ids.
+    round_trip: the tokenizer decodes the ids to the text.  parity: the SentencePiece library gives the
+    same ids for the text.  threads: of the libraries, per task.
     """
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
@@ -253,21 +214,14 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False) -> DataFrame
     shared = docs.sparkSession.sparkContext.broadcast(data)  # one vocabulary: its size is the model file's
 
     def run(batches):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-        codec = _codec(shared.value, verify)
-        try:
-            yield from coded(codec, batches)
-        finally:
-            codec.forget()
-
-    def coded(codec, batches):
+        codec = _codec(shared.value, verify, threads)
         for batch in batches:
             at = 0
-            for part in pieces(batch.column("t")):
+            for part in pieces(batch.column("t"), 1 << 18):
                 ids, round_trip, same = codec.encode(part.to_pylist())
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same if verify else [None] * len(ids), pa.bool_())]
+                ends = np.cumsum([0, *map(len, ids)])
+                values = np.fromiter((i for x in ids for i in x), np.int32, ends[-1])
+                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)), pa.array(round_trip, pa.bool_()), pa.array(same, pa.bool_())]
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
 

@@ -1,7 +1,9 @@
 """Scans, classifiers, tokenizer and token output on small fixtures."""
 
 import hashlib
+import itertools
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -140,6 +142,55 @@ def test_sentencepiece(docs):
     assert sorted((r.doc_id or -1, r.text) for r in back.collect()) == sorted((i or -1, t or "") for i, t in TEXTS)
 
 
+def message(*fields):
+    """Protobuf bytes of (number, int | float | bytes | str) fields."""
+
+    def varint(x):
+        out = b""
+        while x > 127:
+            out, x = out + bytes([x & 127 | 128]), x >> 7
+        return out + bytes([x])
+
+    out = b""
+    for n, v in fields:
+        if isinstance(v, int):
+            out += varint(n << 3) + varint(v)
+        elif isinstance(v, float):
+            out += varint(n << 3 | 5) + struct.pack("<f", v)
+        else:
+            v = v.encode() if isinstance(v, str) else v
+            out += varint(n << 3 | 2) + varint(len(v)) + v
+    return out
+
+
+def model_file(kind, prefix=True):
+    """A model written out by hand, not trained: all short runs of a few letters, and bytes for the rest."""
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]]
+    runs = ["".join(x) for n in (1, 2, 3) for x in itertools.product("abé", repeat=n)]
+    runs += [f"▁{x}" for x in ["", *runs]]
+    # longer pieces are likelier, in an order of a hash; steps that 32-bit sums over a whole text keep apart
+    pieces += [(x, -12.0 + 3.0 * len(x) - int(hashlib.md5(x.encode()).hexdigest()[:3], 16) / 512, 1) for x in runs]
+    return message(*[(1, message((1, p), (2, s), (3, k))) for p, s, k in pieces], (2, message((3, kind), (35, 1))), (3, message((1, "identity"), (3, int(prefix)), (4, 0), (5, 1))))
+
+
+@pytest.mark.parametrize("kind", [sentencepiece_codec.UNIGRAM, sentencepiece_codec.BPE])
+@pytest.mark.parametrize("prefix", [True, False])
+@pytest.mark.parametrize("longest", [1 << 20, 16])
+def test_rebuilt_models(kind, prefix, longest):
+    """Whole texts against the SentencePiece library, uncut and in segments."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    data = model_file(kind, prefix)
+    library = sentencepiece.SentencePieceProcessor(model_proto=data)
+    rng = np.random.default_rng(4)
+    texts = ["", " ", "a", "  ab  ", "é", "😀 abx\u0301\n\tb", "▁a ▁", *["".join(rng.choice(list("aabbé  x\n"), n)) for n in (5, 40, 400, 3000) for _ in range(10)]]
+    codec = sentencepiece_codec.Codec(data, True, longest)
+    ids, round_trip, parity = codec.encode(texts)
+    assert ids == [library.encode(t) for t in texts] and all(parity)
+    assert round_trip == ["▁" not in t for t in texts]
+    if prefix and longest == 16:
+        assert max(map(len, map(codec.segments, texts))) > 20
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 257, 1000])
 def test_permutation_is_a_bijection(n):
     assert sorted(token_output.permuted(np.arange(n), n, 7)) == list(range(n))
