@@ -3,8 +3,8 @@
 The model file is parsed (a small protobuf reader, no generated code) and rebuilt: its normaliser
 (identity, dummy prefix, extra white space), the metaspace marker, byte fallback, and either a Unigram
 model from the piece scores or, for a BPE model, the merges that its scores rank.  Batches of whole
-texts are encoded by the library's threads and decoded again; ``verify`` encodes every text with the
-SentencePiece library too and compares.
+texts are encoded, new words by the library's threads, and turned back into text; ``verify`` encodes
+every text with the SentencePiece library too and compares.  ``decoded`` is the tokenizer's decoder.
 
 The model's path is a parameter and may be any file that the driver reads; its bytes travel to the
 executors with the task, whose size is that of one vocabulary.
@@ -33,6 +33,7 @@ from lodestone.llm.common import bounded_batches, pieces, whole_text
 
 MARK = "▁"
 STARTS = re.compile(f"(?<![ {MARK}])[ {MARK}](?=.)", re.DOTALL)  # where runs of blanks start that do not end the text at once
+CUT = re.compile(f"{MARK}+[^{MARK}]*").findall
 # Piece kinds and model kinds of the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -146,20 +147,25 @@ _built: dict[str, object] = {}
 
 
 class Codec:
-    """Encodes and decodes whole texts, and compares both with the text and the SentencePiece library.
+    """Encodes whole texts, and compares each one's ids with the text and with the SentencePiece library's.
 
-    Texts over ``longest`` characters are cut at starts of runs of blanks, which no merge crosses, so that
-    the libraries' tables follow the segment and not the text; shorter texts are one segment.
+    Where no merge crosses the start of a run of blanks the tokenizer sees every distinct cut between such
+    starts once, and the ids of a text are joined from those of its cuts; up to ``room`` bytes of them are
+    kept.  Texts over ``longest`` characters are taken in segments that end where a cut does, so that the
+    libraries' tables follow the segment and not the text; shorter texts are one segment.
     """
 
-    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, threads: int = 2):
-        from tokenizers import normalizers
-
+    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, threads: int = 2, room: int = 48 << 20):
         m = parse_model(data)
-        self.tokenizer, self.longest, self.threads, self.library = build_tokenizer(data), longest, threads, None
+        self.tokenizer, self.longest, self.threads, self.room, self.library = build_tokenizer(data), longest, threads, room, None
         self.cuts = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and self.tokenizer.pre_tokenizer is not None
-        if self.cuts:  # segments bring their first blank along, the dummy prefix or the text's
-            self.tokenizer.normalizer = normalizers.Replace(" ", MARK)
+        if self.cuts:  # cuts are normalised already, and bring their first blank along: the dummy prefix or the text's
+            self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
+        self.blank = "" if self.cuts or not m["dummy_prefix"] else " "
+        # what each id stands for, as bytes: byte pieces join to characters
+        self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
+        self.known: dict[str, bytes] = {}
+        self.used = 0
         if verify:
             import sentencepiece
 
@@ -174,18 +180,37 @@ class Codec:
             at = found.start()
         return [*out, padded[at:]] if padded else []
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool], list[bool | None]]:
-        """Ids, round_trip and parity (None without the library) of every text."""
+    def apart(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def joined(self, segments: list[str]) -> list[bytes]:
+        """Little-endian ids of segments, from those of their cuts."""
+        cut = [CUT(x.replace(" ", MARK)) for x in segments]
+        new = list(set().union(*cut).difference(self.known))
+        if self.used > self.room:
+            self.known, self.used, new = {}, 0, list(set().union(*cut))
+        for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
+            part = new[i : i + 4096]
+            ids = self.apart(part)
+            self.known.update(zip(part, ids, strict=True))
+            self.used += sum(map(len, part)) + sum(map(len, ids)) + 200 * len(part)  # two objects and an entry each
+        return [b"".join(map(self.known.__getitem__, x)) for x in cut]
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool | None]]:
+        """Little-endian ids, round_trip and parity (None without the library) of every text."""
         cut = [self.segments(t) for t in texts]
         flat = [x for xs in cut for x in xs]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
-        whole = [x[1:] for x in flat] if self.cuts else flat
-        back = [a == b for a, b in zip(self.tokenizer.decode_batch(ids, skip_special_tokens=False), whole, strict=True)]
-        same = [a == b for a, b in zip(self.library.encode(whole, num_threads=self.threads), ids, strict=True)] if self.library else []
+        raw = self.joined(flat) if self.cuts else self.apart(flat)
+        numbers = [np.frombuffer(x, "<i4").tolist() for x in raw]
+        back = [b"".join(map(self.surface.__getitem__, i)) == (self.blank + x).encode() for i, x in zip(numbers, flat, strict=True)]
+        same = [None] * len(flat)
+        if self.library:
+            theirs = self.library.encode([x[1:] for x in flat] if self.cuts else flat, num_threads=self.threads)
+            same = [x == i for x, i in zip(theirs, numbers, strict=True)]
         out, round_trip, parity, at = [], [], [], 0
         for xs in cut:
             end = at + len(xs)
-            out.append(ids[at] if len(xs) == 1 else [i for x in ids[at:end] for i in x])
+            out.append(b"".join(raw[at:end]))
             round_trip.append(all(back[at:end]))
             parity.append(all(same[at:end]) if self.library else None)
             at = end
@@ -205,8 +230,8 @@ def _codec(data: bytes, verify: bool, threads: int = 2) -> Codec:
 def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int = 2) -> DataFrame:
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
-    round_trip: the tokenizer decodes the ids to the text.  parity: the SentencePiece library gives the
-    same ids for the text.  threads: of the libraries, per task.
+    round_trip: what the ids stand for is the text.  parity: the SentencePiece library gives the same ids
+    for the text.  threads: of the libraries, per task.
     """
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
@@ -219,9 +244,8 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int
             at = 0
             for part in pieces(batch.column("t"), 1 << 18):
                 ids, round_trip, same = codec.encode(part.to_pylist())
-                ends = np.cumsum([0, *map(len, ids)])
-                values = np.fromiter((i for x in ids for i in x), np.int32, ends[-1])
-                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values)), pa.array(round_trip, pa.bool_()), pa.array(same, pa.bool_())]
+                ends, values = np.cumsum([0, *map(len, ids)]) // 4, pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same, pa.bool_())]
                 at += len(part)
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
 

@@ -184,8 +184,12 @@ def test_rebuilt_models(kind, prefix, longest):
     rng = np.random.default_rng(4)
     texts = ["", " ", "a", "  ab  ", "é", "😀 abx\u0301\n\tb", "▁a ▁", *["".join(rng.choice(list("aabbé  x\n"), n)) for n in (5, 40, 400, 3000) for _ in range(10)]]
     codec = sentencepiece_codec.Codec(data, True, longest)
-    ids, round_trip, parity = codec.encode(texts)
+    raw, round_trip, parity = codec.encode(texts)
+    ids = [np.frombuffer(x, "<i4").tolist() for x in raw]
     assert ids == [library.encode(t) for t in texts] and all(parity)
+    assert codec.tokenizer.decode_batch(ids, skip_special_tokens=False) == [t.replace("▁", " ") for t in texts]
+    codec.room = 0  # nothing is kept from one call to the next
+    assert codec.encode(texts) == (raw, round_trip, parity)
     assert round_trip == ["▁" not in t for t in texts]
     if prefix and longest == 16:
         assert max(map(len, map(codec.segments, texts))) > 20
