@@ -22,6 +22,7 @@ import hashlib
 import os
 import re
 import struct
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -155,9 +156,9 @@ class Codec:
     libraries' tables follow the segment and not the text; shorter texts are one segment.
     """
 
-    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, threads: int = 2, room: int = 48 << 20):
+    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, room: int = 160 << 20):
         m = parse_model(data)
-        self.tokenizer, self.longest, self.threads, self.room, self.library = build_tokenizer(data), longest, threads, room, None
+        self.tokenizer, self.longest, self.room, self.library = build_tokenizer(data), longest, room, None
         self.cuts = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and self.tokenizer.pre_tokenizer is not None
         if self.cuts:  # cuts are normalised already, and bring their first blank along: the dummy prefix or the text's
             self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
@@ -181,20 +182,24 @@ class Codec:
         return [*out, padded[at:]] if padded else []
 
     def apart(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        raw = np.array(list(chain.from_iterable(lists)), "<i4").tobytes()
+        ends = list(accumulate(map(len, lists), initial=0))
+        return [raw[4 * i : 4 * j] for i, j in pairwise(ends)]
 
     def joined(self, segments: list[str]) -> list[bytes]:
         """Little-endian ids of segments, from those of their cuts."""
         cut = [CUT(x.replace(" ", MARK)) for x in segments]
-        new = list(set().union(*cut).difference(self.known))
         if self.used > self.room:
-            self.known, self.used, new = {}, 0, list(set().union(*cut))
+            self.known, self.used = {}, 0
+        found = [list(map(self.known.get, x)) for x in cut]
+        new = list({c for x, ids in zip(cut, found, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None})
         for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
             part = new[i : i + 4096]
             ids = self.apart(part)
             self.known.update(zip(part, ids, strict=True))
             self.used += sum(map(len, part)) + sum(map(len, ids)) + 200 * len(part)  # two objects and an entry each
-        return [b"".join(map(self.known.__getitem__, x)) for x in cut]
+        return [b"".join(map(self.known.__getitem__, x) if None in ids else ids) for x, ids in zip(cut, found, strict=True)]
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool | None]]:
         """Little-endian ids, round_trip and parity (None without the library) of every text."""
@@ -205,7 +210,7 @@ class Codec:
         back = [b"".join(map(self.surface.__getitem__, i)) == (self.blank + x).encode() for i, x in zip(numbers, flat, strict=True)]
         same = [None] * len(flat)
         if self.library:
-            theirs = self.library.encode([x[1:] for x in flat] if self.cuts else flat, num_threads=self.threads)
+            theirs = self.library.encode([x[1:] for x in flat] if self.cuts else flat, num_threads=1)
             same = [x == i for x, i in zip(theirs, numbers, strict=True)]
         out, round_trip, parity, at = [], [], [], 0
         for xs in cut:
@@ -223,7 +228,7 @@ def _codec(data: bytes, verify: bool, threads: int = 2) -> Codec:
     os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
     key = hashlib.sha256(data).hexdigest() + str(verify)
     if key not in _built:
-        _built[key] = Codec(data, verify, threads=threads)
+        _built[key] = Codec(data, verify)
     return _built[key]
 
 
@@ -231,7 +236,7 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
     round_trip: what the ids stand for is the text.  parity: the SentencePiece library gives the same ids
-    for the text.  threads: of the libraries, per task.
+    for the text.  threads: of the tokenizers library, per task.
     """
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
