@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import WHITE, checkpointed, whole_text, words_by
 
-RES = "struct<id:bigint,ord:bigint,size:bigint,whole:bigint,p:double,skey:string>"
-OUT = "array<struct<id:bigint,ord:bigint,size:bigint,copies:bigint>>"
+ROW = ["id", "th", "ord", "size"]
+RES = "struct<id:bigint,th:bigint,ord:bigint,size:bigint,whole:bigint,p:double>"
+OUT = "array<struct<id:bigint,th:bigint,ord:bigint,size:bigint,copies:bigint>>"
 
 
 def word_count(text: Column) -> Column:
@@ -45,7 +46,7 @@ def source_targets(sources: DataFrame, weights: list[float], cap: float) -> Data
     """source, source_size, n, target from source, source_size, n: one row per source.
 
     The level L solves sum(min(cap * size, L * weight)) = sum(size); it is what repeated resharing of
-    the excess by weight ends at.  The two windows see one row per source.
+    the excess by weight ends at.  The windows see one narrow row per source.
     """
     ranked = sources.withColumn("i", F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1)
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("i") % len(weights) + 1).cast("int"))
@@ -73,7 +74,7 @@ def _pivot(items: Column, seed: int) -> Column:
         # words that can move from the carried document to x, and from x to it
         give = F.least(c["p"] * sc, (1 - x["p"]) * sx)
         take = F.least((1 - c["p"]) * sc, x["p"] * sx)
-        u = coin(F.lit(seed), c["id"], c["ord"], x["id"], x["ord"])
+        u = coin(F.lit(seed), *[y[f] for y in (c, x) for f in ROW[:3]])
         give_now = u * (give + take) < take
         # after the move one of the two is exactly 0 or 1; which one follows from the smaller bound
         c_ends = F.when(give_now, c["p"] * sc <= (1 - x["p"]) * sx).otherwise((1 - c["p"]) * sc <= x["p"] * sx)
@@ -83,8 +84,8 @@ def _pivot(items: Column, seed: int) -> Column:
         done = F.when(c_ends, c).otherwise(x)
         goes = F.when(c_ends, x).otherwise(c)
         end = F.when(c_ends, c_end).otherwise(1 - c_end)
-        decided = F.struct(done["id"].alias("id"), done["ord"].alias("ord"), done["size"].alias("size"), (done["whole"] + end).cast("long").alias("copies"))
-        carried = F.struct(goes["id"].alias("id"), goes["ord"].alias("ord"), goes["size"].alias("size"), goes["whole"].alias("whole"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), kept_p)).alias("p"), goes["skey"].alias("skey"))
+        decided = F.struct(*[done[f].alias(f) for f in ROW], (done["whole"] + end).cast("long").alias("copies"))
+        carried = F.struct(*[goes[f].alias(f) for f in ROW], goes["whole"].alias("whole"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), kept_p)).alias("p"))
         return F.struct(carried.cast(RES).alias("res"), F.array_append(acc["out"], decided).cast(OUT).alias("out"))
 
     first = F.struct(F.element_at(items, 1).cast(RES).alias("res"), F.array().cast(OUT).alias("out"))
@@ -92,8 +93,9 @@ def _pivot(items: Column, seed: int) -> Column:
 
 
 def _rounded(rows: DataFrame, most: int, fan_in: int, seed: int) -> DataFrame:
-    """skey, id, ord, size, copies from skey, n (rows of the source), item: one reduction tree per skey."""
-    leaf = F.pmod(F.xxhash64(F.lit(seed), "item.id", "item.ord"), F.ceil(F.col("n") / fan_in).cast("long"))
+    """skey, id, th, ord, size, copies from skey, n (rows of the source), item: one reduction tree per skey."""
+    key = [F.col(f"item.{f}") for f in ROW[:3]]
+    leaf = F.pmod(F.xxhash64(F.lit(seed), *key), F.ceil(F.col("n") / fan_in).cast("long"))
     level, decided = rows.select("skey", leaf.alias("node"), "item"), []
     depth = max(1, math.ceil(math.log(max(2, math.ceil(most / fan_in)), fan_in))) + 1
     for k in range(depth):
@@ -102,60 +104,79 @@ def _rounded(rows: DataFrame, most: int, fan_in: int, seed: int) -> DataFrame:
         met = checkpointed(met.select("skey", "node", _pivot(F.col("items"), seed + k).alias("a")).select("skey", "node", "a.*"))
         decided.append(met.select("skey", F.explode("out").alias("o")).select("skey", "o.*"))
         level = met.select("skey", (F.col("node") / fan_in).cast("long").alias("node"), F.col("res").alias("item"))
-    last = F.when(coin(F.lit(seed), F.col("item.id"), F.col("item.ord"), F.lit(depth)) < F.col("item.p"), 1).otherwise(0)
-    decided.append(level.select("skey", "item.id", "item.ord", "item.size", (F.col("item.whole") + last).cast("long").alias("copies")))
+    last = F.when(coin(F.lit(seed), *key, F.lit(depth)) < F.col("item.p"), 1).otherwise(0)
+    decided.append(level.select("skey", *[F.col(f"item.{f}") for f in ROW], (F.col("item.whole") + last).cast("long").alias("copies")))
     return reduce(DataFrame.unionByName, decided)
 
 
+def _with_sources(rows: DataFrame, sources: DataFrame, most: int = 100_000, salts: int = 64) -> DataFrame:
+    """rows and the columns of sources, one row per skey: sent to every task if they are few, else dealt in ``salts`` copies, so that a hot source stays in no one task."""
+    small = sources.withColumnRenamed("skey", "k")
+    if sources.count() <= most:
+        return rows.join(F.broadcast(small), F.col("skey") == F.col("k")).drop("k")
+    small = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("row_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    return salted.join(small, (F.col("skey") == F.col("k")) & (F.col("row_salt") == F.col("salt"))).drop("k", "salt", "row_salt")
+
+
+def row_skey() -> Column:
+    """The source; null gets a key that no name has."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("-"))
+
+
+def row_key() -> list[Column]:
+    """What tells rows apart beside ord: skey, id, th."""
+    return [row_skey().alias("skey"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(whole_text()).alias("th")]
+
+
 def mixed(docs: DataFrame, weights: list[float] = (5, 2, 1), cap: float = 3, seed: int = 20240229, fan_in: int = 128) -> DataFrame:
-    """doc_id, ord, size, source_size, target, copies, taken for every row.
+    """doc_id, skey, th, ord, size, source_size, target, copies, taken for every row.
 
-    ord numbers the rows of one doc_id (0 unless ids repeat).  weights repeat over the sources by
-    code point, null last; a target stops at cap times the size of its source.
+    skey, th and ord tell rows of one doc_id apart: source, text hash, and a number among rows that agree
+    in all of them.  weights repeat over the sources by code point, null last; a target stops at cap times
+    the size of its source.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(whole_text()).alias("size"), F.xxhash64(whole_text()).alias("th"))
-    rows = rows.withColumn("ord", F.row_number().over(W.partitionBy("doc_id").orderBy("source", "th", "size")).cast("long") - 1).drop("th")
-    rows = checkpointed(rows)  # the texts are read once
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
-    targets = checkpointed(source_targets(sources, list(weights), cap)).withColumnRenamed("source", "s")
+    rows = docs.select(*row_key(), F.col("source").cast("string").alias("source"), word_count(whole_text()).alias("size"))
+    # rows that agree are counted first, so that no task sees more than their number
+    rows = rows.groupBy("skey", "source", "id", "th", "size").agg(F.count(F.lit(1)).alias("m"))
+    rows = checkpointed(rows.select("skey", "source", "id", "th", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)).alias("ord")))  # the texts are read once
+    sizes = checkpointed(rows.groupBy("skey", "source", "size").agg(F.count(F.lit(1)).alias("c")))
+    sources = sizes.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("c")).alias("source_size"), F.sum("c").alias("n"))
+    targets = source_targets(sources, list(weights), cap).select(row_skey().alias("skey"), "source_size", "n", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rated = rows.join(targets, F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", rate)
-    whole = F.floor("rate").cast("long")
-    rated = rated.select("doc_id", "ord", "source", "size", "n", whole.alias("whole"), (F.col("rate") - whole).alias("p"))
-    # a null source gets a key that no name has
-    skey = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))
-    certain = (F.col("p") <= 0) | (F.col("size") <= 0)
-    luck = F.when(coin(F.lit(seed), F.col("doc_id"), F.col("ord")) < F.col("p"), 1).otherwise(0)
-    decided = [rated.where(certain).select(skey.alias("skey"), F.col("doc_id").alias("id"), "ord", "size", (F.col("whole") + luck).cast("long").alias("copies"))]
-    item = F.struct(F.col("doc_id").alias("id"), "ord", "size", "whole", "p", skey.alias("skey")).cast(RES)
-    open_rows = rated.where(~certain).select(skey.alias("skey"), "n", item.alias("item"))
-    most = rows.count()
+    whole = F.floor(rate).cast("long")
     # large documents first: the words that their rounding misses by are shared by the small ones
-    cuts = checkpointed(open_rows.groupBy("skey").agg(F.percentile_approx("item.size", 0.5).alias("cut")).withColumnRenamed("skey", "ck"))
-    parts = open_rows.join(cuts, F.col("skey") == F.col("ck"))
-    large = _rounded(parts.where("item.size > cut").select("skey", "n", "item"), most, fan_in, seed)
-    expected = parts.groupBy("skey").agg(
-        F.sum(F.when(F.col("item.size") > F.col("cut"), F.col("item.size") * (F.col("item.whole") + F.col("item.p")))).alias("due"),
-        F.sum(F.when(F.col("item.size") <= F.col("cut"), F.col("item.size"))).alias("small"),
-    )
-    missed = large.groupBy("skey").agg(F.sum(F.col("copies") * F.col("size")).alias("got")).withColumnRenamed("skey", "gk")
-    shift = expected.join(missed, F.col("skey") == F.col("gk"), "left").select(F.col("skey").alias("dk"), (F.coalesce((F.col("due") - F.col("got")) / F.col("small"), F.lit(0.0))).alias("shift"))
-    small = parts.where("item.size <= cut").join(shift, F.col("skey") == F.col("dk"))
-    moved = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("item.p") + F.col("shift")))
-    small = small.select("skey", "n", F.col("item").withField("p", moved).cast(RES).alias("item"))
-    decided += [large, _rounded(small, most, fan_in, seed + 100)]
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
-    t = targets.withColumn("k", F.coalesce(F.concat(F.lit("s"), "s"), F.lit("-")))
-    return out.join(t, F.col("skey") == F.col("k")).select(F.col("id").alias("doc_id"), "ord", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    filled = sizes.where("size > 0").withColumns({"upto": F.sum("c").over(W.partitionBy("skey").orderBy("size")), "all": F.sum("c").over(W.partitionBy("skey"))})
+    cuts = filled.where("2 * upto >= all").groupBy(F.col("skey").alias("ck")).agg(F.min("size").alias("cut"))
+    halves = sizes.join(cuts, F.col("skey") == F.col("ck")).groupBy(F.col("skey").alias("hk"), "cut").agg(F.sum(F.when(F.col("size") > F.col("cut"), F.col("size") * F.col("c"))).alias("large"), F.sum(F.when(F.col("size") <= F.col("cut"), F.col("size") * F.col("c"))).alias("small"))
+    each = targets.join(halves, F.col("skey") == F.col("hk"), "left").select("skey", "source_size", "n", "target", whole.alias("whole"), (rate - whole).alias("p"), F.coalesce("cut", F.lit(0)).alias("cut"), "large", "small")
+    each = checkpointed(each)
+    rated = _with_sources(rows.select("skey", *ROW), each.select("skey", "n", "whole", "p", "cut"))
+    certain = (F.col("p") <= 0) | (F.col("size") <= 0)
+    luck = F.when(coin(F.lit(seed), *[F.col(f) for f in ROW[:3]]) < F.col("p"), 1).otherwise(0)
+    decided = [rated.where(certain).select("skey", *ROW, (F.col("whole") + luck).cast("long").alias("copies"))]
+    item = F.struct(*ROW, "whole", "p").cast(RES)
+    most = each.agg(F.max("n")).first()[0] or 0
+    large = _rounded(rated.where(~certain & (F.col("size") > F.col("cut"))).select("skey", "n", item.alias("item")), most, fan_in, seed)
+    missed = large.groupBy(F.col("skey").alias("gk")).agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+    due = F.col("large") * (F.col("whole") + F.col("p"))
+    shift = each.join(missed, F.col("skey") == F.col("gk"), "left").select("skey", F.coalesce((due - F.col("got")) / F.col("small"), F.lit(0.0)).alias("shift"))
+    small = _with_sources(rated.where(~certain & (F.col("size") <= F.col("cut"))), checkpointed(shift))
+    small = small.withColumn("p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("p") + F.col("shift"))))
+    decided += [large, _rounded(small.select("skey", "n", item.alias("item")), most, fan_in, seed + 100)]
+    out = _with_sources(reduce(DataFrame.unionByName, decided), each.select("skey", "source_size", "target"))
+    return out.select(F.col("id").alias("doc_id"), "skey", "th", "ord", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def take_mix(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the input's columns."""
-    th = F.xxhash64(whole_text())
-    order = W.partitionBy("__id").orderBy(F.col("source").cast("string"), th, word_count(whole_text()))
-    rows = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__ord", F.row_number().over(order).cast("long") - 1)
-    copies = mixed(docs, **how).where("copies > 0").select(F.col("doc_id").alias("__mid"), F.col("ord").alias("__mord"), "copies")
-    joined = rows.join(copies, F.col("__id").eqNullSafe(F.col("__mid")) & (F.col("__ord") == F.col("__mord")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(c) for c in docs.columns])
+    names = ["__skey", "__id", "__th"]
+    rows = docs.select("*", *[c.alias(n) for c, n in zip(row_key(), names, strict=True)])
+    mix = mixed(docs, **how)
+    ranked = not mix.where("ord > 0").isEmpty()
+    # rows that agree are numbered only where there are any
+    rows = rows.withColumn("__ord", F.row_number().over(W.partitionBy(*names).orderBy(*names)).cast("long") - 1 if ranked else F.lit(0).cast("long"))
+    copies = mix.where("copies > 0").select(F.col("skey").alias("__mk"), F.col("doc_id").alias("__mid"), F.col("th").alias("__mth"), F.col("ord").alias("__mord"), F.col("copies").alias("__copies"))
+    same = (F.col("__skey") == F.col("__mk")) & F.col("__id").eqNullSafe(F.col("__mid")) & (F.col("__th") == F.col("__mth"))
+    joined = rows.join(copies, same & (F.col("__ord") == F.col("__mord")) if ranked else same)
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*[F.col(c) for c in docs.columns])

@@ -178,6 +178,53 @@ def test_mixing(spark, docs):
     assert sorted(map(tuple, mixing.mixed(df).collect())) == sorted(map(tuple, again.collect()))
     taken = mixing.take_mix(df).groupBy("doc_id").count()
     assert taken.join(mixing.mixed(df), "doc_id").where("count <> copies").count() == 0
+    assert taken.count() == mixing.mixed(df).where("copies > 0").count()
+
+
+def test_mixing_with_many_sources_is_the_same(spark, docs, monkeypatch):
+    """Sources beyond the broadcast bound are joined in salted copies."""
+    want = sorted(map(tuple, mixing.mixed(docs, fan_in=4).collect()), key=repr)
+    monkeypatch.setattr(mixing._with_sources, "__defaults__", (0, 4))
+    assert sorted(map(tuple, mixing.mixed(docs, fan_in=4).collect()), key=repr) == want
+
+
+def test_copies_of_repeated_rows(docs):
+    """Repeated rows and rows without an id are taken as often as their group's copies."""
+    names = ["id", "skey", "th"]
+    want = {tuple(r[c] for c in names): r.n for r in mixing.mixed(docs, fan_in=4).groupBy(F.col("doc_id").alias("id"), "skey", "th").agg(F.sum("copies").alias("n")).where("n > 0").collect()}
+    taken = mixing.take_mix(docs, fan_in=4)
+    got = {tuple(r[c] for c in names): r["count"] for r in taken.groupBy(*mixing.row_key()).count().collect()}
+    assert got == want and taken.columns == docs.columns
+
+
+def pivoted(items, seed):
+    """The reduction of one node by plain Python, on exact fractions of the same coins."""
+    carried, out = dict(items[0]), []
+    for x in items[1:]:
+        c, x = carried, dict(x)
+        u = seed(c, x)
+        give, take = min(c["p"] * c["size"], (1 - x["p"]) * x["size"]), min((1 - c["p"]) * c["size"], x["p"] * x["size"])
+        move = give if u * (give + take) < take else -take
+        c["p"], x["p"] = c["p"] - move / c["size"], x["p"] + move / x["size"]
+        done, carried = (c, x) if min(c["p"], 1 - c["p"]) < min(x["p"], 1 - x["p"]) else (x, c)
+        out.append((done["id"], done["whole"] + round(done["p"])))
+    return out, carried
+
+
+def test_pivots_are_those_of_a_loop(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [[(i, 7, 0, rng.randrange(1, 60), rng.randrange(3), rng.random()) for i in range(n)] for n in (1, 2, 7, 60)]
+    df = spark.createDataFrame([(r,) for r in rows], f"items array<{mixing.RES}>")
+    pairs = {(a, b) for n in rows for a in range(len(n)) for b in range(len(n))}
+    coins = {(r.a, r.b): r.u for r in spark.createDataFrame(sorted(pairs), "a long, b long").select("a", "b", mixing.coin(F.lit(3), F.col("a"), F.lit(7).cast("long"), F.lit(0).cast("long"), F.col("b"), F.lit(7).cast("long"), F.lit(0).cast("long")).alias("u")).collect()}
+    names = ["id", "th", "ord", "size", "whole", "p"]
+    for r in df.select("items", mixing._pivot(F.col("items"), 3).alias("a")).collect():
+        out, carried = pivoted([dict(zip(names, x, strict=True)) for x in r["items"]], lambda c, x: coins[c["id"], x["id"]])
+        assert [(x["id"], x.copies) for x in r.a.out] == out and r.a.res["id"] == carried["id"] and r.a.res.p == pytest.approx(carried["p"])
+        spent = sum(x.size * x.copies for x in r.a.out) + r.a.res.size * (r.a.res.whole + r.a.res.p)
+        assert spent == pytest.approx(sum(x.size * (x.whole + x.p) for x in r["items"]))
 
 
 def test_targets_stop_at_the_cap(spark):
