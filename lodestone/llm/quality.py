@@ -5,8 +5,8 @@ described by what kinds of bytes it has, hashed byte pairs, and how many of its
 distinct; a small tanh layer encodes it.  Gated attention (tanh x sigmoid) learns from document labels
 alone which passages count; the score is a logistic of the attention-weighted mean passage.
 
-The model is trained in numpy on a bounded sample (``most`` rows) of labelled documents and sent to the
-tasks (a few kilobytes); every passage of every document is scored there, batch by batch.
+The model is trained in numpy on a bounded sample (``most`` rows, ``room`` bytes of text) of labelled
+documents and sent to the tasks (a few kilobytes); every passage of every document is scored there, batch by batch.
 
 Nulls and ties: null and empty texts have one passage without bytes and so a score like any other;
 rows are scored one by one, so repeated rows get the same score; a null doc_id is kept.  Without
@@ -100,10 +100,12 @@ def train(texts: list[str], labels: list[int], hidden: int = 24, gate: int = 12,
     """Model parameters by Adam on the document log-loss; None without both labels."""
     if len(set(labels)) < 2:
         return None
-    parts = [passages(texts[i : i + 100]) for i in range(0, len(texts), 100)]
-    x, n = (np.concatenate(p) for p in zip(*parts, strict=True))
+    parts = [(f.astype(np.float32), k) for f, k in (passages(texts[i : i + 100]) for i in range(0, len(texts), 100))]
+    n = np.concatenate([k for _, k in parts])
+    x = np.concatenate([f for f, _ in parts])
+    del parts
     y, rng = np.array(labels, float), np.random.default_rng(seed)
-    mean, std = x.mean(0), x.std(0) + 1e-3
+    mean, std = x.mean(0, dtype=float), x.std(0, dtype=float) + 1e-3
     d = x.shape[1]
     m = {"W": rng.normal(0, d**-0.5, (d, hidden)), "b": np.zeros(hidden), "V": rng.normal(0, 0.2, (hidden, gate)), "U": rng.normal(0, 0.2, (hidden, gate)), "w": rng.normal(0, 0.2, gate), "c": rng.normal(0, 0.2, hidden), "d": np.array(0.0)}
     fixed = {"mean": mean, "std": std}
@@ -160,7 +162,7 @@ def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: i
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).mapInArrow(run, "doc_id long, score double, predicted int")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, most: int = 4000, room: int = 64 << 20) -> DataFrame:
     """doc_id, held_out, score, predicted; rows whose crc32 mod 5 is 0 are held out of training."""
-    model = train(*training_sample(docs, labels, "quality", remainder(5) != 0, most))
+    model = train(*training_sample(docs, labels, "quality", remainder(5) != 0, most, room))
     return scored(docs, model).select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")

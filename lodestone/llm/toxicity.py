@@ -2,7 +2,8 @@
 
 Words are runs of letters, lower-cased.  Token labels come from document labels: a word (or
 the beginning of inflected words) whose presence marks toxic training documents far more than others is
-an offending token in toxic documents, and all other tokens are ordinary.  The CRF (two labels) has
+an offending token in toxic documents, and all other tokens are ordinary; every window of every
+sampled document is learned from.  The CRF (two labels) has
 weights for the word itself, its beginnings and its end, the words beside it, and label transitions; it is trained on windows of 32 words by
 Adagrad on the exact log-likelihood.
 
@@ -50,7 +51,7 @@ def slots_of(word: str) -> list[int]:
 
 
 class Chain:
-    """Feature scores by word, learned as they come, and the recursions."""
+    """Feature scores by word as it is written, learned as they come, and the recursions."""
 
     def __init__(self, model: dict, most: int = 200_000):
         self.model, self.most = model, most
@@ -66,14 +67,14 @@ class Chain:
             at = len(self.known)
             while len(self.scores) < at + len(new):
                 self.scores = np.vstack([self.scores, np.zeros_like(self.scores)])
-            f = self.model["weights"][np.array([slots_of(w) for w in new])]
+            f = self.model["weights"][np.array([slots_of(w.lower()) for w in new])]
             self.scores[at : at + len(new)] = np.stack([f[:, :OWN].sum(1), f[:, OWN], f[:, OWN + 1]], 1)
             self.known.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def emissions(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Log-odds of the offending label by token, and tokens by text."""
-        lists = [WORD.findall(t.lower()) for t in texts]
+        lists = [WORD.findall(t) for t in texts]  # each distinct word is lower-cased once
         n = np.array([len(x) for x in lists], np.int64)
         s = self.scores[:0] if not n.sum() else None
         if s is None:
@@ -126,6 +127,11 @@ class Chain:
         return 1 / (1 + np.exp(-np.clip(a[0] + a[1] * np.log1p(total) + a[2] * top, -30, 30)))
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, lower-cased one by one: as many, and in the same places, as in the text itself."""
+    return [w.lower() for w in WORD.findall(text)]
+
+
 def beginnings(word: str) -> list[str]:
     return [word, *(f"{word[:k]}*" for k in range(4, 9) if len(word) > k)]
 
@@ -138,7 +144,7 @@ def offending(texts: list[str], labels: list[int], share: float = 0.03, ratio: f
         seen = Counter()
         for t, label in zip(texts, labels, strict=True):
             if label == y:
-                found = {b for w in set(WORD.findall(t.lower())) for b in beginnings(w)}
+                found = {b for w in set(words_of(t)) for b in beginnings(w)}
                 seen.update(found if only is None else found & only)
         return seen
 
@@ -153,30 +159,35 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
     if len(set(labels)) < 2:
         return None
     marked, rng = offending(texts, labels), np.random.default_rng(seed)
-    windows = []
-    for t, y in zip(texts, labels, strict=True):
-        words = WORD.findall(t.lower())
-        tags = [int(y and not marked.isdisjoint(beginnings(w))) for w in words]
-        cuts = [(words[i : i + WINDOW], tags[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
-        hit = [c for c in cuts if any(c[1])]
-        plain = [c for c in cuts if not any(c[1]) and len(c[0]) > 1]
-        windows += hit + [plain[i] for i in rng.permutation(len(plain))[: 3 + len(hit)]]
-    b = len(windows)
-    known = {w: i for i, w in enumerate(sorted({w for words, _ in windows for w in words}))}
-    table = np.array([slots_of(w) for w in known], np.int32)
-    feats, tags, live = np.full((b, WINDOW, OWN + 2), SLOTS, np.int32), np.zeros((b, WINDOW), np.int8), np.zeros((b, WINDOW), bool)
-    for i, (words, y) in enumerate(windows):
-        f = table[[known[w] for w in words]]
-        k = len(words)
-        feats[i, :k, :OWN] = f[:, :OWN]
-        feats[i, 1:k, OWN], feats[i, : k - 1, OWN + 1] = f[:-1, OWN], f[1:, OWN + 1]
-        tags[i, :k], live[i, :k] = y, True
-    del windows, known, table
-    weights, bias, trans = np.zeros(SLOTS + 1), -2.0, np.array([0.0, -1.0, 0.0, -1.0])
-    sums, tsum, bsum = np.full(SLOTS + 1, 1e-6), np.full(4, 1e-6), 1e-6
+    lists = [words_of(t) for t in texts]
+    known = {w: i for i, w in enumerate(sorted({w for words in lists for w in words}))}
+    offends = np.array([not marked.isdisjoint(beginnings(w)) for w in known], bool)
+    # one more word, without features, fills the last window of each document
+    words, tags = [], []
+    for x, y in zip(lists, labels, strict=True):
+        c = np.fromiter(map(known.__getitem__, x), np.int32, len(x))
+        words.append(np.pad(c, (0, -len(c) % WINDOW), constant_values=len(known)).reshape(-1, WINDOW))
+        tags.append(np.pad(offends[c] & bool(y), (0, -len(c) % WINDOW)).reshape(-1, WINDOW))
+    words, tags = np.concatenate(words), np.concatenate(tags)
+    b, live = len(words), words < len(known)
+    # hashed features in use, numbered: the weights of a step are as many as these
+    used, table = np.unique(np.array([slots_of(w) for w in known]).reshape(-1, OWN + 2), return_inverse=True)
+    size = len(used)
+    table = np.vstack([table.reshape(-1, OWN + 2), np.full(OWN + 2, size)]).astype(np.int32)
+    del lists, known
+
+    def features(rows: np.ndarray) -> np.ndarray:
+        f = table[words[rows]]
+        f[:, 1:, OWN], f[:, :-1, OWN + 1] = f[:, :-1, OWN].copy(), f[:, 1:, OWN + 1].copy()
+        f[:, 0, OWN] = f[:, -1, OWN + 1] = size
+        f[~live[rows]] = size
+        return f
+
+    weights, bias, trans = np.zeros(size + 1), -2.0, np.array([0.0, -1.0, 0.0, -1.0])
+    sums, tsum, bsum = np.full(size + 1, 1e-6), np.full(4, 1e-6), 1e-6
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(b), max(1, b // 256)):
-            f, y, on = feats[rows], tags[rows].astype(float), live[rows]
+            f, y, on = features(rows), tags[rows].astype(float), live[rows]
             e = np.where(on, np.clip(weights[f].sum(2) + bias, -30, 30), 0)
             t00, t01, t10, t11 = np.exp(trans)
             x, fw, bw = np.exp(e), np.ones_like(e), np.ones_like(e)
@@ -188,8 +199,8 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
                 bw[:, t] = np.where(on[:, t + 1], (t10 + t11 * m) / (t00 + t01 * m), 1.0)
             p = fw * bw / (1 + fw * bw)
             d = np.where(on, p - y, 0) / len(rows)
-            g = np.bincount(f.ravel(), np.repeat(d.ravel(), OWN + 2), SLOTS + 1)
-            g[SLOTS] = 0
+            g = np.bincount(f.ravel(), np.repeat(d.ravel(), OWN + 2), size + 1)
+            g[size] = 0
             sums += g * g
             weights -= 0.5 * g / np.sqrt(sums)
             bsum += d.sum() ** 2
@@ -204,7 +215,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
             gt = ((q - seen) * on[:, 1:]).sum((1, 2)) / len(rows)
             tsum += gt * gt
             trans = trans - 0.2 * gt / np.sqrt(tsum)
-    model = {"weights": weights.astype(np.float32)[:SLOTS], "bias": float(bias), "transitions": trans, "logistic": np.zeros(3)}
+    every = np.zeros(SLOTS, np.float32)
+    every[used] = weights[:size]
+    model = {"weights": every, "bias": float(bias), "transitions": trans, "logistic": np.zeros(3)}
     chain = Chain(model, 100_000)
     parts = [chain.documents(texts[i : i + 100])[:2] for i in range(0, len(texts), 100)]
     total, top = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -246,10 +259,7 @@ def _score(chain: Chain | None, texts: list[str]) -> tuple[np.ndarray, list[list
     ends, spans = np.cumsum(n), [[] for _ in texts]
     for i in np.nonzero(top > 0.5)[0]:
         own = p[ends[i] - n[i] : ends[i]]
-        # lower-casing may change lengths, so offsets come from the text itself where words agree
-        found = list(WORD.finditer(texts[i]))
-        if len(found) == n[i]:
-            spans[i] = [{"start": found[j].start(), "end": found[j].end(), "probability": float(own[j])} for j in np.nonzero(own > 0.5)[0]]
+        spans[i] = [{"start": m.start(), "end": m.end(), "probability": float(x)} for m, x in zip(WORD.finditer(texts[i]), own, strict=True) if x > 0.5]
     return chain.score(total, top), spans
 
 
@@ -270,12 +280,16 @@ def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.3) -
     return docs.mapInArrow(run, docs.schema)
 
 
-def fitted(docs: DataFrame, labels: DataFrame, most: int = 4000) -> dict | None:
-    """A model from at most ``most`` labelled documents whose crc32 mod 4 is not 2."""
-    return train(*training_sample(docs, labels, "toxic", remainder(4) != 2, most))
+def fitted(docs: DataFrame, labels: DataFrame, most: int = 4000, room: int = 32 << 20) -> dict | None:
+    """A model from at most ``most`` labelled documents, ``room`` bytes, whose crc32 mod 4 is not 2."""
+    return train(*training_sample(docs, labels, "toxic", remainder(4) != 2, most, room))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, most: int = 4000) -> DataFrame:
-    """doc_id, held_out, score, predicted, n_spans; rows whose crc32 mod 4 is 2 are held out of training."""
+    """doc_id, held_out, score, predicted, spans (start:end of offending words, code points, comma-joined).
+
+    Rows whose crc32 mod 4 is 2 are held out of training.
+    """
     out = scored(docs, fitted(docs, labels, most))
-    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
+    spans = F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"])), ",")
+    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", "predicted", spans.alias("spans"))

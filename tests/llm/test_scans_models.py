@@ -252,6 +252,60 @@ def test_what_is_predicted_toxic_goes(docs, score):
     assert toxicity.without_toxic(docs, model).count() == clean == (len(TEXTS) if score < 0.3 else 0)
 
 
+def test_offsets_survive_lower_casing(spark):
+    """Lower-casing some letters makes two of one; the words and their places are those of the text."""
+    weights = np.zeros(toxicity.SLOTS, np.float32)
+    weights[toxicity.slots_of("vile")[:1]] = 9
+    model = {"weights": weights, "bias": -3.0, "transitions": np.zeros(4), "logistic": np.zeros(3)}
+    texts = ["vile foo", "\u0130stanbul VILE \u0130 x vile", "", None, "7vile_vile"]
+    rows = toxicity.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    got = {r.doc_id: [texts[r.doc_id][x.start : x.end] for x in r.spans] for r in rows}
+    assert got == {0: ["vile"], 1: ["VILE", "vile"], 2: [], 3: [], 4: ["vile", "vile"]}
+
+
+def test_scores_by_plain_loops(spark):
+    """Emissions, marginals by enumeration, and the logistic, of short texts."""
+    rng = np.random.default_rng(3)
+    model = {"weights": rng.normal(0, 0.4, toxicity.SLOTS).astype(np.float32), "bias": -0.3, "transitions": rng.normal(0, 1, 4), "logistic": np.array([-1.0, 0.7, 1.3])}
+    texts = ["one", "Two three", "a b\u00e9 c d", "", "x1y vile! foo-bar Baz qux quux"]
+    got = {r.doc_id: r.score for r in toxicity.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    own = toxicity.OWN
+    for i, t in enumerate(texts):
+        f = [toxicity.slots_of(w) for w in toxicity.words_of(t)]
+        w, k = model["weights"].astype(float), len(f)
+        e = [w[f[j][:own]].sum() + model["bias"] + (w[f[j - 1][own]] if j else 0) + (w[f[j + 1][own + 1]] if j + 1 < k else 0) for j in range(k)]
+        z, p = 0.0, np.zeros(k)
+        for bits in range(1 << k if k else 0):
+            y = [bits >> j & 1 for j in range(k)]
+            v = np.exp(sum(e[j] * y[j] for j in range(k)) + sum(model["transitions"][2 * y[j] + y[j + 1]] for j in range(k - 1)))
+            z, p = z + v, p + v * np.array(y)
+        p = p / z if k else p
+        a = model["logistic"]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(a[0] + a[1] * np.log1p(p.sum()) + a[2] * (p.max() if k else 0)))), abs=1e-5)
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * (10 + i)) for i in range(50)] + [(7, "other"), (3, "y" * 10000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(5, 1), (None, 1)], "doc_id long, toxic int")
+    texts, y = labelled.training_sample(docs, labels, "toxic", labelled.remainder(4) != 2, 20, 300)
+    again = labelled.training_sample(docs.repartition(5), labels.repartition(3), "toxic", labelled.remainder(4) != 2, 20, 300)
+    assert (texts, y) == again and 0 < len(texts) <= 20 and sum(map(len, texts)) <= 300
+    assert all(labelled.remainder_of(len(t) - 10, 4) != 2 for t in texts if t != "other")
+
+
+def test_passage_scores_by_plain_loops():
+    """The forward pass, document by document."""
+    texts = ["", "abc", "The river " * 200, "!!" * 700]
+    model = quality.train(["good words here " * 40, "BAD!! " * 90] * 4, [1, 0] * 4, epochs=2)
+    got = quality.score(model, texts)
+    for t, s in zip(texts, got, strict=True):
+        x, n = quality.passages([t])
+        assert n[0] == len(x) == max(1, -(-len(t.encode()) // quality.PASSAGE))
+        h = [np.tanh((row - model["mean"]) / model["std"] @ model["W"] + model["b"]) for row in x]
+        a = np.exp([model["w"] @ (np.tanh(v @ model["V"]) / (1 + np.exp(-(v @ model["U"])))) for v in h])
+        z = sum(w * v for w, v in zip(a / a.sum(), h, strict=True))
+        assert s == pytest.approx(1 / (1 + np.exp(-(z @ model["c"] + model["d"]))))
+
 def test_chain_marginals_by_enumeration():
     model = {"weights": np.zeros(toxicity.SLOTS, np.float32), "bias": 0.0, "transitions": np.array([0.3, -0.7, 0.1, 0.9]), "logistic": np.zeros(3)}
     e, n = np.array([0.5, -1.0, 2.0, 0.2, -0.4]), np.array([4, 1])
