@@ -154,10 +154,35 @@ def offending(texts: list[str], labels: list[int], share: float = 0.03, ratio: f
     return {w for w, c in often.items() if c / toxic >= ratio * (elsewhere[w] + 0.5) / clean}
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5) -> dict | None:
-    """CRF weights and the document logistic; None without both labels."""
+def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 5, folds: int = 4) -> dict | None:
+    """CRF weights of all documents and the document logistic; None without both labels.
+
+    The logistic is fitted on the documents of one fold as a CRF of the other folds sees them, for a CRF is
+    surer of what it has learned from.  Where that leaves a side without both labels, all are used for both.
+    """
     if len(set(labels)) < 2:
         return None
+    part = lambda keep: ([x for i, x in enumerate(texts) if keep(i)], [y for i, y in enumerate(labels) if keep(i)])
+    others, held = part(lambda i: i % folds), part(lambda i: i % folds == 0)
+    chain = chain_weights(texts, labels, epochs, seed)
+    apart = len(set(others[1])) == len(set(held[1])) == 2
+    return chain | {"logistic": logistic(chain_weights(*others, epochs, seed), *held) if apart else logistic(chain, texts, labels)}
+
+
+def logistic(model: dict, texts: list[str], labels: list[int]) -> np.ndarray:
+    """Weights of a document's label by its expected number of offending words and its largest marginal."""
+    chain = Chain(model, 100_000)
+    parts = [chain.documents(texts[i : i + 100])[:2] for i in range(0, len(texts), 100)]
+    total, top = (np.concatenate(x) for x in zip(*parts, strict=True))
+    z, y, w = np.stack([np.ones(len(total)), np.log1p(total), top], 1), np.array(labels, float), np.zeros(3)
+    for _ in range(30):  # Newton's method with a small ridge
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        w = w - np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + 1e-2 * np.eye(3), z.T @ (p - y) + 1e-2 * w)
+    return w
+
+
+def chain_weights(texts: list[str], labels: list[int], epochs: int, seed: int) -> dict:
+    """The CRF: hashed weights, bias and transitions."""
     marked, rng = offending(texts, labels), np.random.default_rng(seed)
     lists = [words_of(t) for t in texts]
     known = {w: i for i, w in enumerate(sorted({w for words in lists for w in words}))}
@@ -217,15 +242,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, seed: int = 5)
             trans = trans - 0.2 * gt / np.sqrt(tsum)
     every = np.zeros(SLOTS, np.float32)
     every[used] = weights[:size]
-    model = {"weights": every, "bias": float(bias), "transitions": trans, "logistic": np.zeros(3)}
-    chain = Chain(model, 100_000)
-    parts = [chain.documents(texts[i : i + 100])[:2] for i in range(0, len(texts), 100)]
-    total, top = (np.concatenate(x) for x in zip(*parts, strict=True))
-    z, y, w = np.stack([np.ones(len(total)), np.log1p(total), top], 1), np.array(labels, float), np.zeros(3)
-    for _ in range(30):  # Newton's method with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        w = w - np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + 1e-2 * np.eye(3), z.T @ (p - y) + 1e-2 * w)
-    return model | {"logistic": w}
+    return {"weights": every, "bias": float(bias), "transitions": trans}
 
 
 def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: int = 1 << 21) -> DataFrame:
