@@ -33,6 +33,42 @@ def test_licenses(docs):
     assert got == sorted(want)
 
 
+def test_license_labels_and_scores_by_loops(spark):
+    """Every start of every template in every text, without an index."""
+    import math
+    import random
+
+    rng = random.Random(2)
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    texts = ["", "license", "gpl general public license general public license", *notices]
+    for t in notices:
+        words = t.split()
+        for _ in range(4):
+            x = [w if rng.random() < 0.8 else "zzz" for w in words]
+            texts.append(rng.choice(["", "The ", "a of to "]) + rng.choice([" ", ", "]).join(x[rng.choice([0, 0, 2]) :]) + " and mit license.")
+    rows = [re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", t.lower()) for t in texts]
+    entries = [(k, p.split(), p.split(), True) for k, p in licenses.BASE.items()] + [(k, t.split(), p.split(), False) for k, t, p in licenses.TEMPLATES]
+    idf = {x: math.log((1 + len(rows)) / (1 + sum(x in w for w in rows))) + 1 for _, words, _, _ in entries for x in words}
+    total = lambda x: sum(idf[w] for w in x)
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, w in enumerate(rows):
+        labels, score = set(), 0.0
+        for label, words, key, is_base in entries:
+            at = [j for j in range(len(words)) if words[j : j + len(key)] == key][0]
+            used = {*range(at, at + len(key)), *sorted(range(len(words)), key=lambda j: (-idf[words[j]], j))[:4]}
+            for start in range(-at, len(w)):
+                if w[start + at : start + at + len(key)] != key:
+                    continue
+                if is_base:
+                    cover = total(key) / min(total(n) for k, n, _, b in entries if k == label and not b and any(n[j : j + len(key)] == key for j in range(len(n))))
+                else:
+                    cover = total(words[j] for j in used if 0 <= start + j < len(w) and w[start + j] == words[j]) / total(words[j] for j in used)
+                if is_base or cover >= 0.5 - 1e-9:
+                    labels.add(label)
+                    score = max(score, cover)
+        assert got[i][0] == ",".join(sorted(labels)) and got[i][1] == pytest.approx(min(score, 1.0)), texts[i]
+
+
 def test_secrets(docs):
     rule = [r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", r"AKIA[A-Z0-9]+", r"[0-9a-f]+"]
     for r in secrets.secret_report(docs).collect():
