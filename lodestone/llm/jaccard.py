@@ -8,8 +8,8 @@ last, the others by their hash; it decides the cost, not the result.
 
 Links: the SimHash of every set goes through the tables of ``covering`` first, which joins families of
 near copies; each link is decided by the sets.  Then, in every bucket of the index (nodes with a
-shingle in common among their first), members of other components than the smallest one's meet it, and
-what is still apart meets pairwise.  Before sets are compared, pairs go whose sizes, whose parity bits
+shingle in common among their first), members of other components than a pivot's meet it, first with
+one pivot and then with three, and what is still apart meets pairwise.  Before sets are compared, pairs go whose sizes, whose parity bits
 (256, one per shingle; they differ in no more bits than the sets do in shingles) or whose places of
 common shingles exclude the similarity: after the last common one of the first shingles no more can be
 common than what is left of the shorter rest.  A bucket whose members are all unlike costs the square
@@ -201,14 +201,17 @@ def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> Da
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """h, node, at: the first shingles that more than one row has, and their places."""
+    """h, node, at, weight: the first shingles that more than one row has, their places, and how common a node's are in all."""
     keyed = rows.select("node", F.posexplode("first").alias("at", "h"))
-    counts = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("h").alias("h2"))
-    return checkpointed(keyed.join(counts, F.col("h") == F.col("h2")).select("h", "node", "at").distinct())
+    counts = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("h").alias("h2"), "c")
+    shared = checkpointed(keyed.join(counts, F.col("h") == F.col("h2")).select("h", "node", "at", "c").distinct())
+    weights = shared.groupBy(F.col("node").alias("k")).agg(F.sum("c").alias("weight"))
+    return checkpointed(shared.join(weights, F.col("node") == F.col("k")).select("h", "node", "at", "weight"))
 
 
-def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2) -> DataFrame:
+def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2, pivots: tuple[int, ...] = (1, 3)) -> DataFrame:
     """u, v: links whose components are those of "the Jaccard similarity is at least a/b"."""
+    a, b = similar
     spark = docs.sparkSession
     nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITY)]))
     found = _decided(docs, rows, links(nodes.where("n > 0").select("node", "fp"), radius), k, similar)
@@ -224,21 +227,26 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int
 
     apart = F.col("u_label") != F.col("v_label")
     known = labelled(found)
-    lows = shared.groupBy(F.col("h").alias("h2")).agg(F.min("node").alias("low"))
-    met = shared.join(lows, F.col("h") == F.col("h2")).where("node <> low").select("node", "low").distinct()
-    met = met.join(told(known, "u_"), F.col("node") == F.col("u_node")).join(told(known, "v_"), F.col("low") == F.col("v_node")).where(apart & _possible(similar, "u_", "v_"))
-    found = checkpointed(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
-    del met
-    release(spark)
-
-    known = labelled(found)
-    marked = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
-    # a bucket within one component has nothing left to say, and all have met the smallest member
-    open_ones = marked.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("node").alias("low")).where("x <> y").select(F.col("h").alias("h2"), "low")
-    left = checkpointed(marked.join(open_ones, F.col("h") == F.col("h2")).where("node <> low").select(*marked.columns))
-    one, two = (left.select(F.col("h").alias(f"{x}h"), *[F.col(c).alias(f"{x}{c}") for c in ("node", "label", "n", *PARITY)]) for x in ("u_", "v_"))
-    rest = one.join(two, (F.col("u_h") == F.col("v_h")) & (F.col("u_node") < F.col("v_node")) & apart & _possible(similar, "u_", "v_"))
-    return found.union(_decided(docs, rows, _placed(rest, shared, similar), k, similar))
+    for parts in pivots:
+        # of a family of copies the member whose shingles are the most common is the nearest to all others
+        chosen = shared.groupBy("h", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")).agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
+        chosen = chosen.join(told(known, "v_"), F.col("pivot") == F.col("v_node")).withColumnRenamed("h", "v_h")
+        met = shared.select("h", F.col("node").alias("k")).join(told(known, "u_"), F.col("k") == F.col("u_node"))
+        met = met.join(chosen, F.col("h") == F.col("v_h")).where(apart & _possible(similar, "u_", "v_"))
+        found = checkpointed(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
+        del met, chosen
+        release(spark)
+        known = labelled(found)
+
+    marked = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", "at", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
+    # a bucket within one component has nothing left to say
+    open_ones = marked.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(F.col("h").alias("h2"))
+    left = checkpointed(marked.join(open_ones, F.col("h") == F.col("h2"), "left_semi"))
+    one, two = (left.select(*[F.col(c).alias(f"{x}{c}") for c in left.columns]) for x in ("u_", "v_"))
+    # where the first common shingle stands, no more can be common than what the shorter rest has
+    rest = F.least(F.col("u_n") - F.col("u_at"), F.col("v_n") - F.col("v_at")) * (a + b) >= (F.col("u_n") + F.col("v_n")) * a
+    pairs = one.join(two, (F.col("u_h") == F.col("v_h")) & (F.col("u_node") < F.col("v_node")) & apart & rest & _possible(similar, "u_", "v_"))
+    return found.union(_decided(docs, rows, _placed(pairs, shared, similar), k, similar))
 
 
 def similar_rows(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5)) -> DataFrame:
