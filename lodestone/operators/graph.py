@@ -32,23 +32,62 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     return seen
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """Stores a round's rows: by checkpoint() where the session names a folder, else in memory."""
+    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist()
+
+
 def smallest_reachable(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, component: the smallest node of each component, by label propagation with pointer jumps.
 
-    The lineage is cut by checkpoint() where the session names a folder.
+    Raises an error where the labels have not settled after ``rounds``; the rows of a round are let go
+    when the next ones are there.
     """
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
+    both = _settled(edges.select("src", "dst").union(edges.select("dst", "src")).distinct())
     label = both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("component"))
-    cut = edges.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
-    last = None
+    last, before = None, None
     for _ in range(rounds):
         low = both.join(label, F.col("dst") == F.col("node")).groupBy("src").agg(F.min("component").alias("m"))
         label = label.join(low, F.col("node") == F.col("src"), "left").select("node", F.least("component", F.coalesce("m", "component")).alias("component"))
         jump = label.select(F.col("node").alias("n2"), F.col("component").alias("c2"))
-        label = label.join(jump, F.col("component") == F.col("n2"), "left").select("node", F.least("component", F.coalesce("c2", "component")).alias("component"))
-        label = label.checkpoint() if cut else label.persist()
+        label = _settled(label.join(jump, F.col("component") == F.col("n2"), "left").select("node", F.least("component", F.coalesce("c2", "component")).alias("component")))
         total = label.agg(F.sum(F.col("component").cast("decimal(38,0)"))).first()[0]
+        if before is not None:
+            before.unpersist()
         if total == last:
-            break
-        last = total
-    return label
+            return label
+        last, before = total, label
+    raise RuntimeError(f"components did not settle within {rounds} rounds")
+
+
+def leaf_first(edges: DataFrame, nodes: DataFrame, rounds: int = 200) -> DataFrame:
+    """node, level: 0 for nodes that depend on nothing, else one more than the highest dependency; null on and above cycles.
+
+    edges: src depends on dst. Each round takes the nodes all of whose dependencies have a level.
+    """
+    e = _settled(edges.where("src <> dst").select("src", "dst").distinct())
+    left = _settled(nodes.select("node").distinct().join(e.select(F.col("src").alias("node")).distinct(), "node", "left_semi"))
+    done = _settled(nodes.select("node").distinct().join(left, "node", "left_anti").withColumn("level", F.lit(0)))
+    for level in range(1, rounds):
+        blocked = e.join(left.withColumnRenamed("node", "l"), F.col("dst") == F.col("l")).select(F.col("src").alias("node")).distinct()
+        free = left.join(blocked, "node", "left_anti")
+        now = _settled(free.withColumn("level", F.lit(level)))
+        if now.isEmpty():
+            return done.union(left.withColumn("level", F.lit(None).cast("int")))
+        done = done.union(now)
+        left = _settled(left.join(now.select("node"), "node", "left_anti"))
+        if left.isEmpty():
+            return done
+    raise RuntimeError(f"an order needs more than {rounds} rounds")
+
+
+def simple_paths(edges: DataFrame, start, end, most_edges: int = 5, most_paths: int = 5) -> DataFrame:
+    """path: paths without repeated nodes from start to end, shortest first; a bounded number of them, as asked for."""
+    g = edges.select("src", "dst").distinct()
+    path, found = g.sparkSession.createDataFrame([([start],)], "path array<long>"), None
+    for _ in range(most_edges):
+        path = path.join(g, F.element_at("path", -1) == F.col("src")).where(~F.array_contains("path", F.col("dst"))).select(F.array_append("path", F.col("dst")).alias("path"))
+        here = path.where(F.element_at("path", -1) == end)
+        found = here if found is None else found.union(here)
+        path = path.where(F.element_at("path", -1) != end)
+    return found.orderBy(F.size("path"), "path").limit(most_paths)

@@ -1,4 +1,4 @@
-"""Call-graph queries over supplier-part and nation edges."""
+"""Call-graph queries over supplier-part edges, orders of dependencies and components."""
 
 from pyspark.sql import functions as F
 
@@ -6,12 +6,12 @@ from lodestone.catalog import query
 from lodestone.operators import graph
 from lodestone.sources import load
 
-EDGES = "e AS (SELECT DISTINCT l_suppkey AS src, l_partkey + 1000000 AS dst FROM lineitem WHERE l_quantity > 45)"
+EDGES = "e AS (SELECT DISTINCT l_suppkey AS src, l_partkey + 1000000 AS dst FROM lineitem)"
 DEGREES = f"{EDGES}, d AS (SELECT node, CAST(sum(o) AS BIGINT) AS n_out, CAST(sum(i) AS BIGINT) AS n_in FROM (SELECT src AS node, 1 AS o, 0 AS i FROM e UNION ALL SELECT dst, 0, 1 FROM e) GROUP BY 1)"
 
 
 def edges(spark, d):
-    return load(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 1000000).alias("dst")).distinct()
+    return load(spark, d, "lineitem").select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 1000000).alias("dst")).distinct()
 
 
 @query("q_degree_centrality", f"WITH {DEGREES} SELECT node, n_out, n_in, round((n_in + n_out) / (2.0 * ((SELECT count(*) FROM d) - 1)), 9) AS centrality FROM d ORDER BY centrality DESC, node LIMIT 20")
@@ -42,35 +42,98 @@ def bfs_2hop(spark, d):
     return graph.reachable(edges(spark, d), spark.createDataFrame([(1,)], "node long"), 2)
 
 
-@query("q_paths", """
-    WITH g AS (SELECT n_nationkey AS src, (n_nationkey * 7 + 3) % 25 AS dst FROM nation UNION ALL SELECT n_nationkey, (n_nationkey * 3 + 1) % 25 FROM nation)
-    SELECT a.src AS a, a.dst AS b, b.dst AS c, c.dst AS d FROM g a JOIN g b ON a.dst = b.src JOIN g c ON b.dst = c.src
-    WHERE a.src = 1 AND a.dst <> a.src AND b.dst NOT IN (a.src, a.dst) AND c.dst NOT IN (a.src, a.dst, b.dst) GROUP BY ALL""")
+GRID = "g AS (SELECT n_nationkey AS src, (n_nationkey * 7 + 3) % 25 AS dst FROM nation UNION SELECT n_nationkey, (n_nationkey * 3 + 1) % 25 FROM nation)"
+
+
+@query("q_paths", f"""
+    WITH RECURSIVE {GRID}, r(path, tail) AS (SELECT [CAST(1 AS BIGINT)], 1 UNION ALL SELECT list_append(path, CAST(dst AS BIGINT)), dst FROM r JOIN g ON tail = src WHERE len(path) <= 5 AND NOT list_contains(path, dst) AND tail <> 20)
+    SELECT array_to_string(path, '>') AS path FROM r WHERE tail = 20 ORDER BY len(r.path), r.path LIMIT 5""")
 def paths(spark, d):
-    """Simple paths of three edges from node 1."""
-    n = load(spark, d, "nation").select(F.col("n_nationkey").alias("src"))
+    """Up to five simple paths of up to five edges between two nodes."""
+    n = load(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("src"))
     g = n.select("src", ((F.col("src") * 7 + 3) % 25).alias("dst")).union(n.select("src", ((F.col("src") * 3 + 1) % 25)))
-    path = g.where("src = 1 and dst <> 1").select(F.array("src", "dst").alias("p"))
-    for _ in range(2):
-        path = path.join(g, F.element_at("p", -1) == F.col("src")).where(~F.array_contains("p", F.col("dst"))).select(F.array_append("p", F.col("dst")).alias("p"))
-    return path.distinct().select(*[F.get("p", F.lit(i)).alias(c) for i, c in enumerate("abcd")])
+    return graph.simple_paths(g, 1, 20).select(F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
+
+
+# Documents that share a long number, and documents of a source that follow each other by seven.
+SHARED = "x AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[0-9]{5,}')) AS v FROM documents), m AS (SELECT v, min(doc_id) AS low FROM x GROUP BY 1), e AS (SELECT DISTINCT doc_id AS src, low AS dst FROM x JOIN m USING (v))"
 
 
-@query("q_components", """
-    WITH RECURSIVE g AS (SELECT n_nationkey AS src, n_nationkey % 4 AS dst FROM nation), b AS (SELECT src, dst FROM g UNION SELECT dst, src FROM g),
-    r(node, reach) AS (SELECT src, src FROM b UNION SELECT r.node, b.dst FROM r JOIN b ON r.reach = b.src)
+@query("q_components", f"""
+    WITH RECURSIVE {SHARED}, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), r(node, reach) AS (SELECT src, src FROM b UNION SELECT r.node, b.dst FROM r JOIN b ON r.reach = b.src)
     SELECT node, min(reach) AS component FROM r GROUP BY 1""")
 def components(spark, d):
-    n = load(spark, d, "nation").select(F.col("n_nationkey").alias("src"), (F.col("n_nationkey") % 4).alias("dst"))
-    return graph.smallest_reachable(n)
+    """Documents joined by the numbers that they share; a number's documents meet at the first, not pairwise."""
+    x = load(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]{5,}"), F.lit(0)))).alias("v"))
+    low = x.groupBy(F.col("v").alias("w")).agg(F.min("doc_id").alias("dst"))
+    return graph.smallest_reachable(x.join(low, F.col("v") == F.col("w")).select(F.col("doc_id").alias("src"), "dst"))
+
+
+# Parts depend on smaller keys of their brand's rule; keys that 97 divides are on a ring.
+DEPENDS = "n AS (SELECT p_partkey AS node FROM part), e AS (SELECT p_partkey AS src, p_partkey // 3 AS dst FROM part WHERE p_partkey > 0 UNION SELECT p_partkey, p_partkey // 2 - 1 FROM part WHERE p_partkey > 3 UNION SELECT p_partkey, p_partkey + 97 FROM part WHERE p_partkey % 97 = 0 AND p_partkey > 1000 AND p_partkey + 97 IN (SELECT p_partkey FROM part))"
+
+
+@query("q_leaf_first", f"""
+    WITH RECURSIVE {DEPENDS}, d AS (SELECT * FROM e WHERE src <> dst AND dst IN (SELECT node FROM n)), c(node, reach) AS (SELECT src, dst FROM d WHERE src % 97 = 0 AND src > 1000 UNION SELECT c.node, d.dst FROM c JOIN d ON c.reach = d.src),
+         cyc AS (SELECT DISTINCT node FROM c WHERE node = reach), bad(node) AS (SELECT node FROM cyc UNION SELECT d.src FROM d JOIN bad ON d.dst = bad.node),
+         l(node, depth) AS (SELECT node, 0 FROM n UNION SELECT d.src, l.depth + 1 FROM l JOIN d ON d.dst = l.node WHERE d.src NOT IN (SELECT node FROM bad))
+    SELECT n.node, CASE WHEN n.node IN (SELECT node FROM bad) THEN NULL ELSE max(depth) END AS level FROM n JOIN l ON n.node = l.node GROUP BY 1""")
+def leaf_first(spark, d):
+    """Levels of a leaf-first order over real dependencies; nodes on or above a cycle have none and come last."""
+    p = load(spark, d, "part").select(F.col("p_partkey").alias("k"))
+    ring = p.where("k % 97 = 0 and k > 1000").select(F.col("k").alias("src"), (F.col("k") + 97).alias("dst")).join(p, F.col("dst") == F.col("k"), "left_semi")
+    e = p.where("k > 0").select(F.col("k").alias("src"), F.floor(F.col("k") / 3).alias("dst")).union(p.where("k > 3").select("k", F.floor(F.col("k") / 2) - 1)).union(ring)
+    return graph.leaf_first(e, p.withColumnRenamed("k", "node"))
+
+
+@query("q_expansion", f"""
+    WITH {EDGES}, b AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e), deg AS (SELECT src AS node, count(*) AS degree FROM b GROUP BY 1)
+    SELECT s.src AS start, b.dst AS node, degree FROM (VALUES (1), (7), (1000005)) s(src) JOIN b ON b.src = s.src JOIN deg ON deg.node = b.dst QUALIFY row_number() OVER (PARTITION BY s.src ORDER BY degree DESC, b.dst) <= 4""")
+def expansion(spark, d):
+    """The best connected neighbours of a few nodes: four each at most."""
+    from pyspark.sql import Window as W
+
+    e = edges(spark, d)
+    b = e.union(e.select("dst", "src"))
+    degree = b.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("degree"))
+    near = b.where(F.col("src").isin(1, 7, 1000005)).join(degree, F.col("dst") == F.col("node")).select(F.col("src").alias("start"), "node", "degree")
+    return near.withColumn("rn", F.row_number().over(W.partitionBy("start").orderBy(F.desc("degree"), "node"))).where("rn <= 4").drop("rn")
 
 
-@query("q_topo_levels", "SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS level FROM conversations")
-def topo_levels(spark, d):
-    """Each turn depends on the one before: its level is the number of turns it needs."""
+@query("q_domain_members", "SELECT p_brand, p_partkey FROM part QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) <= 20")
+def domain_members(spark, d):
+    """Twenty members of each domain at most."""
     from pyspark.sql import Window as W
 
-    return load(spark, d, "conversations").select("conv_id", "turn", (F.row_number().over(W.partitionBy("conv_id").orderBy("turn")).cast("long") - 1).alias("level"))
+    w = W.partitionBy("p_brand").orderBy(F.desc("p_retailprice"), "p_partkey")
+    return load(spark, d, "part").withColumn("rn", F.row_number().over(w)).where("rn <= 20").select("p_brand", "p_partkey")
+
+
+@query("q_component_units", f"""
+    WITH {EDGES}, o AS (SELECT dst, min(src) AS grp FROM e GROUP BY 1), r AS (SELECT grp, dst, ceil(row_number() OVER (PARTITION BY grp ORDER BY dst) / 40.0)::BIGINT AS unit FROM o),
+         c AS (SELECT r.grp, r.unit, r.dst, count(CASE WHEN e.src = r.grp THEN 1 END) AS inner_callers, count(CASE WHEN e.src <> r.grp THEN 1 END) AS outer_callers FROM r JOIN e ON e.dst = r.dst GROUP BY 1, 2, 3)
+    SELECT grp, unit, count(*) AS members, min(dst) AS first_member, CAST(sum(outer_callers) AS BIGINT) AS external FROM c GROUP BY 1, 2""")
+def component_units(spark, d):
+    """Groups cut into units of forty, with the references that come from outside."""
+    from pyspark.sql import Window as W
+
+    e = edges(spark, d)
+    o = e.groupBy("dst").agg(F.min("src").alias("grp"), (F.count("*") - 1).alias("outer"))
+    unit = F.ceil(F.row_number().over(W.partitionBy("grp").orderBy("dst")) / 40.0).cast("long")
+    return o.withColumn("unit", unit).groupBy("grp", "unit").agg(F.count("*").alias("members"), F.min("dst").alias("first_member"), F.sum("outer").alias("external"))
+
+
+@query("q_dispatch_walk", f"""
+    WITH RECURSIVE {GRID}, r(node, depth) AS (SELECT 2, 0 UNION SELECT g.dst, depth + 1 FROM r JOIN g ON r.node = g.src WHERE depth < 6) SELECT CAST(node AS BIGINT) AS node, min(depth) AS depth FROM r GROUP BY 1""")
+def dispatch_walk(spark, d):
+    """Tables reached from a root, each visited once, up to six steps."""
+    n = load(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("src"))
+    g = n.select("src", ((F.col("src") * 7 + 3) % 25).alias("dst")).union(n.select("src", ((F.col("src") * 3 + 1) % 25)))
+    seen = front = spark.createDataFrame([(2, 0)], "node long, depth int")
+    for depth in range(1, 7):
+        front = front.join(g, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(depth))
+        seen = seen.union(front)
+    return seen
 
 
 @query("q_fingerprint_groups", r"""

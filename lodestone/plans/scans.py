@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.catalog import query
+from lodestone.operators.intervals import containing
 from lodestone.sources import load
 
 
@@ -60,13 +61,15 @@ def string_filter(spark, d):
 
 
 @query("q_containing_range", """
-    SELECT event_id, date_trunc('hour', ts) AS range_start, user_id % 10 AS block FROM events""")
+    WITH r AS (SELECT o_orderkey AS range_id, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 181) AS lo, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 181 + 60 + o_custkey % 200) AS hi FROM orders)
+    SELECT event_id, range_id FROM events LEFT JOIN r ON ts >= lo AND ts < hi""")
 def containing_range(spark, d):
-    """Point in range by a bucket key: an equi-join on the hour, then the bounds."""
-    e = load(spark, d, "events").select("event_id", "ts", "user_id")
-    ranges = e.select(F.date_trunc("hour", "ts").alias("lo")).distinct()
-    joined = e.join(ranges, (F.date_trunc("hour", "ts") == F.col("lo")) & (F.col("ts") >= F.col("lo")) & (F.col("ts") < F.col("lo") + F.expr("interval 1 hour")))
-    return joined.select("event_id", F.col("lo").cast("timestamp_ntz").alias("range_start"), (F.col("user_id") % 10).alias("block"))
+    """Events in ranges of uneven width that overlap and leave gaps; events outside all of them are kept."""
+    e = load(spark, d, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    zero = F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    lo = zero + F.col("o_orderkey") * 181_000_000
+    r = load(spark, d, "orders").select(F.col("o_orderkey").alias("range_id"), lo.alias("lo"), (lo + (60 + F.col("o_custkey") % 200) * 1_000_000).alias("hi"))
+    return containing(e, "at", r, "lo", "hi", 300_000_000).select("event_id", "range_id")
 
 
 @query("q_precedence_lookup", """

@@ -11,7 +11,11 @@ from lodestone.sources import load
     (SELECT 'quantity' AS metric, l_quantity AS v FROM lineitem UNION ALL SELECT 'discount', l_discount FROM lineitem UNION ALL SELECT 'tax', l_tax FROM lineitem) GROUP BY 1""")
 def corpus_stats(spark, d):
     x = load(spark, d, "lineitem").select(F.explode(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).alias("v")) for n, c in (("quantity", "l_quantity"), ("discount", "l_discount"), ("tax", "l_tax"))])).alias("s")).select("s.*")
-    return x.groupBy("metric").agg(F.count("v").alias("n"), F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("std"), F.median("v").alias("median"), F.min("v").alias("low"), F.max("v").alias("high"))
+    # equal values are counted before any median: a metric's task holds its distinct values
+    c = x.where("v is not null").groupBy("metric", "v").agg(F.count("*").alias("k"))
+    middle = c.groupBy(F.col("metric").alias("m")).agg(F.expr("percentile(v, 0.5, k)").alias("median"))
+    out = x.groupBy("metric").agg(F.count("v").alias("n"), F.round(F.avg("v"), 6).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("std"), F.min("v").alias("low"), F.max("v").alias("high"))
+    return out.join(middle, F.col("metric") == F.col("m")).select("metric", "n", "mean", "std", "median", "low", "high")
 
 
 @query("q_weighted_score", """
