@@ -1,6 +1,7 @@
 """Dedup, fingerprints and mixing against brute force, with nulls, ties and odd texts."""
 
 import hashlib
+import math
 import re
 from itertools import combinations
 
@@ -137,18 +138,67 @@ def test_rows_of_repeated_and_null_ids_stand_for_themselves(spark):
     assert kept == [(-1, "no id"), (-1, "other0"), (7, "word0x"), (9, "dup id")]
 
 
-def test_fingerprints(docs):
-    rows = {(r.doc_id, r.n_chars, r.fingerprint): r for r in fingerprint.fingerprint_pairs(docs, ranges=3).collect()}
-    out = fingerprint.fingerprint_pairs(docs, ranges=3).collect()
-    assert len(out) == len(TEXTS) and rows
-    own = sorted(((i, t or "") for i, t, _ in TEXTS if i in (6, 7, 8)), reverse=True)
-    by = {r.doc_id: r for r in out}
-    for (i, t), (_, u) in zip(own, own[1:], strict=False):
+def simhash(text):
+    """128 bits by plain loops over pairs of words."""
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", text.lower()) if x]
+    pairs = [(w[0], w[0])] if len(w) == 1 else list(zip(w, w[1:], strict=False))
+    x = lambda v, seed: xxhash.xxh64_intdigest(v, seed=seed)
+    votes, total = [0] * 128, 0
+    for a, b in pairs:
+        n = len(a) + len(b)
+        weight = 3 if n > 12 else 2 if n > 6 else 1
+        f0 = x(b.encode(), x(a.encode(), 42))
+        f1 = x((1).to_bytes(4, "little"), x(a.encode(), x(b.encode(), 42)))
+        total += weight
+        for k in range(64):
+            votes[k] += weight * (f0 >> k & 1)
+            votes[64 + k] += weight * (f1 >> k & 1)
+    bits = sum(1 << k for k in range(128) if 2 * votes[k] > total)
+    return f"{bits & covering.M64:016x}{bits >> 64:016x}", total
+
+
+def alike(a, b):
+    (x, n), (y, m) = a, b
+    if not n or not m:
+        return float(n == m)
+    return max(0.0, math.cos((int(x, 16) ^ int(y, 16)).bit_count() * math.pi / 128))
+
+
+@pytest.mark.parametrize("ranges", [None, 3])
+def test_fingerprints(spark, docs, ranges):
+    """All columns against plain loops; ids are made distinct, for the order of equal ones is the operator's own."""
+    texts = [(i, t or "") for i, (_, t, _) in enumerate(TEXTS)] + [(100, BASE.replace("tail299", "tail298")), (101, "x"), (None, "last")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    out = sorted(fingerprint.document_fingerprints(df, ranges).collect(), key=lambda r: -1 if r.doc_id is None else r.doc_id, reverse=True)
+    order = sorted(texts, key=lambda r: -1 if r[0] is None else r[0], reverse=True)
+    own = [simhash(t) for _, t in order]
+    label = smallest(len(own), [(a, b) for a, b in combinations(range(len(own)), 2) if (int(own[a][0], 16) ^ int(own[b][0], 16)).bit_count() <= 2])
+    for k, ((i, t), r) in enumerate(zip(order, out, strict=True)):
+        nxt = order[(k + 1) % len(order)][1]
         half = len(t) // 2
-        assert by[i].edited_sha256 == hashlib.sha256((t[: len(t) - half] + u[:half]).encode()).hexdigest()
-    same = {r.fingerprint for r in out if r.doc_id in (1, 2)}
-    assert len(same) == 1 and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out)
-    assert by[8].near_next > 0.9
+        e = t[: len(t) - half] + nxt[:half]
+        assert (r.doc_id, r.n_chars, r.edited_sha256) == (i, len(t), hashlib.sha256(e.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (own[k][0], simhash(e)[0])
+        assert r.near_edited == pytest.approx(alike(own[k], simhash(e))) and r.near_next == pytest.approx(alike(own[k], simhash(nxt)))
+        group = [order[j][0] for j in range(len(order)) if label[j] == label[k]]
+        assert r.near_size == len(group) and r.near_group == min((j for j in group if j is not None), default=None)
+    assert len(fingerprint.document_fingerprints(docs, ranges).collect()) == len(TEXTS)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2])
+@pytest.mark.parametrize("few", [64, 1])
+def test_linked_fingerprints(spark, radius, few):
+    """A bound of 1 sends every bucket through the points."""
+    import random
+
+    rng = random.Random(8)
+    c = [rng.getrandbits(128) for _ in range(5)]
+    values = sorted({x ^ sum(1 << b for b in rng.sample(range(128), k)) for x in c for k in (0, 1, 1, 2, 2, 3, 4, 6)})
+    low = lambda x: covering.signed(x & covering.M64)
+    df = spark.createDataFrame([(i, low(v), low(v >> 64)) for i, v in enumerate(values)], "node long, f0 long, f1 long")
+    got = {r.node: r.component for r in fingerprint.linked(df, radius, few).collect()}
+    want = smallest(len(values), [(a, b) for a, b in combinations(range(len(values)), 2) if (values[a] ^ values[b]).bit_count() <= radius])
+    assert [got.get(i, i) for i in range(len(values))] == want
 
 
 def test_fingerprint_neighbours(spark):
@@ -235,5 +285,5 @@ def test_targets_stop_at_the_cap(spark):
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
-    for f in (exact_dedup.exact_groups, exact_dedup.drop_copies, near_dedup.near_groups, near_dedup.drop_similar, fingerprint.fingerprint_pairs, mixing.mixed, mixing.take_mix):
+    for f in (exact_dedup.exact_groups, exact_dedup.drop_copies, near_dedup.near_groups, near_dedup.drop_similar, fingerprint.document_fingerprints, mixing.mixed, mixing.take_mix):
         assert f(none).count() == 0
