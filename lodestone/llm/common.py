@@ -55,7 +55,7 @@ def running(sizes: Column, block: int = 128) -> Column:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is set only where none is named (as in tests)."""
+    """The cluster's shared folder; a temporary one is set only in a local session that names none (as in tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     made = f"file://{tempfile.mkdtemp(prefix='lodestone-checkpoint-')}"
     spark.sparkContext.setCheckpointDir(made)
     return made

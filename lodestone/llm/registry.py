@@ -32,14 +32,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of op7's tokenizer, stored and then dealt to shards of 16-bit ids; </s> ends a document."""
     import hashlib
 
     folder = token_output.shard_folder(spark, f"shards-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}")
-    return token_output.materialised(table(spark, sf_dir, "documents"), folder)
+    ids = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file())
+    ids.select("doc_id", "ids").write.mode("overwrite").parquet(f"{folder}-ids")
+    return token_output.materialised(spark.read.parquet(f"{folder}-ids"), folder, ids="ids", dtype="<u2", separator=2, padding=0xFFFF)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprint_pairs(table(spark, sf_dir, "documents"))
+    return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

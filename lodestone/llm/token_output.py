@@ -21,6 +21,7 @@ result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import ensure_checkpoint_dir, whole_text
 
 SEPARATOR, PADDING = 0xFF, 0xFE  # bytes that UTF-8 never has
+MANIFEST = "manifest.json"
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -73,11 +75,13 @@ def shard_name(k: int) -> str:
     return f"shard-{k:08d}.bin"
 
 
-def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: int = 4096, key: int = 20240229, ids: str | None = None, dtype: str = "<u4", separator: int | None = None, padding: int | None = None) -> DataFrame:
+def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: int | None = None, key: int = 20240229, ids: str | None = None, dtype: str = "<u4", separator: int | None = None, padding: int | None = None) -> DataFrame:
     """Writes the shards when evaluated; slot, shard, byte_offset, sequence, n_tokens, doc_ids, sha256.
 
     Without ``ids`` the ids of a text are its UTF-8 bytes, one byte each.  With the name of an
     array<int> column they are its values in ``dtype``, with the given separator and padding.
+    per_shard: sequences of a shard; unless given, 4,096, and more beyond 20,000 shards, up to 128 MB.
+    The folder gets a manifest of the layout; shards of another layout are removed from it.
     """
     spark = docs.sparkSession
     if ids is None:
@@ -94,9 +98,12 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
     for p in sorted(counts):
         starts[p], total = total, total + counts[p]
     n = -(-total // length)
+    size = length * width
+    if per_shard is None:
+        per_shard = max(1, min(max(4096, -(-n // 20_000)), (128 << 20) // size))
     shards = max(1, -(-n // per_shard))
     end = np.array([separator], dtype).tobytes()
-    size = length * width
+    _lay_out(folder, {"sequences": n, "ids": total, "length": length, "per_shard": per_shard, "shards": -(-n // per_shard), "dtype": dtype, "separator": separator, "padding": padding, "key": key})
 
     def cut(batches):
         """Pieces of sequences in stream order: at most one a sequence and batch."""
@@ -164,6 +171,27 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
     return dealt.mapInArrow(write, "slot long, shard int, byte_offset long, sequence long, n_tokens int, doc_ids array<long>, sha256 string")
 
 
+def _lay_out(folder: str, layout: dict) -> None:
+    """Writes the manifest; where it differs from the one that is there, old shards go."""
+    from pyarrow import fs
+
+    store, base = _filesystem(folder)
+    store.create_dir(base, recursive=True)
+    data = json.dumps(layout, sort_keys=True).encode()
+    if _read(store, f"{base}/{MANIFEST}") == data:
+        return
+    for x in store.get_file_info(fs.FileSelector(base)):
+        if x.base_name.startswith("shard-"):
+            store.delete_file(x.path)
+    with store.open_output_stream(f"{base}/{MANIFEST}") as f:
+        f.write(data)
+
+
+def manifest(folder: str) -> dict:
+    store, base = _filesystem(folder)
+    return json.loads(_read(store, f"{base}/{MANIFEST}"))
+
+
 def _read(store, name: str) -> bytes | None:
     try:
         with store.open_input_stream(name) as f:
@@ -172,18 +200,16 @@ def _read(store, name: str) -> bytes | None:
         return None
 
 
-def read_slots(folder: str, start: int, count: int, length: int = 2048, per_shard: int = 4096, dtype: str = "u1"):
-    """The ids of slots start, start + 1, ... one array each: a seek and sequential reads."""
+def read_slots(folder: str, start: int, count: int):
+    """The ids of slots start, start + 1, ... one array each: a seek and sequential reads, by the folder's manifest."""
     store, base = _filesystem(folder)
-    size, slot = length * np.dtype(dtype).itemsize, start
-    while slot < start + count:
+    m = manifest(folder)
+    size, per_shard, slot, end = m["length"] * np.dtype(m["dtype"]).itemsize, m["per_shard"], start, min(start + count, m["sequences"])
+    while slot < end:
         with store.open_input_file(f"{base}/{shard_name(slot // per_shard)}") as f:
             f.seek(slot % per_shard * size)
-            for _ in range(min(start + count, (slot // per_shard + 1) * per_shard) - slot):
-                data = f.read(size)
-                if not data:
-                    return
-                yield np.frombuffer(data, dtype)
+            for _ in range(min(end, (slot // per_shard + 1) * per_shard) - slot):
+                yield np.frombuffer(f.read(size), m["dtype"])
                 slot += 1
 
 

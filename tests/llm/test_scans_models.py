@@ -243,7 +243,7 @@ def test_token_output(spark, tmp_path):
     again = token_output.materialised(table, folder, length=64, per_shard=100).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
-    slots = list(token_output.read_slots(folder, 0, len(rows), 64, 100))
+    slots = list(token_output.read_slots(folder, 0, len(rows) + 5))
     assert [hashlib.sha256(s.tobytes()).hexdigest() for s in slots] == [r.sha256 for r in sorted(rows, key=lambda r: r.slot)]
     order = sorted(rows, key=lambda r: r.sequence)
     stream = b"".join(slots[r.slot].tobytes()[: r.n_tokens] for r in order)
@@ -251,6 +251,29 @@ def test_token_output(spark, tmp_path):
     assert {i for r in rows for i in r.doc_ids} == {i for i, _ in TEXTS if i is not None}
 
 
+def test_token_ids_in_training_order(spark, tmp_path):
+    """Ids, separators, padding, and the documents of each slot against a plain concatenation; a second layout replaces the first."""
+    rng = np.random.default_rng(6)
+    rows = [(i if i % 7 else None, [int(x) for x in rng.integers(3, 60000, int(n))] if n else None) for i, n in enumerate(rng.integers(0, 90, 120))]
+    spark.createDataFrame(rows, "doc_id long, ids array<int>").repartition(4).write.parquet(f"{tmp_path}/ids")
+    table, folder = spark.read.parquet(f"{tmp_path}/ids"), f"file://{tmp_path}/shards"
+    for length, per_shard in ((16, 20), (64, None)):
+        out = sorted(token_output.materialised(table, folder, length, per_shard, ids="ids", dtype="<u2", separator=2, padding=0xFFFF).collect(), key=lambda r: r.sequence)
+        stream, owner = [], []
+        for r in table.collect():
+            stream += [*(r.ids or []), 2]
+            owner += [r.doc_id] * (len(r.ids or []) + 1)
+        slots = list(token_output.read_slots(folder, 0, 10**6))
+        assert len(slots) == len(out) == -(-len(stream) // length) == token_output.manifest(folder)["sequences"]
+        for k, r in enumerate(out):
+            want = stream[k * length : (k + 1) * length]
+            assert r.n_tokens == len(want) and slots[r.slot].tolist() == want + [0xFFFF] * (length - len(want))
+            own = owner[k * length : (k + 1) * length]
+            assert set(r.doc_ids) == {i for i in own if i is not None} and r.doc_ids == sorted(r.doc_ids, key=own.index)
+        assert len(list((tmp_path / "shards").glob("shard-*"))) == token_output.manifest(folder)["shards"]
+    assert token_output.materialised(table.limit(0), f"file://{tmp_path}/none", ids="ids", separator=2, padding=3).count() == 0
+
+
 def corpus(n=240):
     rng = np.random.default_rng(2)
     good = ["the", "river", "walks", "under", "quiet", "stones", "while", "every", "lamp", "sleeps"]
