@@ -1,5 +1,6 @@
 """Windows and correlations over tool logs and conversations."""
 
+import hashlib
 import tempfile
 
 from pyspark.sql import Window as W
@@ -120,8 +121,12 @@ def trace_divergence(spark, d):
 @query("q_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(spark, d):
     """A stream over the events that lets each fingerprint through once, drained into a table."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='lodestone-stream-')}"
-    folder = f"{base.rstrip('/')}/stream-{spark.sql('select uuid()').first()[0]}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        base = f"file://{tempfile.mkdtemp(prefix='lodestone-stream-')}"
+    folder = f"{base.rstrip('/')}/stream-{hashlib.sha256(d.encode()).hexdigest()[:12]}"  # the same table goes on where a run stopped
     table = load(spark, d, "events")
     source = spark.readStream.schema(table.schema)
     # a stream reads folders: a table of one file is picked out of its folder by name
