@@ -155,20 +155,33 @@ def _possible(similar: tuple[int, int], x: str, y: str) -> Column:
     return (F.least(n, m) * b >= F.greatest(n, m) * a) & (apart * (a + b) <= (n + m) * (b - a))
 
 
-def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
-    """The pairs u, v whose similarity is large enough, by their sets."""
+def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar: tuple[int, int], together: int = 64) -> DataFrame:
+    """The pairs u, v whose similarity is large enough, by their sets.
+
+    Sets are made again from the texts and sent once: the pairs of one v are dealt to groups of about
+    ``together``, each of which gets the set of v and those of its u.
+    """
     a, b = similar
+    spark = docs.sparkSession
     pairs = checkpointed(pairs.select("u", "v").distinct())
-    asked = bounded_broadcast(checkpointed(pairs.select(F.explode(F.array("u", "v")).alias("asked")).distinct()))
-    # one text of each node asked for
-    texts = rows.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(F.min("th").alias("__th")).select("__th")
-    texts = bounded_broadcast(checkpointed(texts.distinct()))
-    chosen = docs.select(whole_text().alias("t")).join(texts, F.xxhash64("t") == F.col("__th"), "left_semi")
-    sets = checkpointed(_sets(chosen, k).dropDuplicates(["node"]))
-    left, right = sets.select(F.col("node").alias("un"), F.col("set").alias("us")), sets.select(F.col("node").alias("vn"), F.col("set").alias("vs"))
-    both = pairs.join(left, F.col("u") == F.col("un")).join(right, F.col("v") == F.col("vn"))
-    common = F.size(F.array_intersect("us", "vs"))
-    return checkpointed(both.where(common * (a + b) >= (F.size("us") + F.size("vs")) * a).select("u", "v"))
+    hubs = pairs.groupBy(F.col("v").alias("hv")).agg(F.ceil(F.count(F.lit(1)) / together).alias("groups"))
+    dealt = pairs.join(hubs, F.col("v") == F.col("hv")).select("u", "v", F.pmod(F.xxhash64("u"), F.col("groups")).alias("g"))
+    sent = dealt.select(F.col("u").alias("to"), "v", "g", F.lit(False).alias("hub")).union(dealt.select("v", "v", "g", F.lit(True)).distinct())
+    sent = bounded_broadcast(checkpointed(sent))
+    asked = sent.select("to").distinct()
+    # one row of each node asked for
+    chosen = rows.join(asked, F.col("node") == F.col("to"), "left_semi").groupBy("node").agg(F.min(F.struct("th", "doc_id")).alias("x"))
+    chosen = bounded_broadcast(checkpointed(chosen.select(F.col("x.th").alias("c_th"), F.col("x.doc_id").alias("c_id"))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("t"))
+    texts = texts.join(chosen, (F.xxhash64("t") == F.col("c_th")) & F.col("id").eqNullSafe(F.col("c_id")), "left_semi")
+    sets = _sets(texts, k).join(sent, F.col("node") == F.col("to")).select("v", "g", F.struct("hub", "node", "set").alias("x"))
+    met = sets.groupBy("v", "g").agg(F.collect_list("x").alias("l"))
+    met = met.select("v", F.filter("l", lambda x: ~x["hub"]).alias("l"), F.element_at(F.filter("l", lambda x: x["hub"]), 1)["set"].alias("hub"))
+    met = met.select("v", F.explode(F.transform("l", lambda x: F.struct(x["node"].alias("u"), F.size(F.array_intersect(x["set"], F.col("hub"))).alias("common"), (F.size(x["set"]) + F.size("hub")).alias("both")))).alias("x"))
+    found = checkpointed(met.where(F.col("x.common") * (a + b) >= F.col("x.both") * a).select("x.u", "v").distinct())
+    del met, sets, texts, chosen, sent, dealt, pairs
+    release(spark)
+    return found
 
 
 def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -235,7 +248,6 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int
         met = met.join(chosen, F.col("h") == F.col("v_h")).where(apart & _possible(similar, "u_", "v_"))
         found = checkpointed(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
         del met, chosen
-        release(spark)
         known = labelled(found)
 
     marked = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", "at", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))

@@ -184,22 +184,24 @@ def logistic(model: dict, texts: list[str], labels: list[int]) -> np.ndarray:
 def chain_weights(texts: list[str], labels: list[int], epochs: int, seed: int) -> dict:
     """The CRF: hashed weights, bias and transitions."""
     marked, rng = offending(texts, labels), np.random.default_rng(seed)
-    lists = [words_of(t) for t in texts]
-    known = {w: i for i, w in enumerate(sorted({w for words in lists for w in words}))}
+    known: dict[str, int] = {}
+    codes = [np.fromiter((known.setdefault(w, len(known)) for w in words_of(t)), np.int32) for t in texts]
     offends = np.array([not marked.isdisjoint(beginnings(w)) for w in known], bool)
     # one more word, without features, fills the last window of each document
     words, tags = [], []
-    for x, y in zip(lists, labels, strict=True):
-        c = np.fromiter(map(known.__getitem__, x), np.int32, len(x))
+    for c, y in zip(codes, labels, strict=True):
         words.append(np.pad(c, (0, -len(c) % WINDOW), constant_values=len(known)).reshape(-1, WINDOW))
         tags.append(np.pad(offends[c] & bool(y), (0, -len(c) % WINDOW)).reshape(-1, WINDOW))
     words, tags = np.concatenate(words), np.concatenate(tags)
     b, live = len(words), words < len(known)
     # hashed features in use, numbered: the weights of a step are as many as these
-    used, table = np.unique(np.array([slots_of(w) for w in known]).reshape(-1, OWN + 2), return_inverse=True)
+    slots = np.empty((len(known), OWN + 2), np.int32)
+    for i, w in enumerate(known):
+        slots[i] = slots_of(w)
+    used, table = np.unique(slots, return_inverse=True)
     size = len(used)
     table = np.vstack([table.reshape(-1, OWN + 2), np.full(OWN + 2, size)]).astype(np.int32)
-    del lists, known
+    del codes, known, slots
 
     def features(rows: np.ndarray) -> np.ndarray:
         f = table[words[rows]]
