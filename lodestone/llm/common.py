@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 from functools import reduce
@@ -91,6 +92,15 @@ def pieces(column: pa.Array, most: int = 1 << 20):
         yield column.slice(at)
 
 
+def trim() -> None:
+    """Returns freed memory to the system at the end of a task: a Python worker outlives it, and other tasks need the memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trimmed = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trimmed:
+        trimmed(0)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes the rows to the shared folder and cuts the lineage, so that lost executors cost no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, pieces, release, whole_text
+from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, pieces, release, trim, whole_text
 from lodestone.llm.components import components
 from lodestone.llm.covering import links
 
@@ -43,7 +43,7 @@ def _spread(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Sorted hashes of the distinct k-word shingles of texts; words are hashed once while they are known."""
 
-    def __init__(self, k: int, most: int = 200_000):
+    def __init__(self, k: int, most: int = 100_000):
         self.k, self.most, self.known = k, most, {}
         self.factors = _spread(np.arange(1, k + 2, dtype=np.uint64)) | np.uint64(1)
 
@@ -128,6 +128,8 @@ def shingled(docs: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
                 bits = np.array([_parity(s) for s in sets], np.int64).reshape(-1, len(PARITY))
                 out = [rest.column("doc_id"), rest.column("th"), pa.array([_name(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([_simhash(s) for s in sets], pa.int64()), *[pa.array(bits[:, j]) for j in range(len(PARITY))], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first)))]
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "th", "node", "n", "fp", *PARITY, "first"])
+        del shingles
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).select("doc_id", F.xxhash64("t").alias("th"), "t")
     return rows.mapInArrow(run, f"doc_id long, th long, node long, n long, fp long, {', '.join(f'{c} long' for c in PARITY)}, first array<long>")
@@ -143,6 +145,8 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                 sets = [shingles.of(t) for t in part.to_pylist()]
                 ends = np.cumsum([0, *map(len, sets)])
                 yield pa.RecordBatch.from_arrays([pa.array([_name(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))], ["node", "set"])
+        del shingles
+        trim()
 
     return docs.select("t").mapInArrow(run, "node long, set array<long>")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, pieces, whole_text
+from lodestone.llm.common import bounded_batches, pieces, trim, whole_text
 
 MARK = "▁"
 STARTS = re.compile(f"(?<![ {MARK}])[ {MARK}](?=.)", re.DOTALL)  # where runs of blanks start that do not end the text at once
@@ -156,7 +156,7 @@ class Codec:
     libraries' tables follow the segment and not the text; shorter texts are one segment.
     """
 
-    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, room: int = 160 << 20):
+    def __init__(self, data: bytes, verify: bool, longest: int = 1 << 20, room: int = 64 << 20):
         m = parse_model(data)
         self.tokenizer, self.longest, self.room, self.library = build_tokenizer(data), longest, room, None
         self.cuts = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and self.tokenizer.pre_tokenizer is not None
@@ -201,6 +201,11 @@ class Codec:
             self.used += sum(map(len, part)) + sum(map(len, ids)) + 200 * len(part)  # two objects and an entry each
         return [b"".join(map(self.known.__getitem__, x) if None in ids else ids) for x, ids in zip(cut, found, strict=True)]
 
+    def forget(self) -> None:
+        """Drops the kept cuts."""
+        self.known, self.used = {}, 0
+        trim()
+
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool | None]]:
         """Little-endian ids, round_trip and parity (None without the library) of every text."""
         cut = [self.segments(t) for t in texts]
@@ -245,14 +250,17 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int
 
     def run(batches):
         codec = _codec(shared.value, verify, threads)
-        for batch in batches:
-            at = 0
-            for part in pieces(batch.column("t"), 1 << 18):
-                ids, round_trip, same = codec.encode(part.to_pylist())
-                ends, values = np.cumsum([0, *map(len, ids)]) // 4, pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same, pa.bool_())]
-                at += len(part)
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
+        try:
+            for batch in batches:
+                at = 0
+                for part in pieces(batch.column("t"), 1 << 18):
+                    ids, round_trip, same = codec.encode(part.to_pylist())
+                    ends, values = np.cumsum([0, *map(len, ids)]) // 4, pa.array(np.frombuffer(b"".join(ids), "<i4"))
+                    columns = [batch.column("doc_id").slice(at, len(part)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values), pa.array(round_trip, pa.bool_()), pa.array(same, pa.bool_())]
+                    at += len(part)
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
+        finally:
+            codec.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, round_trip boolean, parity boolean")

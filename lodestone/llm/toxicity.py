@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, pieces, whole_text
+from lodestone.llm.common import bounded_batches, pieces, trim, whole_text
 from lodestone.llm.labelled import remainder, training_sample
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -53,7 +53,7 @@ def slots_of(word: str) -> list[int]:
 class Chain:
     """Feature scores by word as it is written, learned as they come, and the recursions."""
 
-    def __init__(self, model: dict, most: int = 200_000):
+    def __init__(self, model: dict, most: int = 100_000):
         self.model, self.most = model, most
         self.known: dict[str, int] = {}
         self.scores = np.zeros((1024, 3))
@@ -266,6 +266,8 @@ def scored(docs: DataFrame, model: dict | None, threshold: float = 0.3, chunk: i
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
             spans = pa.array([y for x in out for y in x[1]], kind)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32)), spans], ["doc_id", "score", "predicted", "spans"])
+        del chain
+        trim()
 
     schema = "doc_id long, score double, predicted int, spans array<struct<start:int,end:int,probability:double>>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).mapInArrow(run, schema)
@@ -295,6 +297,8 @@ def without_toxic(docs: DataFrame, model: dict | None, threshold: float = 0.3) -
                 keep = _score(chain, part.to_pylist())[0] < threshold
                 yield batch.slice(at, len(keep)).filter(pa.array(keep))
                 at += len(keep)
+        del chain
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 
