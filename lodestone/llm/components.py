@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import checkpointed
+from lodestone.llm.common import checkpointed, release
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -40,7 +40,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before:
             break
         before = state
+        release(e.sparkSession)  # the files of the rounds before
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
+    release(e.sparkSession)
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
