@@ -28,7 +28,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of about 0.8 or more) the smallest doc_id stays."""
+    """Of each group of near copies (five-word shingles, similarity of 0.8 or more) the smallest doc_id stays."""
     return near_dedup.drop_similar(docs)
 
 
@@ -51,7 +51,7 @@ STAGES = [
     ("sentencepiece", encode),
 ]
 
-#: Toxicity, near-dedup, mixing and encoding have no SQL; tests hold the stages against brute force.
+#: Toxicity, near-dedup, mixing and encoding have no SQL; tests/llm holds their operators against brute force.
 ORACLE_SQL = None
 
 
