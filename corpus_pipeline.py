@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import exact_dedup, mixing, near_dedup, sentencepiece_codec, toxicity
-from lodestone.llm.common import ensure_checkpoint_dir
+from lodestone.llm.common import ensure_checkpoint_dir, release
 from lodestone.llm.registry import table, tokenizer_file
 
 
@@ -34,6 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: repeated rows are the mix's copies."""
+    release(spark)  # what near-dedup stored and nothing refers to any more
     return mixing.take_mix(docs)
 
 
