@@ -99,12 +99,10 @@ def consensus(spark, d):
     df = votes.groupBy("tag").agg(F.count(F.lit(1)).alias("df"))
     n = load(spark, d, "documents").agg(F.countDistinct("source").alias("n"))
     r = votes.join(df, "tag").crossJoin(n).withColumn("weight", F.round(F.col("votes") * F.log(1 + F.col("n") / F.col("df")), 9))
-    # the best of each of 64 parts first, so that a source's tags are in no one task
-    order = F.struct((-F.col("weight")).alias("w"), "tag", "votes")
-    part = F.pmod(F.xxhash64("tag"), F.lit(64)).alias("part")
-    two = r.groupBy("source", part).agg(F.min(order).alias("a"))
-    rest = r.join(two.select(F.col("source").alias("s"), F.col("a.tag").alias("t")), (F.col("source") == F.col("s")) & (F.col("tag") == F.col("t")), "left_anti")
-    tops = two.select("source", "a").union(rest.groupBy("source", part).agg(F.min(order).alias("a")).select("source", "a"))
+    # the best two of each of 64 parts first, so that a source's tags are in no one task
+    order = F.struct((-F.col("weight")).alias("w"), "tag", "votes").alias("a")
+    w = W.partitionBy("source", "part").orderBy(F.desc("weight"), "tag")
+    tops = r.withColumn("part", F.pmod(F.xxhash64("tag"), F.lit(64))).withColumn("rn", F.row_number().over(w)).where("rn <= 2").select("source", order)
     k = tops.groupBy("source").agg(F.slice(F.array_sort(F.collect_list("a")), 1, 2).alias("k"))
     best, second = F.col("k")[0], F.get("k", F.lit(1))
     return k.select("source", best["tag"].alias("tag"), best["votes"].alias("votes"), (-best["w"]).alias("weight"), F.round(-best["w"] + F.coalesce(second["w"], F.lit(0.0)), 6).alias("margin"))
