@@ -444,6 +444,16 @@ def struct_layout(spark, d):
     return f.select("struct_", "off", size.alias("size_"), (size > 4).alias("padded"))
 
 
+@query("q_struct_header", """
+    WITH f AS (SELECT DISTINCT p_brand AS struct_, p_size * 4 AS off FROM part)
+    SELECT struct_, count(*) AS fields, CAST(ceil((max(off) + 4) / 16.0) * 16 AS BIGINT) AS bytes, string_agg(printf('    /* 0x%04x */ u32 f_%04x;', off, off), chr(10) ORDER BY off) AS body FROM f GROUP BY 1""")
+def struct_header(spark, d):
+    """The fields of a struct as text, and its size in whole blocks of 16."""
+    f = load(spark, d, "part").groupBy(F.col("p_brand").alias("struct_")).agg(F.array_sort(F.collect_set((F.col("p_size") * 4).cast("int"))).alias("offs"))
+    body = F.array_join(F.transform("offs", lambda o: F.format_string("    /* 0x%04x */ u32 f_%04x;", o, o)), "\n")
+    return f.select("struct_", F.size("offs").cast("long").alias("fields"), (F.ceil((F.array_max("offs") + 4) / 16) * 16).cast("long").alias("bytes"), body.alias("body"))
+
+
 @query("q_evidence_bundle", """
     SELECT conv_id, sha256(string_agg(role || ':' || text, chr(10) ORDER BY CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END, turn)) AS digest, count(*) AS items FROM conversations GROUP BY 1""")
 def evidence_bundle(spark, d):

@@ -7,6 +7,7 @@ from pyspark.sql.types import DoubleType
 
 from lodestone.catalog import query
 from lodestone.functions import blank_words, jaccard, keyword_score, weighted_contains
+from lodestone.operators.chunks import chunks as bounded_chunks
 from lodestone.operators.retrieval import keyword_top
 from lodestone.sources import load
 
@@ -195,6 +196,12 @@ def chunks(spark, d):
     return x.select("doc_id", "chunk", F.substring(F.col("text"), (F.col("chunk") * 900 + 1).cast("int"), F.lit(1000)).alias("body"))
 
 
+@query("q_boundary_chunks")
+def boundary_chunks(spark, d):
+    """Chunks of at most 1,000 characters that end at a paragraph, line or sentence, and overlap by 100."""
+    return load(spark, d, "documents").select("doc_id", F.posexplode(bounded_chunks(F.col("text"), 1000, 100)).alias("chunk", "body"))
+
+
 @query("q_keyword_rate", r"""
     SELECT doc_id, round((length(lower(text)) - length(replace(lower(text), 'tion', ''))) // 4 / greatest(len(list_filter(regexp_split_to_array(lower(text), '[ \t\n\r]+'), lambda x: x <> '')), 1), 9) AS score FROM documents""")
 def keyword_rate(spark, d):
