@@ -36,7 +36,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import hashlib
 
     folder = token_output.shard_folder(spark, f"shards-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}")
-    ids = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file())
+    ids = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file(), keep=True)
     ids.select("doc_id", "ids").write.mode("overwrite").parquet(f"{folder}-ids")
     return token_output.materialised(spark.read.parquet(f"{folder}-ids"), folder, ids="ids", dtype="<u2", separator=2, padding=0xFFFF)
 
@@ -50,7 +50,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file(), verify=True)
+    out = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file(), verify=True, keep=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip", "parity")
 
 

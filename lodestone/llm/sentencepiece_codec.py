@@ -237,11 +237,12 @@ def _codec(data: bytes, verify: bool, threads: int = 2) -> Codec:
     return _built[key]
 
 
-def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int = 2) -> DataFrame:
+def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int = 2, keep: bool = False) -> DataFrame:
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
     round_trip: what the ids stand for is the text.  parity: the SentencePiece library gives the same ids
-    for the text.  threads: of the tokenizers library, per task.
+    for the text.  threads: of the tokenizers library, per task.  keep: a Python worker keeps its cuts (64 MB
+    at most) for its next task, which is faster; without it other operators get that memory back.
     """
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
@@ -260,7 +261,10 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int
                     at += len(part)
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "round_trip", "parity"])
         finally:
-            codec.forget()
+            if keep:
+                trim()
+            else:
+                codec.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, round_trip boolean, parity boolean")
