@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import exact_dedup, fingerprint, licenses, mixing, near_dedup, quality, secrets, sentencepiece_codec, token_output, toxicity
+from lodestone.llm import alignment, exact_dedup, fingerprint, licenses, mixing, near_dedup, packing, quality, ranked, secrets, sentencepiece_codec, token_output, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digested(alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file()))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_exact_dedup": op1,
     "op2_quality_classifier": op2,
@@ -77,6 +90,9 @@ QUERIES = {
     "op8_source_mixing": op8,
     "op9_toxicity": op9,
     "op10_secret_scan": op10,
+    "op11_ranked_search": op11,
+    "op12_token_alignment": op12,
+    "op13_packing": op13,
 }
 
 SQL = {
@@ -89,4 +105,25 @@ SQL = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_ranked_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        found AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM found GROUP BY doc_id),
+        totals AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM sizes),
+        asked AS (
+            SELECT item_id, term, count(*) AS c
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM found, totals GROUP BY term, nn),
+        long AS (SELECT doc_id, 100 - 25 + (25 * n * nn) // ll AS m FROM sizes, totals),
+        scores AS (
+            SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN found USING (term) JOIN long USING (doc_id) GROUP BY ALL)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY rank <= 20
+    """,
 }
