@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import os
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -33,9 +34,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, checkpointed, pieces, whole_text
+from lodestone.llm.common import bounded_batches, checkpointed, pieces, trim, whole_text
 from lodestone.llm.sentencepiece_codec import BYTE, MARK, NORMAL, UNKNOWN, parse_model
-from lodestone.llm.wordwise import Known, Words, byte_characters, chunked, flat, sums
+from lodestone.llm.wordwise import Known, Words, byte_characters, chunked, flat, kept, sums
 
 ONE = np.uint64(1)
 
@@ -169,12 +170,16 @@ def _texts(docs: DataFrame) -> DataFrame:
 def pair_counts(docs: DataFrame, a_file: str, b_file: str, memory: int = 96 << 20) -> DataFrame:
     """a, b, n: how many links of all documents hold each pair of ids linked."""
     bounded_batches(docs.sparkSession)
-    shared = _sources(docs.sparkSession, a_file, b_file)
+    shared, key = _sources(docs.sparkSession, a_file, b_file), f"kept-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pair = Pair(*shared.value)
-        known = Known(pair.counted, memory)
+
+        def remembering() -> tuple[Pair, Known]:
+            pair = Pair(*shared.value)
+            return pair, Known(pair.counted, memory)
+
+        pair, known = kept(key, remembering)
         try:
             for batch in batches:
                 for part in pieces(batch.column("t"), 1 << 21):
@@ -190,7 +195,7 @@ def pair_counts(docs: DataFrame, a_file: str, b_file: str, memory: int = 96 << 2
                     pairs, n = pairs[n > 0], n[n > 0]
                     yield pa.RecordBatch.from_arrays([pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(n)], ["a", "b", "n"])
         finally:
-            known.forget()
+            trim()
 
     found = _texts(docs).select("t").mapInArrow(run, "a int, b int, n long")
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
@@ -222,10 +227,10 @@ def _scored(rows: DataFrame, shared, counts: DataFrame, memory: int) -> DataFram
     pairs = got["a"].to_numpy().astype(np.int64) << 32 | got["b"].to_numpy()
     order = np.argsort(pairs)
     table = rows.sparkSession.sparkContext.broadcast((pairs[order], got["n"].to_numpy()[order], got["best"].to_numpy(zero_copy_only=False)[order]))  # at most ``most`` pairs
+    key = f"kept-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pair = Pair(*shared.value)
         codes_of, n_of, best_of = table.value
 
         def count_of(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +240,11 @@ def _scored(rows: DataFrame, shared, counts: DataFrame, memory: int) -> DataFram
             here = codes_of[at] == pairs
             return np.where(here, n_of[at], 0), best_of[at] & here
 
-        known = Known(lambda chunks: pair.scored(chunks, count_of), memory)
+        def remembering() -> tuple[Pair, Known]:
+            pair = Pair(*shared.value)
+            return pair, Known(lambda chunks: pair.scored(chunks, count_of), memory)
+
+        pair, known = kept(key, remembering)
         names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
         try:
             for batch in batches:
@@ -254,7 +263,7 @@ def _scored(rows: DataFrame, shared, counts: DataFrame, memory: int) -> DataFram
                     groups = [b";".join(map(spelt.__getitem__, each[p:q])).decode() if g else "" for p, q, g in zip(spans, spans[1:], good.tolist(), strict=False)]
                     yield pa.RecordBatch.from_arrays([*about, *map(pa.array, out), pa.array(groups, pa.string())], ["row", "doc_id", *names, "groups"])
         finally:
-            known.forget()
+            trim()
 
     return rows.mapInArrow(run, "row long, doc_id long, " + ", ".join(f"{c} long" for c in ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]) + ", groups string")
 

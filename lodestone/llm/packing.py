@@ -21,6 +21,7 @@ long text is a row of its own in a batch and is cut into windows at once.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -30,8 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, pieces, whole_text
-from lodestone.llm.wordwise import Known, Words, chunked, flat
+from lodestone.llm.common import bounded_batches, pieces, trim, whole_text
+from lodestone.llm.wordwise import Known, Words, chunked, flat, kept
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 ID = np.dtype("<u4")
@@ -177,12 +178,17 @@ def packed(docs: DataFrame, tokenizer_file: str, length: int = 2048, end: int =
         raise ValueError(f"a window of {length} ids is no power of two")
     bounded_batches(docs.sparkSession)
     with open(tokenizer_file) as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary: its size is the file's
+        file = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast(file)  # one vocabulary: its size is the file's
+    key = f"kept-packing-{memory}-{hashlib.sha256(file.encode()).hexdigest()}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = Words(shared.value)
-        known, block = Known(lambda chunks: ({}, {"ids": flat(words.ids(chunks), ID)}), memory), Block()
+        def remembering() -> Known:
+            words = Words(shared.value)
+            return Known(lambda chunks: ({}, {"ids": flat(words.ids(chunks), ID)}), memory)
+
+        known, block = kept(key, remembering), Block()
         sequence = TaskContext.get().partitionId() << 33
         try:
             for batch in batches:
@@ -211,6 +217,6 @@ def packed(docs: DataFrame, tokenizer_file: str, length: int = 2048, end: int =
             for i in range(0, len(rows), 512):
                 yield _batch(rows[i : i + 512])
         finally:
-            known.forget()
+            trim()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t")).mapInArrow(run, SCHEMA)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from collections.abc import Callable
 from itertools import chain
 
@@ -133,6 +135,20 @@ class Known:
         return values.all[ranges(starts, lengths)], lengths
 
 
+def kept(key: str, make: Callable):
+    """What a Python worker keeps for its next task, one thing at a time.
+
+    Functions that travel by value bring new globals to each task, so it hangs on a module of its own.
+    """
+    store = vars(sys.modules.setdefault("lodestone_worker", types.ModuleType("lodestone_worker")))
+    if key not in store:
+        for old in [k for k in store if k.startswith("kept-")]:
+            del store[old]
+        trim()
+        store[key] = make()
+    return store[key]
+
+
 def chunked(texts: pa.Array, known: Known) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For a column of texts: numbers of its distinct chunks, for every chunk its place among them,
     and the first chunk of every text and the end of the last; the bytes of the chunks."""
@@ -188,7 +204,7 @@ class Words:
             return self._whole(texts)
         if len(self.parts) > self.room:
             self.parts = {}
-        simple = [SIMPLE(t) is not None for t in texts]
+        simple = [t.isascii() and t.isprintable() and "<|" not in t or SIMPLE(t) is not None for t in texts]
         cut = [self.find(t.lower() if self.lower else t) if s else () for t, s in zip(texts, simple, strict=True)]
         if new := list({x for xs in cut for x in xs}.difference(self.parts)):
             found = self.model.encode_batch_fast([x.encode().decode("latin-1").translate(self.bytes) for x in new], add_special_tokens=False)
