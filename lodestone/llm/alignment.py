@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import bounded_batches, checkpointed, pieces, trim, whole_text
 from lodestone.llm.sentencepiece_codec import BYTE, MARK, NORMAL, UNKNOWN, parse_model
-from lodestone.llm.wordwise import Known, Words, byte_characters, chunked, flat, kept, sums
+from lodestone.llm.wordwise import Known, Words, byte_characters, chunked, flat, kept, ranges, sums
 
 ONE = np.uint64(1)
 
@@ -77,6 +77,18 @@ def links(a_ends: np.ndarray, b_ends: np.ndarray, n: int) -> tuple[np.ndarray, n
     return a.rank(at), b.rank(at), (a & b).select()
 
 
+class Spelling:
+    """The bytes of a vocabulary's ids."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts, self.letters = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids one after another."""
+        return self.letters[ranges(self.starts[ids], self.sizes[ids])]
+
+
 class Pair:
     """Two tokenizers and what their ids stand for."""
 
@@ -91,59 +103,69 @@ class Pair:
         back = {c: b for b, c in byte_characters().items()}
         about = json.loads(a_file)
         named = about["model"]["vocab"]
-        self.a_bytes: list[bytes] = [b""] * (max(named.values()) + 1)
+        a_bytes = [b""] * (max(named.values()) + 1)
         for token, i in named.items():
-            self.a_bytes[i] = bytes(back[c] for c in token)
+            a_bytes[i] = bytes(back[c] for c in token)
         m = parse_model(b_model)
         kinds = [kind for _, _, kind in m["pieces"]]
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
+        b_bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
         # the marker starts pieces only, blanks stay as they are, and B brings the text's first blank along
         self.apart = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and not any(MARK in p.lstrip(MARK) for (p, _, _), k in zip(m["pieces"], kinds, strict=True) if k == NORMAL)
-        self.a_sizes, self.b_sizes = (np.array([len(x) for x in xs]) for xs in (self.a_bytes, self.b_bytes))
+        self.a_bytes, self.b_bytes = Spelling(a_bytes), Spelling(b_bytes)
+        self.decimal = list(map(str, range(max(len(a_bytes), len(b_bytes)))))
 
     def aligned(self, chunks: list[bytes]) -> dict:
         """ids of both sides one after another with their numbers per chunk, which chunks both sides spell, and the links of those: token numbers, shared cuts."""
-        a = self.words.ids(chunks)
         b = self.b.encode([c.decode()[1:] for c in chunks], num_threads=1)
         b = [x if c != b" " else self.blank for x, c in zip(b, chunks, strict=True)]
-        good = [b"".join(map(self.a_bytes.__getitem__, x)) == c == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, c in zip(a, b, chunks, strict=True)]
-        a, b = ([x if g else [] for x, g in zip(xs, good, strict=True)] for xs in (a, b))
-        (a_ids, a_n), (b_ids, b_n) = flat(a, np.int64), flat(b, np.int64)
-        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
+        sides = [self.words.flat(chunks), flat(b, np.uint32)]
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        starts, text = np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(chunks), np.uint8)
+        good = np.ones(len(chunks), bool)
+        for (ids, n), spelling in zip(sides, (self.a_bytes, self.b_bytes), strict=True):
+            good &= sums(spelling.sizes[ids], np.concatenate([[0], np.cumsum(n)])) == sizes
+            same = np.repeat(good, n)  # of the right size: the bytes decide
+            differs = np.zeros(len(text), bool)
+            own = ranges(starts[:-1][good], sizes[good])
+            differs[own] = spelling.of(ids[same]) != text[own]
+            good &= sums(differs, starts) == 0
+        if not good.all():
+            sides = [(ids[np.repeat(good, n)], np.where(good, n, 0)) for ids, n in sides]
+        (a_ids, a_n), (b_ids, b_n) = sides
+        a_ends, b_ends = np.cumsum(self.a_bytes.sizes[a_ids]), np.cumsum(self.b_bytes.sizes[b_ids])
         n = int(a_ends[-1]) if len(a_ends) else 0
-        return {"a": a_ids, "b": b_ids, "a_n": a_n, "b_n": b_n, "good": np.array(good, bool), "links": links(a_ends, b_ends, n)}
+        i, j, shared = links(a_ends, b_ends, n)
+        cuts = [Ends.of(x, n).rank(shared) + 1 for x in (a_ends, b_ends)]
+        return {"a": a_ids, "b": b_ids, "a_n": a_n, "b_n": b_n, "good": good, "links": (i, j), "pairs": a_ids[i].astype(np.int64) << 32 | b_ids[j], "cuts": cuts}
 
     def counted(self, chunks: list[bytes]) -> tuple[dict, dict]:
         """good and the pairs of ids of each link, for ``Known``."""
         x = self.aligned(chunks)
-        i, j, _ = x["links"]
-        per_chunk = sums(np.bincount(i, minlength=len(x["a"])), np.concatenate([[0], np.cumsum(x["a_n"])]))
-        return {"good": x["good"]}, {"pairs": (x["a"][i] << 32 | x["b"][j], per_chunk)}
+        per_chunk = sums(np.bincount(x["links"][0], minlength=len(x["a"])), np.concatenate([[0], np.cumsum(x["a_n"])]))
+        return {"good": x["good"]}, {"pairs": (x["pairs"], per_chunk)}
 
     def scored(self, chunks: list[bytes], count_of) -> tuple[dict, dict]:
         """Counts, sums over links and the groups' spelling of each chunk, for ``Known``."""
         x = self.aligned(chunks)
-        i, j, shared = x["links"]
         starts = np.concatenate([[0], np.cumsum(x["a_n"])])
-        upto = np.concatenate([[0], np.cumsum(np.bincount(i, minlength=len(x["a"])))])[starts]
-        counts, best = count_of(x["a"][i] << 32 | x["b"][j])
-        a_cut, b_cut = Ends.of(np.cumsum(self.a_sizes[x["a"]]), 1 + int(self.a_sizes[x["a"]].sum())).rank(shared) + 1, Ends.of(np.cumsum(self.b_sizes[x["b"]]), 1 + int(self.b_sizes[x["b"]].sum())).rank(shared) + 1
-        groups = np.searchsorted(a_cut, starts, "right")  # groups that end within the chunks before
-        spelt = _spelt(x["a"].tolist(), x["b"].tolist(), a_cut.tolist(), b_cut.tolist())
+        upto = np.concatenate([[0], np.cumsum(np.bincount(x["links"][0], minlength=len(x["a"])))])[starts]
+        counts, best = count_of(x["pairs"])
+        groups = np.searchsorted(x["cuts"][0], starts, "right")  # groups that end within the chunks before
+        spelt = self._spelt(x)
         at = groups.tolist()
         text = [";".join(spelt[p:q]).encode() for p, q in zip(at, at[1:], strict=False)]
         letters = np.frombuffer(b"".join(text), np.uint8)
         columns = {"good": x["good"], "n_a": x["a_n"], "n_b": x["b_n"], "n_groups": np.diff(groups), "n_links": np.diff(upto), "n_best": sums(best, upto), "count_sum": sums(counts, upto)}
         return columns, {"groups": (letters, np.fromiter(map(len, text), np.int64, len(text)))}
 
-
-def _spelt(a: list[int], b: list[int], a_cut: list[int], b_cut: list[int]) -> list[str]:
-    """``a1,a2|b1`` of every group."""
-    out, i, j = [], 0, 0
-    for p, q in zip(a_cut, b_cut, strict=True):
-        out.append(f"{a[i]}|{b[j]}" if p - i == q - j == 1 else f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-        i, j = p, q
-    return out
+    def _spelt(self, x: dict) -> list[str]:
+        """``a1,a2|b1`` of every group."""
+        a, b = (list(map(self.decimal.__getitem__, x[side].tolist())) for side in ("a", "b"))
+        out, i, j = [], 0, 0
+        for p, q in zip(*(c.tolist() for c in x["cuts"]), strict=True):
+            out.append(f"{a[i]}|{b[j]}" if p - i == q - j == 1 else f"{','.join(a[i:p])}|{','.join(b[j:q])}")
+            i, j = p, q
+        return out
 
 
 def _columns(texts: pa.Array, known: Known, apart: bool) -> tuple:
@@ -167,7 +189,7 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("t"))
 
 
-def pair_counts(docs: DataFrame, a_file: str, b_file: str, memory: int = 96 << 20) -> DataFrame:
+def pair_counts(docs: DataFrame, a_file: str, b_file: str, memory: int = 176 << 20) -> DataFrame:
     """a, b, n: how many links of all documents hold each pair of ids linked."""
     bounded_batches(docs.sparkSession)
     shared, key = _sources(docs.sparkSession, a_file, b_file), f"kept-{uuid.uuid4().hex}"
@@ -201,7 +223,7 @@ def pair_counts(docs: DataFrame, a_file: str, b_file: str, memory: int = 96 << 2
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def aligned(docs: DataFrame, a_file: str, b_file: str, most: int = 1 << 21, memory: int = 96 << 20) -> DataFrame:
+def aligned(docs: DataFrame, a_file: str, b_file: str, most: int = 1 << 21, memory: int = 176 << 20) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (``a1,a2|b1;a3|b2,b3``) of every row.
 
     most: pairs of ids that are sent to the tasks at once; memory: bytes of words that a Python worker remembers.

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import bounded_batches, pieces, trim, whole_text
-from lodestone.llm.wordwise import Known, Words, chunked, flat, kept
+from lodestone.llm.wordwise import Known, Words, chunked, kept
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 ID = np.dtype("<u4")
@@ -186,7 +186,7 @@ def packed(docs: DataFrame, tokenizer_file: str, length: int = 2048, end: int =
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         def remembering() -> Known:
             words = Words(shared.value)
-            return Known(lambda chunks: ({}, {"ids": flat(words.ids(chunks), ID)}), memory)
+            return Known(lambda chunks: ({}, {"ids": words.flat(chunks)}), memory)
 
         known, block = kept(key, remembering), Block()
         sequence = TaskContext.get().partitionId() << 33

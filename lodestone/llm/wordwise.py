@@ -198,23 +198,33 @@ class Words:
         self.find = re.compile(find.replace(r"\p{L}", LETTERS).replace(r"\p{N}", "0-9")).findall if find else None
         self.bytes = byte_characters()
 
-    def ids(self, chunks: list[bytes]) -> list[list[int]]:
+    def packed(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of every chunk as little-endian unsigned 32-bit numbers."""
         texts = [c.decode() for c in chunks]
         if not self.find:
-            return self._whole(texts)
+            return _raw(self.tokenizer, texts)
         if len(self.parts) > self.room:
             self.parts = {}
         simple = [t.isascii() and t.isprintable() and "<|" not in t or SIMPLE(t) is not None for t in texts]
         cut = [self.find(t.lower() if self.lower else t) if s else () for t, s in zip(texts, simple, strict=True)]
         if new := list({x for xs in cut for x in xs}.difference(self.parts)):
-            found = self.model.encode_batch_fast([x.encode().decode("latin-1").translate(self.bytes) for x in new], add_special_tokens=False)
-            self.parts.update(zip(new, [e.ids for e in found], strict=True))
-        parts = self.parts
-        rest = iter(self._whole([t for t, s in zip(texts, simple, strict=True) if not s]))
-        return [(parts[xs[0]] if len(xs) == 1 else [i for x in xs for i in parts[x]]) if s else next(rest) for xs, s in zip(cut, simple, strict=True)]
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+            self.parts.update(zip(new, _raw(self.model, [x.encode().decode("latin-1").translate(self.bytes) for x in new]), strict=True))
+        part = self.parts.__getitem__
+        rest = iter(_raw(self.tokenizer, [t for t, s in zip(texts, simple, strict=True) if not s]))
+        return [(part(xs[0]) if len(xs) == 1 else b"".join(map(part, xs))) if s else next(rest) for xs, s in zip(cut, simple, strict=True)]
+
+    def flat(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one after another, and their numbers."""
+        found = self.packed(chunks)
+        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+
+
+def _raw(tokenizer, texts: list[str]) -> list[bytes]:
+    if not texts:
+        return []
+    values, lengths = flat([e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], np.dtype("<u4"))
+    raw, ends = values.tobytes(), (4 * np.cumsum(lengths)).tolist()
+    return [raw[p:q] for p, q in zip([0, *ends], ends, strict=False)]
 
 
 def flat(lists: list[list[int]], dtype=np.int64) -> tuple[np.ndarray, np.ndarray]:
