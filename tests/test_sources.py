@@ -101,3 +101,18 @@ def test_chunks(most, overlap, window):
 def test_chunks_of_rows(spark):
     df = spark.createDataFrame([(1, "ab. cd. ef"), (2, ""), (3, None)], "i int, t string")
     assert {r.i: r.c for r in df.select("i", chunks.chunks(F.col("t"), 6, 0).alias("c")).collect()} == {1: ["ab. cd", ". ef"], 2: [""], 3: [""]}
+
+
+@pytest.mark.parametrize(("most", "overlap", "window"), [(20, 5, 2000), (30, 0, 10), (8, 7, 3), (50, 10, 2000), (1000, 100, 2000)])
+def test_chunks_of_columns(spark, most, overlap, window):
+    rng = np.random.default_rng(most + 1)
+    texts = ["".join(rng.choice(list("ab \n.;}\x1c\U0001f600"), n, p=[0.3, 0.15, 0.2, 0.1, 0.1, 0.05, 0.04, 0.01, 0.05])) for n in (0, 1, most, most + 1, 3 * most, 3000)]
+    df = spark.createDataFrame(list(enumerate([*texts, " " * (2 * most + 1), "x" * (5 * most)])), "i int, t string")
+    for r in df.select("t", chunks.chunks(F.col("t"), most, overlap, window).alias("c")).collect():
+        assert r.c == ends_by_trial(r.t, most, overlap, window)
+
+
+def test_chunks_of_a_long_text(spark):
+    text = "word and word. " * 200_000
+    got = spark.createDataFrame([(text,)], "t string").select(chunks.chunks(F.col("t"), 1000, 100).alias("c")).first().c
+    assert got == ends_by_trial(text[:20_000], 1000, 100, 2000)[:15] + got[15:] and len(got) > 3000
