@@ -22,6 +22,7 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import uuid
@@ -89,36 +90,43 @@ class Spelling:
         return self.letters[ranges(self.starts[ids], self.sizes[ids])]
 
 
+class Pieces:
+    """Ids of chunks by a SentencePiece model, and what its ids stand for."""
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.model, m = sentencepiece.SentencePieceProcessor(model_proto=model), parse_model(model)
+        self.bytes = Spelling([bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]])
+        # the marker starts pieces only, blanks stay as they are, and the model brings the text's first blank along
+        self.apart = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and not any(MARK in p.lstrip(MARK) for p, _, kind in m["pieces"] if kind == NORMAL)
+        # a last blank: alone it would be an empty text, which gets no marker
+        self.blank = self.model.encode("x ")[len(self.model.encode("x")) :]
+
+    def flat(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks one after another, and their numbers."""
+        ids = self.model.encode([c.decode()[1:] for c in chunks], num_threads=1)
+        return flat([x if c != b" " else self.blank for x, c in zip(ids, chunks, strict=True)], np.uint32)
+
+
 class Pair:
     """Two tokenizers and what their ids stand for."""
 
     def __init__(self, a_file: str, b_model: bytes):
         import json
 
-        import sentencepiece
-
-        self.words, self.b = Words(a_file, special=False), sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        # a last blank: alone it would be an empty text, which gets no marker
-        self.blank = self.b.encode("x ")[len(self.b.encode("x")) :]
+        self.words, self.pieces = Words(a_file, special=False), Pieces(b_model)
         back = {c: b for b, c in byte_characters().items()}
-        about = json.loads(a_file)
-        named = about["model"]["vocab"]
+        named = json.loads(a_file)["model"]["vocab"]
         a_bytes = [b""] * (max(named.values()) + 1)
         for token, i in named.items():
             a_bytes[i] = bytes(back[c] for c in token)
-        m = parse_model(b_model)
-        kinds = [kind for _, _, kind in m["pieces"]]
-        b_bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
-        # the marker starts pieces only, blanks stay as they are, and B brings the text's first blank along
-        self.apart = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and not any(MARK in p.lstrip(MARK) for (p, _, _), k in zip(m["pieces"], kinds, strict=True) if k == NORMAL)
-        self.a_bytes, self.b_bytes = Spelling(a_bytes), Spelling(b_bytes)
-        self.decimal = list(map(str, range(max(len(a_bytes), len(b_bytes)))))
+        self.a_bytes, self.b_bytes, self.apart = Spelling(a_bytes), self.pieces.bytes, self.pieces.apart
+        self.decimal = list(map(str, range(max(len(a_bytes), len(self.b_bytes.sizes)))))
 
     def aligned(self, chunks: list[bytes]) -> dict:
         """ids of both sides one after another with their numbers per chunk, which chunks both sides spell, and the links of those: token numbers, shared cuts."""
-        b = self.b.encode([c.decode()[1:] for c in chunks], num_threads=1)
-        b = [x if c != b" " else self.blank for x, c in zip(b, chunks, strict=True)]
-        sides = [self.words.flat(chunks), flat(b, np.uint32)]
+        sides = [self.words.flat(chunks), self.pieces.flat(chunks)]
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         starts, text = np.concatenate([[0], np.cumsum(sizes)]), np.frombuffer(b"".join(chunks), np.uint8)
         good = np.ones(len(chunks), bool)
@@ -294,3 +302,34 @@ def digested(result: DataFrame) -> DataFrame:
     """groups_sha256 (lowercase hex; empty without tokens) in place of groups."""
     return result.withColumn("groups_sha256", F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))).drop("groups")
 
+
+
+def piece_ids(docs: DataFrame, model_file: str, memory: int = 128 << 20) -> tuple[DataFrame, int]:
+    """doc_id, ids (array<int>) of every text by a SentencePiece model, a null or empty text having none; the size of its vocabulary."""
+    bounded_batches(docs.sparkSession)
+    with open(model_file, "rb") as f:
+        model = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary: its size is the file's
+    key = f"kept-pieces-{memory}-{hashlib.sha256(model).hexdigest()}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def remembering() -> tuple[Pieces, Known]:
+            made = Pieces(shared.value)
+            return made, Known(lambda chunks: ({}, {"ids": made.flat(chunks)}), memory)
+
+        made, known = kept(key, remembering)
+        try:
+            for batch in batches:
+                at = 0
+                for part in pieces(batch.column("t"), 1 << 21):
+                    doc_ids = batch.column("doc_id").slice(at, len(part))
+                    at += len(part)
+                    numbers, codes, firsts = _columns(part, known, made.apart)
+                    ids, lengths = known.listed("ids", numbers[codes]) if len(codes) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+                    ends = np.concatenate([[0], np.cumsum(lengths)])[firsts]
+                    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([doc_ids, lists], ["doc_id", "ids"])
+        finally:
+            trim()
+
+    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>"), len(parse_model(model)["pieces"])

@@ -5,10 +5,12 @@ rate is taken at once.  The fractional parts are rounded together: two documents
 random from one to the other (the sum of size x fraction stays the same and so does each expected
 value) until one of the fractions is 0 or 1, and the other one goes on to meet the next.  Documents
 of a source are dealt to leaves of about ``fan_in`` rows; each node of a tree leaves one residual,
-``fan_in`` residuals meet in the next node, and one coin decides the residual of a root.  The larger half of a
-source's documents is rounded first; what its last coin misses by is shared by the smaller half, so
-the words taken from a source are within about one median document of its target, no node ever holds more than a few
-hundred rows, and a source with a third of all rows merely has more leaves.
+``fan_in`` residuals meet in the next node, and a coin decides the residual of a root.  The largest eighth
+of a source's documents is rounded first, then the next eighth, the next quarter and the smaller half:
+what one class misses by changes the rate of those after it, up to ``cap`` copies of a document, and the
+coin is not tossed where they could not make up for one of its sides.  So the words taken from a source are
+within about one small document of its target, no node ever holds more than a few hundred rows, and
+a source with a third of all rows merely has more leaves.
 
 All randomness is a hash of the seed and the ids that meet, so reruns agree.
 
@@ -30,6 +32,8 @@ from lodestone.llm.common import WHITE, checkpointed, whole_text, words_by
 
 ROW = ["id", "th", "ord", "size"]
 RES = "struct<id:bigint,th:bigint,ord:bigint,size:bigint,whole:bigint,p:double>"
+#: Classes of documents by falling size: the first ends at 1/8 of a source's documents, the next at 1/4 and 1/2.
+SHARES = (8, 4, 2)
 OUT = "array<struct<id:bigint,th:bigint,ord:bigint,size:bigint,copies:bigint>>"
 
 
@@ -92,20 +96,28 @@ def _pivot(items: Column, seed: int) -> Column:
     return F.aggregate(F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0))), first, step)
 
 
-def _rounded(rows: DataFrame, most: int, fan_in: int, seed: int) -> DataFrame:
-    """skey, id, th, ord, size, copies from skey, n (rows of the source), item: one reduction tree per skey."""
+def _rounded(rows: DataFrame, sources: DataFrame, most: int, fan_in: int, seed: int, cap: float) -> DataFrame:
+    """skey, id, th, ord, size, copies from skey, n (rows of the source), item: one reduction tree per skey.
+
+    sources has skey, rest (words that smaller documents are to take, as expected) and after (their words).
+    A coin decides a root's residual where they can make up for either side, else the side that they can.
+    """
     key = [F.col(f"item.{f}") for f in ROW[:3]]
-    leaf = F.pmod(F.xxhash64(F.lit(seed), *key), F.ceil(F.col("n") / fan_in).cast("long"))
+    leaf = F.pmod(F.xxhash64(F.lit(seed), *key), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / fan_in).cast("long")))
     level, decided = rows.select("skey", leaf.alias("node"), "item"), []
-    depth = max(1, math.ceil(math.log(max(2, math.ceil(most / fan_in)), fan_in))) + 1
+    depth = 1 if most <= fan_in else 1 + math.ceil(math.log(math.ceil(most / fan_in), fan_in))
     for k in range(depth):
         # a node gets about fan_in rows (leaves) or at most fan_in residuals (above)
         met = level.groupBy("skey", "node").agg(F.sort_array(F.collect_list("item")).alias("items"))
         met = checkpointed(met.select("skey", "node", _pivot(F.col("items"), seed + k).alias("a")).select("skey", "node", "a.*"))
         decided.append(met.select("skey", F.explode("out").alias("o")).select("skey", "o.*"))
         level = met.select("skey", (F.col("node") / fan_in).cast("long").alias("node"), F.col("res").alias("item"))
-    last = F.when(coin(F.lit(seed), *key, F.lit(depth)) < F.col("item.p"), 1).otherwise(0)
-    decided.append(level.select("skey", *[F.col(f"item.{f}") for f in ROW], (F.col("item.whole") + last).cast("long").alias("copies")))
+    size, p = F.col("item.size"), F.col("item.p")
+    over, under = (1 - p) * size - F.col("rest"), F.col("rest") + p * size - cap * F.col("after")
+    luck = coin(F.lit(seed), *key, F.lit(depth)) < p
+    last = F.when(F.greatest(over, under) <= 0, luck).when(over == under, luck).otherwise(over < under)
+    roots = _with_sources(level.select("skey", "item"), sources.select("skey", "rest", "after"))
+    decided.append(roots.select("skey", *[F.col(f"item.{f}") for f in ROW], (F.col("item.whole") + last.cast("long")).cast("long").alias("copies")))
     return reduce(DataFrame.unionByName, decided)
 
 
@@ -143,27 +155,35 @@ def mixed(docs: DataFrame, weights: list[float] = (5, 2, 1), cap: float = 3, see
     sizes = checkpointed(rows.groupBy("skey", "source", "size").agg(F.count(F.lit(1)).alias("c")))
     sources = sizes.groupBy("skey", "source").agg(F.sum(F.col("size") * F.col("c")).alias("source_size"), F.sum("c").alias("n"))
     targets = source_targets(sources, list(weights), cap).select(row_skey().alias("skey"), "source_size", "n", "target")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    whole = F.floor(rate).cast("long")
-    # large documents first: the words that their rounding misses by are shared by the small ones
-    filled = sizes.where("size > 0").withColumns({"upto": F.sum("c").over(W.partitionBy("skey").orderBy("size")), "all": F.sum("c").over(W.partitionBy("skey"))})
-    cuts = filled.where("2 * upto >= all").groupBy(F.col("skey").alias("ck")).agg(F.min("size").alias("cut"))
-    halves = sizes.join(cuts, F.col("skey") == F.col("ck")).groupBy(F.col("skey").alias("hk"), "cut").agg(F.sum(F.when(F.col("size") > F.col("cut"), F.col("size") * F.col("c"))).alias("large"), F.sum(F.when(F.col("size") <= F.col("cut"), F.col("size") * F.col("c"))).alias("small"))
-    each = targets.join(halves, F.col("skey") == F.col("hk"), "left").select("skey", "source_size", "n", "target", whole.alias("whole"), (rate - whole).alias("p"), F.coalesce("cut", F.lit(0)).alias("cut"), "large", "small")
-    each = checkpointed(each)
-    rated = _with_sources(rows.select("skey", *ROW), each.select("skey", "n", "whole", "p", "cut"))
-    certain = (F.col("p") <= 0) | (F.col("size") <= 0)
-    luck = F.when(coin(F.lit(seed), *[F.col(f) for f in ROW[:3]]) < F.col("p"), 1).otherwise(0)
-    decided = [rated.where(certain).select("skey", *ROW, (F.col("whole") + luck).cast("long").alias("copies"))]
+    # large documents first: what rounding them misses by is shared by the smaller ones, class by class
+    by_skey = W.partitionBy("skey")
+    filled = sizes.where("size > 0").withColumns({"before": F.sum("c").over(by_skey.orderBy(F.desc("size"))) - F.col("c"), "all": F.sum("c").over(by_skey)})
+    kind = sum(((F.col("before") * share >= F.col("all")).cast("int") for share in SHARES), F.lit(0))
+    filled = filled.withColumn("kind", kind)
+    cuts = [F.min(F.when(F.col("kind") <= k, F.col("size"))).alias(f"cut{k}") for k in range(len(SHARES))]
+    words = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("size") * F.col("c"))), F.lit(0)).alias(f"w{k}") for k in range(len(SHARES) + 1)]
+    rows_of = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("c"))), F.lit(0)).alias(f"n{k}") for k in range(len(SHARES) + 1)]
+    each = checkpointed(targets.join(filled.groupBy("skey").agg(*cuts, *words, *rows_of), "skey", "left"))
+    most = each.agg(*[F.max(f"n{k}") for k in range(len(SHARES) + 1)]).first()
+    kind = sum(((F.col("size") < F.col(f"cut{k}")).cast("int") for k in range(len(SHARES))), F.lit(0))
+    base = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rated = _with_sources(rows.select("skey", *ROW), each.select("skey", base.alias("base"), *[f"cut{k}" for k in range(len(SHARES))]))
+    luck = F.when(coin(F.lit(seed), *[F.col(f) for f in ROW[:3]]) < F.col("base") - F.floor("base"), 1).otherwise(0)
+    decided = [rated.where("size <= 0").select("skey", *ROW, (F.floor("base") + luck).cast("long").alias("copies"))]
+    rated = rated.where("size > 0").select("skey", *ROW, kind.alias("kind"))
     item = F.struct(*ROW, "whole", "p").cast(RES)
-    most = each.agg(F.max("n")).first()[0] or 0
-    large = _rounded(rated.where(~certain & (F.col("size") > F.col("cut"))).select("skey", "n", item.alias("item")), most, fan_in, seed)
-    missed = large.groupBy(F.col("skey").alias("gk")).agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
-    due = F.col("large") * (F.col("whole") + F.col("p"))
-    shift = each.join(missed, F.col("skey") == F.col("gk"), "left").select("skey", F.coalesce((due - F.col("got")) / F.col("small"), F.lit(0.0)).alias("shift"))
-    small = _with_sources(rated.where(~certain & (F.col("size") <= F.col("cut"))), checkpointed(shift))
-    small = small.withColumn("p", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("p") + F.col("shift"))))
-    decided += [large, _rounded(small.select("skey", "n", item.alias("item")), most, fan_in, seed + 100)]
+    left = each.select("skey", F.col("target").alias("left"), F.col("source_size").alias("words"))
+    for k in range(len(SHARES) + 1):
+        now = left.join(each.select("skey", F.col(f"w{k}").alias("w"), F.col(f"n{k}").alias("n")), "skey")
+        rate = F.when(F.col("words") > 0, F.greatest(F.lit(0.0), F.least(F.lit(float(cap)), F.col("left") / F.col("words")))).otherwise(F.lit(0.0))
+        now = now.select("skey", "n", "left", "words", F.floor(rate).cast("long").alias("whole"), (rate - F.floor(rate)).alias("p"), (F.col("words") - F.col("w")).alias("after"), (F.col("left") - rate * F.col("w")).alias("rest"))
+        now = checkpointed(now)
+        own = _with_sources(rated.where(F.col("kind") == k), now.select("skey", "n", "whole", "p"))
+        done = own.where("p <= 0").select("skey", *ROW, F.col("whole").alias("copies"))
+        done = checkpointed(done.unionByName(_rounded(own.where("p > 0").select("skey", "n", item.alias("item")), now, most[k] or 0, fan_in, seed + 100 * k, cap)))
+        decided.append(done)
+        got = done.groupBy(F.col("skey").alias("gk")).agg(F.sum(F.col("copies") * F.col("size")).alias("got"))
+        left = now.join(got, F.col("skey") == F.col("gk"), "left").select("skey", (F.col("left") - F.coalesce("got", F.lit(0))).alias("left"), F.col("after").alias("words"))
     out = _with_sources(reduce(DataFrame.unionByName, decided), each.select("skey", "source_size", "target"))
     return out.select(F.col("id").alias("doc_id"), "skey", "th", "ord", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 

@@ -32,13 +32,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ids of op7's tokenizer, stored and then dealt to shards of 16-bit ids; </s> ends a document."""
-    import hashlib
-
-    folder = token_output.shard_folder(spark, f"shards-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}")
-    ids = sentencepiece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_file(), keep=True)
-    ids.select("doc_id", "ids").write.mode("overwrite").parquet(f"{folder}-ids")
-    return token_output.materialised(spark.read.parquet(f"{folder}-ids"), folder, ids="ids", dtype="<u2", separator=2, padding=0xFFFF)
+    """The ids of op7's tokenizer, stored and then dealt to shards as wide as its vocabulary needs; </s> ends a document."""
+    import uuid
+
+    folder = token_output.shard_folder(spark, f"shards-{uuid.uuid4().hex}")
+    ids, vocabulary = alignment.piece_ids(table(spark, sf_dir, "documents"), tokenizer_file())
+    ids.write.parquet(f"{folder}-ids")
+    dtype, padding = token_output.width_for(vocabulary)
+    return token_output.materialised(spark.read.parquet(f"{folder}-ids"), folder, ids="ids", dtype=dtype, separator=2, padding=padding)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

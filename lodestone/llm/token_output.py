@@ -8,7 +8,9 @@ moves each id once.  Record j of shard k holds slot k * per_shard + j at byte j
 stopped at a slot goes on from there with one seek (``read_slots``).
 
 Recovery: a shard is written under a temporary name and renamed when whole; a repeated task writes the
-same bytes, and a shard that is there with its length and digest is not written again.
+same bytes, and a shard that is there with its length and digest is not written again.  The manifest is
+written last, by renaming: a folder without one is not complete.  What the shards hold is stored as a table
+beside them, which is the result.
 
 The stream's order is that of a scan's partitions, which both passes must see alike; the second checks
 the first one's counts and fails otherwise.  So the input must be a stored table.
@@ -76,10 +78,11 @@ def shard_name(k: int) -> str:
 
 
 def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: int | None = None, key: int = 20240229, ids: str | None = None, dtype: str = "<u4", separator: int | None = None, padding: int | None = None) -> DataFrame:
-    """Writes the shards when evaluated; slot, shard, byte_offset, sequence, n_tokens, doc_ids, sha256.
+    """Writes the shards and the manifest; slot, shard, byte_offset, sequence, n_tokens, doc_ids, sha256.
 
     Without ``ids`` the ids of a text are its UTF-8 bytes, one byte each.  With the name of an
-    array<int> column they are its values in ``dtype``, with the given separator and padding.
+    array<int> column they are its values in ``dtype``, with the given separator and padding; an id that
+    does not fit or equals the padding is an error.
     per_shard: sequences of a shard; unless given, 4,096, and more beyond 20,000 shards, up to 128 MB.
     The folder gets a manifest of the layout; shards of another layout are removed from it.
     """
@@ -102,8 +105,17 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
     if per_shard is None:
         per_shard = max(1, min(max(4096, -(-n // 20_000)), (128 << 20) // size))
     shards = max(1, -(-n // per_shard))
+    fit = np.iinfo(dtype)
+    if ids is not None and not (fit.min <= separator <= fit.max and fit.min <= padding <= fit.max and separator != padding):
+        raise ValueError(f"separator {separator} and padding {padding} have to differ and to fit {dtype}")
     end = np.array([separator], dtype).tobytes()
-    _lay_out(folder, {"sequences": n, "ids": total, "length": length, "per_shard": per_shard, "shards": -(-n // per_shard), "dtype": dtype, "separator": separator, "padding": padding, "key": key})
+    layout = {"sequences": n, "ids": total, "length": length, "per_shard": per_shard, "shards": -(-n // per_shard), "dtype": dtype, "separator": separator, "padding": padding, "key": key}
+    _make_room(folder, layout)
+
+    def encoded(values: np.ndarray) -> bytes:
+        if len(values) and (values.min() < fit.min or values.max() > fit.max or (values == padding).any()):
+            raise ValueError(f"ids from {values.min()} to {values.max()} do not fit {dtype} beside the padding {padding}")
+        return values.astype(dtype).tobytes()
 
     def cut(batches):
         """Pieces of sequences in stream order: at most one a sequence and batch."""
@@ -112,7 +124,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
         for batch in batches:
             doc_ids, parts, lengths = batch.column("doc_id").to_pylist(), [], []
             for x in batch.column("ids"):
-                raw = x.as_buffer().to_pybytes() if ids is None else x.values.to_numpy(zero_copy_only=False).astype(dtype).tobytes()
+                raw = x.as_buffer().to_pybytes() if ids is None else encoded(x.values.to_numpy(zero_copy_only=False))
                 parts.append(raw + end)
                 lengths.append(len(raw) // width + 1)
             if not parts:
@@ -146,7 +158,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
                 shard = r["shard"]
                 if info and info[-1][0] == r["slot"]:
                     records[-1] += r["ids"]
-                    info[-1][2] += r["doc_ids"] if r["doc_ids"][:1] != info[-1][2][-1:] else r["doc_ids"][1:]
+                    info[-1][2] += r["doc_ids"]  # a document is in one batch, so these are others
                 else:
                     records.append(bytearray(r["ids"]))
                     info.append([r["slot"], r["sequence"], list(r["doc_ids"])])
@@ -168,23 +180,39 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
             digests = [hashlib.sha256(memoryview(got)[(i + j) * size : (i + j + 1) * size]).hexdigest() for j in range(len(part))]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part]), pa.array([shard] * len(part), pa.int32()), pa.array([(i + j) * size for j in range(len(part))], pa.int64()), pa.array([x[1] for x in part]), pa.array(used[i : i + 1024], pa.int32()), pa.array([x[2] for x in part], pa.list_(pa.int64())), pa.array(digests)], ["slot", "shard", "byte_offset", "sequence", "n_tokens", "doc_ids", "sha256"])
 
-    return dealt.mapInArrow(write, "slot long, shard int, byte_offset long, sequence long, n_tokens int, doc_ids array<long>, sha256 string")
+    schema = "slot long, shard int, byte_offset long, sequence long, n_tokens int, doc_ids array<long>, sha256 string"
+    index = f"{folder.rstrip('/')}-index"
+    dealt.mapInArrow(write, schema).write.mode("overwrite").parquet(index)
+    store, base = _filesystem(folder)
+    store.create_dir(base, recursive=True)
+    with store.open_output_stream(f"{base}/{MANIFEST}.tmp") as f:
+        f.write(_manifest_bytes(layout))
+    store.move(f"{base}/{MANIFEST}.tmp", f"{base}/{MANIFEST}")
+    return spark.read.schema(schema).parquet(index)
+
+
+def _manifest_bytes(layout: dict) -> bytes:
+    return json.dumps(layout, sort_keys=True).encode()
 
 
-def _lay_out(folder: str, layout: dict) -> None:
-    """Writes the manifest; where it differs from the one that is there, old shards go."""
+def _make_room(folder: str, layout: dict) -> None:
+    """Takes away the manifest until the shards are whole, and the shards of another layout."""
     from pyarrow import fs
 
     store, base = _filesystem(folder)
     store.create_dir(base, recursive=True)
-    data = json.dumps(layout, sort_keys=True).encode()
-    if _read(store, f"{base}/{MANIFEST}") == data:
-        return
-    for x in store.get_file_info(fs.FileSelector(base)):
-        if x.base_name.startswith("shard-"):
-            store.delete_file(x.path)
-    with store.open_output_stream(f"{base}/{MANIFEST}") as f:
-        f.write(data)
+    known = _read(store, f"{base}/{MANIFEST}")
+    if known is not None:
+        store.delete_file(f"{base}/{MANIFEST}")
+    if known != _manifest_bytes(layout):
+        for x in store.get_file_info(fs.FileSelector(base)):
+            if x.base_name.startswith("shard-"):
+                store.delete_file(x.path)
+
+
+def width_for(vocabulary: int) -> tuple[str, int]:
+    """The narrowest dtype that holds the ids of a vocabulary and a padding id beside them, and that padding."""
+    return ("<u2", 0xFFFF) if vocabulary <= 0xFFFF else ("<u4", 0xFFFFFFFF)
 
 
 def manifest(folder: str) -> dict:

@@ -287,3 +287,10 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     for f in (exact_dedup.exact_groups, exact_dedup.drop_copies, near_dedup.near_groups, near_dedup.drop_similar, fingerprint.document_fingerprints, mixing.mixed, mixing.take_mix):
         assert f(none).count() == 0
+
+
+def test_targets_of_heavy_tails(spark):
+    """Every source comes within one median document of its target, those of a few giants among short texts too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = mixing.mixed(docs).groupBy("skey").agg(F.count("*").alias("n"), F.first("target").alias("target"), F.sum("taken").alias("taken"), F.median("size").alias("m"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()
+    assert all(abs(r.taken - r.target) <= r.m for r in found if r.n >= 30) and all(r.over <= 0 for r in found)

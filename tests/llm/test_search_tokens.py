@@ -265,3 +265,39 @@ def test_packing_of_none_and_digests(spark, docs):
     assert [(r.doc_id, r.start, r.length, r.doc_tokens, r.offset, r.c) for r in row] == [(7, 0, 1, 1, 0, zlib.crc32(np.array([1], "<u4").tobytes()))]
     with pytest.raises(ValueError, match="power of two"):
         packing.packed(docs, file, 1000)
+
+
+# ---------------------------------------------------------------- ids in shards
+
+
+@pytest.mark.parametrize(("values", "dtype", "padding"), [([70_000, 5], "<u2", 0xFFFF), ([0xFFFF], "<u2", 0xFFFF), ([-1], "<u2", 0xFFFF), ([7], "<u4", 7)])
+def test_ids_that_do_not_fit_are_errors(spark, tmp_path, values, dtype, padding):
+    from lodestone.llm import token_output
+
+    df = spark.createDataFrame([(1, [1, 2]), (2, values)], "doc_id long, ids array<int>")
+    df.write.parquet(str(tmp_path / "ids"))
+    with pytest.raises(Exception, match="do not fit"):
+        token_output.materialised(spark.read.parquet(str(tmp_path / "ids")), str(tmp_path / "shards"), 4, ids="ids", dtype=dtype, separator=2, padding=padding)
+    assert not (tmp_path / "shards" / "manifest.json").exists()  # an incomplete folder has none
+
+
+def test_wide_ids_and_equal_neighbours(spark, tmp_path):
+    from lodestone.llm import token_output
+
+    assert token_output.width_for(65_535) == ("<u2", 0xFFFF) and token_output.width_for(65_536) == ("<u4", 0xFFFFFFFF)
+    rows = [(5, [70_000, 0xFFFF, 3]), (5, [9]), (None, [8]), (6, None)]
+    spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1).write.parquet(str(tmp_path / "ids"))
+    dtype, padding = token_output.width_for(70_001)
+    out = token_output.materialised(spark.read.parquet(str(tmp_path / "ids")), str(tmp_path / "shards"), 16, ids="ids", dtype=dtype, separator=2, padding=padding).collect()
+    (slot,) = token_output.read_slots(str(tmp_path / "shards"), 0, 9)
+    assert slot.tolist()[:9] == [70_000, 0xFFFF, 3, 2, 9, 2, 8, 2, 2] and slot.tolist()[9:] == [padding] * 7
+    assert [(r.n_tokens, r.doc_ids) for r in out] == [(9, [5, 5, 6])]
+
+
+def test_piece_ids(docs):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=registry.tokenizer_file())
+    got, size = alignment.piece_ids(docs, registry.tokenizer_file())
+    assert size == 32_000
+    assert sorted(((r.doc_id, r.ids) for r in got.collect()), key=repr) == sorted(((r.doc_id, sp.encode(r.text or "")) for r in docs.collect()), key=repr)
