@@ -1,3 +1,3 @@
 """Named queries over the tables of a data folder; importing this registers them."""
 
-from lodestone.plans import code, graphs, listings, lookups, logs, progress, scans, search, statistics, texts  # noqa: F401
+from lodestone.plans import code, graphs, listings, lookups, logs, progress, scans, search, sources, statistics, texts  # noqa: F401

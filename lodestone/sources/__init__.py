@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import tempfile
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -17,6 +19,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, below the one that the session names; a temporary one only in a local session that names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        base = f"file://{tempfile.mkdtemp(prefix='lodestone-')}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file session JSON, one row per file, newest first by its last_modified."""
     return spark.read.schema(SESSION).option("multiLine", True).json(path).orderBy(F.desc_nulls_last(F.col("metadata")["last_modified"]))
