@@ -29,6 +29,13 @@ def weighted_contains(text: Column, weights: dict[str, float], cap: float = 1.0)
     return F.least(F.lit(cap), sum((F.when(F.contains(low, F.lit(k)), w).otherwise(0.0) for k, w in weights.items()), F.lit(0.0)))
 
 
+def boosted(confidence: Column, text: Column, context: list[str], factor: float, cap: float = 1.0) -> Column:
+    """Confidence times factor for each distinct context word that the text contains, at most cap; null counts as an empty text."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    n = sum((F.contains(low, F.lit(w)).cast("int") for w in dict.fromkeys(c.lower() for c in context)), F.lit(0))
+    return F.least(F.lit(cap), confidence * F.pow(F.lit(factor), n))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from lodestone.catalog import query
-from lodestone.functions import blank_words, jaccard, keyword_score, weighted_contains
+from lodestone.functions import boosted, blank_words, jaccard, keyword_score, weighted_contains
 from lodestone.operators.chunks import chunks as bounded_chunks
 from lodestone.operators.retrieval import keyword_top
 from lodestone.sources import load
@@ -53,6 +53,20 @@ def rule_match(spark, d):
     return x.select("doc_id", "h.rule", "h.severity", F.round(F.least(F.lit(1.0), F.col("h.w") / (2 * F.col("h.threshold"))), 6).alias("confidence"))
 
 
+# Fixed values of this query: context words, the factor of each kind and the confidence that it starts from.
+BOOSTS = {"path": (["token", "secret", "the", "licen"], 1.15, 0.6), "command": (["token", "key", "tion", "@"], 1.2, 0.7)}
+
+
+@query("q_context_boost", " UNION ALL ".join(f"""
+    SELECT doc_id, '{kind}' AS kind, ({" + ".join(f"contains(lower(coalesce(text, '')), '{w}')::INTEGER" for w in words)}) AS hits,
+           round(least(1.0, {start} * pow({factor}, {" + ".join(f"contains(lower(coalesce(text, '')), '{w}')::INTEGER" for w in words)})), 6) AS confidence FROM documents""" for kind, (words, factor, start) in BOOSTS.items()))
+def context_boost(spark, d):
+    """Confidence of two kinds of findings in each text, raised by the context words near them and capped at one."""
+    low = F.lower(F.coalesce("text", F.lit("")))
+    kinds = [F.struct(F.lit(kind).alias("kind"), sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0)).alias("hits"), F.round(boosted(F.lit(start), F.col("text"), words, factor), 6).alias("confidence")) for kind, (words, factor, start) in BOOSTS.items()]
+    return load(spark, d, "documents").select("doc_id", F.inline(F.array(*kinds)))
+
+
 @query("q_security_score", """
     SELECT doc_id, round(least(1.0, CASE WHEN contains(lower(text), 'token') THEN 0.15 ELSE 0 END + CASE WHEN contains(lower(text), 'license') THEN 0.15 ELSE 0 END + CASE WHEN contains(lower(text), '@') THEN 0.05 ELSE 0 END + CASE WHEN contains(lower(text), 'secret') THEN 0.15 ELSE 0 END), 6) AS score FROM documents""")
 def security_score(spark, d):
