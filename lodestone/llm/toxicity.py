@@ -1,7 +1,7 @@
 """Toxicity: a linear-chain conditional random field over words.
 
 Words are runs of letters, lower-cased.  Token labels come from document labels: a word (or
-the beginning of inflected words) whose presence marks toxic training documents far more than others is
+the beginning of inflected words) that is far more frequent in toxic training documents than in others is
 an offending token in toxic documents, and all other tokens are ordinary; every window of every
 sampled document is learned from.  The CRF (two labels) has
 weights for the word itself, its beginnings and its end, the words beside it, and label transitions; it is trained on windows of 32 words by
@@ -137,44 +137,58 @@ def beginnings(word: str) -> list[str]:
 
 
 def offending(texts: list[str], labels: list[int], share: float = 0.03, ratio: float = 9) -> set[str]:
-    """Words and beginnings of words that mark toxic documents: in at least that share of them, and there so many times as often as elsewhere."""
-    toxic, clean = labels.count(1), labels.count(0)
+    """Words and beginnings of words that mark toxic documents: in at least that share of them, and there so many times as
+    frequent among all words as elsewhere.  Occurrences are compared, for a clean document may hold one by chance."""
 
-    def counted(y: int, only: set[str] | None) -> Counter:
-        seen = Counter()
+    def counted(y: int, only: set[str] | None) -> tuple[Counter, Counter, int]:
+        documents, times, words = Counter(), Counter(), 0
         for t, label in zip(texts, labels, strict=True):
             if label == y:
-                found = {b for w in set(words_of(t)) for b in beginnings(w)}
-                seen.update(found if only is None else found & only)
-        return seen
+                found = Counter()
+                for w, n in Counter(words_of(t)).items():
+                    words += n
+                    for b in beginnings(w):
+                        if only is None or b in only:
+                            found[b] += n
+                documents.update(found.keys())
+                times.update(found)
+        return documents, times, words
 
     # only what is frequent in toxic documents is counted in the others
-    often = {w: c for w, c in counted(1, None).items() if c >= max(3, share * toxic)}
-    elsewhere = counted(0, set(often))
-    return {w for w, c in often.items() if c / toxic >= ratio * (elsewhere[w] + 0.5) / clean}
+    documents, times, words = counted(1, None)
+    often = {w for w, c in documents.items() if c >= max(3, share * labels.count(1))}
+    _, elsewhere, others = counted(0, often)
+    return {w for w in often if times[w] * others >= ratio * (elsewhere[w] + 0.5) * words}
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 5, folds: int = 4) -> dict | None:
+def train(texts: list[str], labels: list[int], epochs: int = 6, seed: int = 5, folds: int = 2) -> dict | None:
     """CRF weights of all documents and the document logistic; None without both labels.
 
-    The logistic is fitted on the documents of one fold as a CRF of the other folds sees them, for a CRF is
-    surer of what it has learned from.  Where that leaves a side without both labels, all are used for both.
+    The logistic is fitted on every document as a CRF of the other folds sees it, for a CRF is surer of what
+    it has learned from.  Where a fold lacks a label, the CRF of all documents is used for it.
     """
     if len(set(labels)) < 2:
         return None
-    part = lambda keep: ([x for i, x in enumerate(texts) if keep(i)], [y for i, y in enumerate(labels) if keep(i)])
-    others, held = part(lambda i: i % folds), part(lambda i: i % folds == 0)
     chain = chain_weights(texts, labels, epochs, seed)
-    apart = len(set(others[1])) == len(set(held[1])) == 2
-    return chain | {"logistic": logistic(chain_weights(*others, epochs, seed), *held) if apart else logistic(chain, texts, labels)}
+    part = lambda keep: ([x for i, x in enumerate(texts) if keep(i)], [y for i, y in enumerate(labels) if keep(i)])
+    seen = []
+    for k in range(min(folds, len(texts))):
+        others, held = part(lambda i, k=k: i % folds != k), part(lambda i, k=k: i % folds == k)
+        model = chain_weights(*others, epochs, seed) if len(set(others[1])) == 2 else chain
+        seen.append((*observed(model, held[0]), held[1]))
+    return chain | {"logistic": logistic(*(np.concatenate(x) for x in zip(*seen, strict=True)))}
 
 
-def logistic(model: dict, texts: list[str], labels: list[int]) -> np.ndarray:
-    """Weights of a document's label by its expected number of offending words and its largest marginal."""
+def observed(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Expected number of offending words and largest marginal of each text."""
     chain = Chain(model, 100_000)
     parts = [chain.documents(texts[i : i + 100])[:2] for i in range(0, len(texts), 100)]
-    total, top = (np.concatenate(x) for x in zip(*parts, strict=True))
-    z, y, w = np.stack([np.ones(len(total)), np.log1p(total), top], 1), np.array(labels, float), np.zeros(3)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def logistic(total: np.ndarray, top: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Weights of a document's label by its expected number of offending words and its largest marginal."""
+    z, y, w = np.stack([np.ones(len(total)), np.log1p(total), top], 1), labels.astype(float), np.zeros(3)
     for _ in range(30):  # Newton's method with a small ridge
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         w = w - np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + 1e-2 * np.eye(3), z.T @ (p - y) + 1e-2 * w)

@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import re
 import struct
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodestone.llm import labelled, licenses, quality, secrets, sentencepiece_codec, token_output, toxicity
 
@@ -386,3 +388,13 @@ def test_without_labels_and_empty(spark, docs):
     empty = docs.limit(0)
     for f in (licenses.scan, secrets.secret_report):
         assert f(empty).count() == 0
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="needs the given tables")
+def test_toxicity_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{x}.parquet") for x in ("documents", "labels"))
+    rows = toxicity.toxicity_scores(docs, labels).where("held_out").join(labels.where("toxic is not null").select("doc_id", "toxic"), "doc_id")
+    right = {r.toxic: r.n for r in rows.where("predicted = toxic").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    total = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    assert total == {1: 120, 0: 870}
+    assert right[1] >= 114 and right[0] >= 868
