@@ -35,6 +35,7 @@ from lodestone.llm.common import ensure_checkpoint_dir, whole_text
 
 SEPARATOR, PADDING = 0xFF, 0xFE  # bytes that UTF-8 never has
 MANIFEST = "manifest.json"
+LEVEL = 3  # of zstd, for what is shuffled
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -118,8 +119,8 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
         return values.astype(dtype).tobytes()
 
     def cut(batches):
-        """Pieces of sequences in stream order: at most one a sequence and batch."""
-        p = TaskContext.get().partitionId()
+        """Pieces of sequences in stream order, compressed for the shuffle: at most one a sequence and batch."""
+        p, codec = TaskContext.get().partitionId(), pa.Codec("zstd", compression_level=LEVEL)
         at = first = starts.get(p, 0)
         for batch in batches:
             doc_ids, parts, lengths = batch.column("doc_id").to_pylist(), [], []
@@ -136,7 +137,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
             a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi - 1, "right")
             rows = {
                 "slot": pa.array(permuted(seqs, n, key)), "sequence": pa.array(seqs, pa.int64()), "at": pa.array(lo - seqs * length, pa.int64()),
-                "ids": pa.array([data[(x - at) * width : (y - at) * width] for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary()),
+                "n": pa.array(hi - lo, pa.int32()), "ids": pa.array([codec.compress(data[(x - at) * width : (y - at) * width], asbytes=True) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary()),
                 "doc_ids": pa.array([[d for d in doc_ids[x : y + 1] if d is not None] for x, y in zip(a.tolist(), b.tolist(), strict=True)], pa.list_(pa.int64())),
             }
             at = int(ends[-1])
@@ -144,7 +145,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
         if at - first != counts.get(p, 0):
             raise RuntimeError(f"partition {p} has {at - first} ids now and had {counts.get(p, 0)}: the input is no stored table")
 
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), payload.alias("ids")).mapInArrow(cut, "slot long, sequence long, at long, ids binary, doc_ids array<long>")
+    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), payload.alias("ids")).mapInArrow(cut, "slot long, sequence long, at long, n int, ids binary, doc_ids array<long>")
     pieces = pieces.withColumn("shard", (F.col("slot") / per_shard).cast("int"))
     dealt = pieces.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot", "at")
     pad = np.array([padding], dtype).tobytes()
@@ -152,15 +153,15 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
     def write(batches):
         """Joins the pieces of each slot, writes the shard, and reads the digests back from it."""
         store, base = _filesystem(folder)
-        shard, records, info = None, [], []
+        shard, records, info, codec = None, [], [], pa.Codec("zstd")
         for batch in batches:
             for r in batch.to_pylist():
-                shard = r["shard"]
+                shard, ids_of = r["shard"], codec.decompress(r["ids"], r["n"] * width, asbytes=True)
                 if info and info[-1][0] == r["slot"]:
-                    records[-1] += r["ids"]
+                    records[-1] += ids_of
                     info[-1][2] += r["doc_ids"]  # a document is in one batch, so these are others
                 else:
-                    records.append(bytearray(r["ids"]))
+                    records.append(bytearray(ids_of))
                     info.append([r["slot"], r["sequence"], list(r["doc_ids"])])
         if shard is None:
             return
