@@ -304,8 +304,20 @@ def digested(result: DataFrame) -> DataFrame:
 
 
 
-def piece_ids(docs: DataFrame, model_file: str, memory: int = 128 << 20) -> tuple[DataFrame, int]:
-    """doc_id, ids (array<int>) of every text by a SentencePiece model, a null or empty text having none; the size of its vocabulary."""
+def vocabulary_size(model_file: str) -> int:
+    """Pieces of a SentencePiece model."""
+    with open(model_file, "rb") as f:
+        return len(parse_model(f.read())["pieces"])
+
+
+def piece_ids(docs: DataFrame, model_file: str, packed: str | None = None, memory: int = 128 << 20) -> DataFrame:
+    """doc_id, ids of every text by a SentencePiece model, a null or empty text having none.
+
+    ids is array<int>, or, where ``packed`` names a dtype that holds the vocabulary, their bytes in it: Spark moves
+    and stores one value a text then, not one an id.
+    """
+    if packed is not None and np.iinfo(packed).max < vocabulary_size(model_file) - 1:
+        raise ValueError(f"{packed} does not hold the ids of {model_file}")
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:
         model = f.read()
@@ -327,9 +339,13 @@ def piece_ids(docs: DataFrame, model_file: str, memory: int = 128 << 20) -> tupl
                     numbers, codes, firsts = _columns(part, known, made.apart)
                     ids, lengths = known.listed("ids", numbers[codes]) if len(codes) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
                     ends = np.concatenate([[0], np.cumsum(lengths)])[firsts]
-                    lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                    if packed is None:
+                        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                    else:
+                        places = (ends * np.dtype(packed).itemsize).astype(np.int64)
+                        lists = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(places), pa.py_buffer(ids.astype(packed))]).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays([doc_ids, lists], ["doc_id", "ids"])
         finally:
             trim()
 
-    return _texts(docs).mapInArrow(run, "doc_id long, ids array<int>"), len(parse_model(model)["pieces"])
+    return _texts(docs).mapInArrow(run, f"doc_id long, ids {'array<int>' if packed is None else 'binary'}")

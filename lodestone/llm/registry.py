@@ -36,10 +36,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     folder = token_output.shard_folder(spark, f"shards-{uuid.uuid4().hex}")
-    ids, vocabulary = alignment.piece_ids(table(spark, sf_dir, "documents"), tokenizer_file())
-    # without a dictionary the frequent ids' bytes are what the codec makes small
+    dtype, padding = token_output.width_for(alignment.vocabulary_size(tokenizer_file()))
+    ids = alignment.piece_ids(table(spark, sf_dir, "documents"), tokenizer_file(), packed=dtype)
     ids.write.option("compression", "zstd").option("parquet.enable.dictionary", "false").parquet(f"{folder}-ids")
-    dtype, padding = token_output.width_for(vocabulary)
     return token_output.materialised(spark.read.parquet(f"{folder}-ids"), folder, ids="ids", dtype=dtype, separator=2, padding=padding)
 
 

@@ -83,7 +83,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
 
     Without ``ids`` the ids of a text are its UTF-8 bytes, one byte each.  With the name of an
     array<int> column they are its values in ``dtype``, with the given separator and padding; an id that
-    does not fit or equals the padding is an error.
+    does not fit or equals the padding is an error.  A binary column holds a text's ids in ``dtype`` already.
     per_shard: sequences of a shard; unless given, 4,096, and more beyond 20,000 shards, up to 128 MB.
     The folder gets a manifest of the layout; shards of another layout are removed from it.
     """
@@ -96,6 +96,9 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
             raise ValueError("ids need a separator and a padding id")
         payload, count = F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")), F.coalesce(F.size(ids), F.lit(0)).cast("long") + 1
     width = np.dtype(dtype).itemsize
+    packed = ids is not None and docs.schema[ids].dataType.typeName() == "binary"
+    if packed:
+        payload, count = F.coalesce(ids, F.lit(b"")), F.floor(F.coalesce(F.octet_length(ids), F.lit(0)) / width) + 1
     # one number per partition of the table reaches the driver
     counts = {r.p: r.n for r in docs.select(F.spark_partition_id().alias("p"), count.alias("n")).groupBy("p").agg(F.sum("n").alias("n")).collect()}
     starts, total = {}, 0
@@ -113,6 +116,12 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
     layout = {"sequences": n, "ids": total, "length": length, "per_shard": per_shard, "shards": -(-n // per_shard), "dtype": dtype, "separator": separator, "padding": padding, "key": key}
     _make_room(folder, layout)
 
+    def stored(raw: bytes) -> bytes:
+        """Ids that come as bytes, after a look at them."""
+        if ids is not None and (len(raw) % width or (np.frombuffer(raw, dtype) == padding).any()):
+            raise ValueError(f"{len(raw)} bytes are no ids in {dtype} without the padding {padding}")
+        return raw
+
     def encoded(values: np.ndarray) -> bytes:
         if len(values) and (values.min() < fit.min or values.max() > fit.max or (values == padding).any()):
             raise ValueError(f"ids from {values.min()} to {values.max()} do not fit {dtype} beside the padding {padding}")
@@ -125,7 +134,7 @@ def materialised(docs: DataFrame, folder: str, length: int = 2048, per_shard: in
         for batch in batches:
             doc_ids, parts, lengths = batch.column("doc_id").to_pylist(), [], []
             for x in batch.column("ids"):
-                raw = x.as_buffer().to_pybytes() if ids is None else encoded(x.values.to_numpy(zero_copy_only=False))
+                raw = stored(x.as_buffer().to_pybytes()) if ids is None or packed else encoded(x.values.to_numpy(zero_copy_only=False))
                 parts.append(raw + end)
                 lengths.append(len(raw) // width + 1)
             if not parts:

@@ -297,7 +297,26 @@ def test_wide_ids_and_equal_neighbours(spark, tmp_path):
 def test_piece_ids(docs):
     import sentencepiece
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=registry.tokenizer_file())
-    got, size = alignment.piece_ids(docs, registry.tokenizer_file())
-    assert size == 32_000
-    assert sorted(((r.doc_id, r.ids) for r in got.collect()), key=repr) == sorted(((r.doc_id, sp.encode(r.text or "")) for r in docs.collect()), key=repr)
+    file = registry.tokenizer_file()
+    sp = sentencepiece.SentencePieceProcessor(model_file=file)
+    assert alignment.vocabulary_size(file) == 32_000
+    want = sorted(((r.doc_id, sp.encode(r.text or "")) for r in docs.collect()), key=repr)
+    assert sorted(((r.doc_id, r.ids) for r in alignment.piece_ids(docs, file).collect()), key=repr) == want
+    for dtype in ("<u2", "<u4"):
+        assert sorted(((r.doc_id, np.frombuffer(r.ids, dtype).tolist()) for r in alignment.piece_ids(docs, file, dtype).collect()), key=repr) == want
+    with pytest.raises(ValueError, match="does not hold"):
+        alignment.piece_ids(docs, file, "u1")
+
+
+def test_packed_ids_are_laid_out_as_listed_ones(spark, tmp_path):
+    from lodestone.llm import token_output
+
+    rows = [(5, [70, 300, 3]), (5, [9]), (None, [8]), (6, None), (7, []), (8, list(range(3, 2000)))]
+    spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1).write.parquet(str(tmp_path / "lists"))
+    spark.createDataFrame([(i, None if x is None else np.array(x, "<u2").tobytes()) for i, x in rows], "doc_id long, ids binary").coalesce(1).write.parquet(str(tmp_path / "bytes"))
+    one, two = (token_output.materialised(spark.read.parquet(str(tmp_path / x)), str(tmp_path / f"{x}-shards"), 16, ids="ids", dtype="<u2", separator=2, padding=0xFFFF) for x in ("lists", "bytes"))
+    assert sorted(one.collect()) == sorted(two.collect())
+    for values in (np.array([4, 0xFFFF], "<u2").tobytes(), b"abc"):
+        spark.createDataFrame([(1, values)], "doc_id long, ids binary").write.mode("overwrite").parquet(str(tmp_path / "odd"))
+        with pytest.raises(Exception, match="are no ids"):
+            token_output.materialised(spark.read.parquet(str(tmp_path / "odd")), str(tmp_path / "odd-shards"), 16, ids="ids", dtype="<u2", separator=2, padding=0xFFFF)
