@@ -60,25 +60,70 @@ def smallest_reachable(edges: DataFrame, rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components did not settle within {rounds} rounds")
 
 
-def leaf_first(edges: DataFrame, nodes: DataFrame, rounds: int = 200) -> DataFrame:
+def _chains(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For nodes with one dependency: node, to, w, the first node behind that has none or several, w steps away; and
+    node of those whose only way leads into a cycle.  Every round doubles the steps."""
+    single = e.groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.min("dst").alias("to")).where("n = 1")
+    at = _settled(single.select(F.col("src").alias("node"), "to", F.lit(1).cast("long").alias("w"), F.lit(True).alias("open")))
+    last = None
+    while True:
+        ahead = at.select(F.col("node").alias("k"), F.col("to").alias("further"), F.col("w").alias("more"))
+        joined = at.join(ahead, F.col("to") == F.col("k"), "left")
+        step = _settled(joined.select("node", F.coalesce("further", "to").alias("to"), (F.col("w") + F.coalesce("more", F.lit(0))).alias("w"), F.col("k").isNotNull().alias("open")))
+        number = step.where("open").count()
+        at.unpersist()
+        at = step
+        # a way that ends closes at least one node more in every round
+        if number in (0, last):
+            return at.where("not open").drop("open"), at.where("open").select("node")
+        last = number
+
+
+def leaf_first(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, level: 0 for nodes that depend on nothing, else one more than the highest dependency; null on and above cycles.
 
-    edges: src depends on dst. Each round takes the nodes all of whose dependencies have a level.
+    edges: src depends on dst; edges from other nodes are ignored, other nodes depended on count as 0.  Chains of nodes
+    with one dependency are gone along by doubling; then each round takes the nodes with several, all of whose
+    dependencies have a level, so that there are as many rounds as such nodes on the longest way.
     """
-    e = _settled(edges.where("src <> dst").select("src", "dst").distinct())
-    left = _settled(nodes.select("node").distinct().join(e.select(F.col("src").alias("node")).distinct(), "node", "left_semi"))
-    done = _settled(nodes.select("node").distinct().join(left, "node", "left_anti").withColumn("level", F.lit(0)))
-    for level in range(1, rounds):
-        blocked = e.join(left.withColumnRenamed("node", "l"), F.col("dst") == F.col("l")).select(F.col("src").alias("node")).distinct()
+    known = nodes.select("node").distinct()
+    e = _settled(edges.where("src <> dst").select("src", "dst").distinct().join(known, F.col("src") == F.col("node"), "left_semi"))
+    ways, stuck = _chains(e)
+    several = e.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("src").alias("node"))
+    ends = ways.select(F.col("node").alias("k"), "to", "w")
+    far = e.join(several, F.col("src") == F.col("node"), "left_semi").join(ends, F.col("dst") == F.col("k"), "left")
+    far = _settled(far.groupBy("src", F.coalesce("to", "dst").alias("to")).agg(F.max(F.coalesce("w", F.lit(0)) + 1).alias("w")))
+    left, done = _settled(several), known.sparkSession.createDataFrame([], nodes.select("node").schema).withColumn("level", F.lit(0).cast("long"))
+    parts = []
+    while True:
+        waits = left.union(stuck).withColumnRenamed("node", "k")
+        blocked = far.join(waits, F.col("to") == F.col("k"), "left_semi").select(F.col("src").alias("node"))
         free = left.join(blocked, "node", "left_anti")
-        now = _settled(free.withColumn("level", F.lit(level)))
+        ready = far.join(free, F.col("src") == F.col("node"), "left_semi").join(done.withColumnRenamed("node", "k"), F.col("to") == F.col("k"), "left")
+        now = _settled(ready.groupBy(F.col("src").alias("node")).agg(F.max(F.coalesce("level", F.lit(0)) + F.col("w")).alias("level")))
         if now.isEmpty():
-            return done.union(left.withColumn("level", F.lit(None).cast("int")))
+            break
+        parts.append(now)
         done = done.union(now)
-        left = _settled(left.join(now.select("node"), "node", "left_anti"))
-        if left.isEmpty():
-            return done
-    raise RuntimeError(f"an order needs more than {rounds} rounds")
+        rest = _settled(left.join(now, "node", "left_anti"))
+        none = rest.isEmpty()
+        left.unpersist()
+        left = rest
+        if none:
+            break
+        if len(parts) == 16:
+            # one table instead of many, so that plans stay short
+            done = _settled(done)
+            done.count()
+            for x in parts:
+                x.unpersist()
+            parts = []
+    reached = ways.join(done.withColumnRenamed("node", "k"), F.col("to") == F.col("k"), "left")
+    reached = reached.join(left.select(F.col("node").alias("l")), F.col("to") == F.col("l"), "left")
+    reached = reached.select("node", F.when(F.col("l").isNull(), F.coalesce("level", F.lit(0)) + F.col("w")).alias("level"))
+    never = left.union(stuck).withColumn("level", F.lit(None).cast("long"))
+    levels = done.union(reached).union(never)
+    return known.join(levels, "node", "left").join(e.select(F.col("src").alias("s")).distinct(), F.col("node") == F.col("s"), "left").select("node", F.when(F.col("s").isNull(), 0).otherwise(F.col("level")).cast("int").alias("level"))
 
 
 def simple_paths(edges: DataFrame, start, end, most_edges: int = 5, most_paths: int = 5) -> DataFrame:
