@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import checkpointed, release
+from lodestone.llm.common import compacted, release
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -32,10 +32,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Self links and repeated links are allowed; an empty edge list gives an empty result.
     """
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    e = checkpointed(e)
+    e = compacted(e)
     before = None
     for _ in range(rounds):
-        e = checkpointed(_small_star(_large_star(e)))
+        e = compacted(_small_star(_large_star(e)))
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break

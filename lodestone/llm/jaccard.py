@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, pieces, release, trim, whole_text
+from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, compacted, pieces, release, trim, whole_text
 from lodestone.llm.components import components
 from lodestone.llm.covering import links
 
@@ -159,33 +159,46 @@ def _possible(similar: tuple[int, int], x: str, y: str) -> Column:
     return (F.least(n, m) * b >= F.greatest(n, m) * a) & (apart * (a + b) <= (n + m) * (b - a))
 
 
-def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar: tuple[int, int], together: int = 64) -> DataFrame:
+def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar: tuple[int, int], together: int = 64, at_once: int = 10_000, most: int = 8) -> DataFrame:
     """The pairs u, v whose similarity is large enough, by their sets.
 
     Sets are made again from the texts and sent once: the pairs of one v are dealt to groups of about
-    ``together``, each of which gets the set of v and those of its u.
+    ``together``, each of which gets the set of v and those of its u.  About ``at_once`` sets are sent in one
+    go, by v, and their shuffle is let go before the next, so that not all sets are on disk together; there
+    are at most ``most`` goes, each of which reads the texts.
     """
-    a, b = similar
     spark = docs.sparkSession
-    pairs = checkpointed(pairs.select("u", "v").distinct())
+    pairs = compacted(pairs.select("u", "v").distinct())
     hubs = pairs.groupBy(F.col("v").alias("hv")).agg(F.ceil(F.count(F.lit(1)) / together).alias("groups"))
     dealt = pairs.join(hubs, F.col("v") == F.col("hv")).select("u", "v", F.pmod(F.xxhash64("u"), F.col("groups")).alias("g"))
     sent = dealt.select(F.col("u").alias("to"), "v", "g", F.lit(False).alias("hub")).union(dealt.select("v", "v", "g", F.lit(True)).distinct())
-    sent = bounded_broadcast(checkpointed(sent))
+    sent = compacted(sent)
+    goes = max(1, min(most, -(-sent.count() // at_once)))
+    del dealt, hubs, pairs
+    release(spark)
+    found = None
+    for i in range(goes):
+        part = compacted(_similar(docs, rows, sent.where(F.pmod(F.xxhash64("v", F.lit(5)), F.lit(goes)) == i), k, similar))
+        found = part if found is None else found.union(part)
+        release(spark)
+    return found
+
+
+def _similar(docs: DataFrame, rows: DataFrame, sent: DataFrame, k: int, similar: tuple[int, int]) -> DataFrame:
+    """u, v of those sent to the same groups."""
+    a, b = similar
+    sent = bounded_broadcast(sent)
     asked = sent.select("to").distinct()
     # one row of each node asked for
     chosen = rows.join(asked, F.col("node") == F.col("to"), "left_semi").groupBy("node").agg(F.min(F.struct("th", "doc_id")).alias("x"))
-    chosen = bounded_broadcast(checkpointed(chosen.select(F.col("x.th").alias("c_th"), F.col("x.doc_id").alias("c_id"))))
+    chosen = bounded_broadcast(compacted(chosen.select(F.col("x.th").alias("c_th"), F.col("x.doc_id").alias("c_id"))))
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("t"))
     texts = texts.join(chosen, (F.xxhash64("t") == F.col("c_th")) & F.col("id").eqNullSafe(F.col("c_id")), "left_semi")
     sets = _sets(texts, k).join(sent, F.col("node") == F.col("to")).select("v", "g", F.struct("hub", "node", "set").alias("x"))
     met = sets.groupBy("v", "g").agg(F.collect_list("x").alias("l"))
     met = met.select("v", F.filter("l", lambda x: ~x["hub"]).alias("l"), F.element_at(F.filter("l", lambda x: x["hub"]), 1)["set"].alias("hub"))
     met = met.select("v", F.explode(F.transform("l", lambda x: F.struct(x["node"].alias("u"), F.size(F.array_intersect(x["set"], F.col("hub"))).alias("common"), (F.size(x["set"]) + F.size("hub")).alias("both")))).alias("x"))
-    found = checkpointed(met.where(F.col("x.common") * (a + b) >= F.col("x.both") * a).select("x.u", "v").distinct())
-    del met, sets, texts, chosen, sent, dealt, pairs
-    release(spark)
-    return found
+    return met.where(F.col("x.common") * (a + b) >= F.col("x.both") * a).select("x.u", "v").distinct()
 
 
 def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> DataFrame:
@@ -207,8 +220,8 @@ def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> Da
                 keep[i] = most * (a + b) >= (n[i] + m[i]) * a
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("u_node", "v_node")], ["u", "v"])
 
-    pairs = checkpointed(pairs.select("u_node", "v_node", "u_n", "v_n").distinct())
-    asked = bounded_broadcast(checkpointed(pairs.select(F.explode(F.array("u_node", "v_node")).alias("asked")).distinct()))
+    pairs = compacted(pairs.select("u_node", "v_node", "u_n", "v_n").distinct())
+    asked = bounded_broadcast(compacted(pairs.select(F.explode(F.array("u_node", "v_node")).alias("asked")).distinct()))
     lists = shared.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(F.collect_list(F.struct("h", "at")).alias("l"))
     lists = checkpointed(lists.select("node", F.col("l.h").alias("h"), F.col("l.at").alias("at")))
     both = pairs
@@ -226,6 +239,16 @@ def _shared(rows: DataFrame) -> DataFrame:
     return checkpointed(shared.join(weights, F.col("node") == F.col("k")).select("h", "node", "at", "weight"))
 
 
+def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``shared`` whose bucket holds nodes of several components: within one there is nothing left to say.
+
+    A pair of two components keeps all its common shingles, each of whose buckets holds both.
+    """
+    labels = known.select(F.col("node").alias("k"), "label")
+    ends = shared.select("h", "node").join(labels, F.col("node") == F.col("k")).groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    return checkpointed(shared.join(ends.where("x <> y").select(F.col("h").alias("h2")), F.col("h") == F.col("h2"), "left_semi"))
+
+
 def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2, pivots: tuple[int, ...] = (1, 3)) -> DataFrame:
     """u, v: links whose components are those of "the Jaccard similarity is at least a/b"."""
     a, b = similar
@@ -233,7 +256,6 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int
     nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITY)]))
     found = _decided(docs, rows, links(nodes.where("n > 0").select("node", "fp"), radius), k, similar)
     shared = _shared(rows)
-    release(spark)
 
     def labelled(found: DataFrame) -> DataFrame:
         named = components(found).select(F.col("node").alias("k"), F.col("component").alias("label"))
@@ -244,20 +266,21 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int
 
     apart = F.col("u_label") != F.col("v_label")
     known = labelled(found)
+    shared = _open(shared, known)
+    release(spark)
     for parts in pivots:
         # of a family of copies the member whose shingles are the most common is the nearest to all others
         chosen = shared.groupBy("h", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")).agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
         chosen = chosen.join(told(known, "v_"), F.col("pivot") == F.col("v_node")).withColumnRenamed("h", "v_h")
         met = shared.select("h", F.col("node").alias("k")).join(told(known, "u_"), F.col("k") == F.col("u_node"))
         met = met.join(chosen, F.col("h") == F.col("v_h")).where(apart & _possible(similar, "u_", "v_"))
-        found = checkpointed(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
+        found = compacted(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
         del met, chosen
         known = labelled(found)
+        shared = _open(shared, known)
+        release(spark)
 
-    marked = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", "at", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
-    # a bucket within one component has nothing left to say
-    open_ones = marked.groupBy("h").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(F.col("h").alias("h2"))
-    left = checkpointed(marked.join(open_ones, F.col("h") == F.col("h2"), "left_semi"))
+    left = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", "at", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
     one, two = (left.select(*[F.col(c).alias(f"{x}{c}") for c in left.columns]) for x in ("u_", "v_"))
     # where the first common shingle stands, no more can be common than what the shorter rest has
     rest = F.least(F.col("u_n") - F.col("u_at"), F.col("v_n") - F.col("v_at")) * (a + b) >= (F.col("u_n") + F.col("v_n")) * a

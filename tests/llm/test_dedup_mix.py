@@ -294,3 +294,18 @@ def test_targets_of_heavy_tails(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = mixing.mixed(docs).groupBy("skey").agg(F.count("*").alias("n"), F.first("target").alias("target"), F.sum("taken").alias("taken"), F.median("size").alias("m"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).collect()
     assert all(abs(r.taken - r.target) <= r.m for r in found if r.n >= 30) and all(r.over <= 0 for r in found)
+
+
+def test_sets_sent_in_several_goes_give_the_same_links(spark):
+    from lodestone.llm import jaccard
+    from lodestone.llm.common import checkpointed, compacted
+
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words[: 60 - i % 3], f"x{i}"]) for i in range(9)] + ["other words of no kin to these at all"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = checkpointed(jaccard.shingled(docs, 5, (4, 5)))
+    nodes = [r.node for r in rows.collect()]
+    pairs = spark.createDataFrame([(u, v) for u in nodes for v in nodes if u < v], "u long, v long")
+    one, some = ({tuple(r) for r in jaccard._decided(docs, rows, pairs, 5, (4, 5), at_once=n).collect()} for n in (10_000, 5))
+    assert one == some and one
+    assert compacted(spark.range(100).repartition(64)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
