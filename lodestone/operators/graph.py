@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def dealt(df: DataFrame, by: list[str], rows: int, each: int = 500_000) -> DataFrame:
+    """Deals about so many rows to partitions of ``each``, so that what a task groups does not grow with the input."""
+    return df.repartition(max(1, -(-rows // each)), *by)
+
+
 def degrees(edges: DataFrame) -> DataFrame:
     """node, n_out, n_in over distinct edges src, dst; isolated nodes need their own table."""
     e = edges.select("src", "dst").distinct()
-    ends = e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")).union(e.select("dst", F.lit(0), F.lit(1)))
-    return ends.groupBy("node").agg(F.sum("o").cast("long").alias("n_out"), F.sum("i").cast("long").alias("n_in"))
+    ends = F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")), F.struct(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i")))
+    return e.select(F.inline(ends)).groupBy("node").agg(F.sum("o").cast("long").alias("n_out"), F.sum("i").cast("long").alias("n_in"))
 
 
 def centrality(edges: DataFrame) -> DataFrame:
@@ -20,14 +25,22 @@ def centrality(edges: DataFrame) -> DataFrame:
     return d.crossJoin(F.broadcast(n)).withColumn("centrality", F.when(F.col("n") > 1, (F.col("n_in") + F.col("n_out")) / (2 * (F.col("n") - 1))).otherwise(0.0)).drop("n")
 
 
+def few(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """Stores narrow rows and marks them for broadcast if there are at most so many; beyond that they are joined by a shuffle."""
+    stored = _settled(df)
+    return F.broadcast(stored) if stored.count() <= most else stored
+
+
 def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """node, depth of nodes within so many hops of start (column node), edges followed both ways."""
-    both = edges.select("src", "dst").union(edges.select("dst", "src")).distinct()
-    seen = start.select("node", F.lit(0).alias("depth")).distinct()
-    front = seen
+    """node, depth of nodes within so many hops of start (column node), edges followed both ways.
+
+    Edges may repeat: only the nodes that a hop reaches are made distinct, and a front of few nodes is sent to the edges.
+    """
+    front = few(start.select("node", F.lit(0).alias("depth")).distinct())
+    seen = front
     for d in range(1, depth + 1):
-        step = front.join(both, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        front = step.join(seen, "node", "left_anti").withColumn("depth", F.lit(d))
+        ways = [edges.join(front.select("node"), F.col(a) == F.col("node")).select(F.col(b).alias("node")) for a, b in (("src", "dst"), ("dst", "src"))]
+        front = few(ways[0].union(ways[1]).distinct().join(seen, "node", "left_anti").withColumn("depth", F.lit(d)))
         seen = seen.union(front)
     return seen
 

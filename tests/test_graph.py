@@ -44,3 +44,42 @@ def test_chains_and_cycles(spark):
 def test_no_edges_and_no_nodes(spark):
     assert ordered(spark, [], [1, 2]) == {1: 0, 2: 0}
     assert ordered(spark, [(1, 2)], []) == {}
+
+
+def reached(edges, start, depth):
+    seen = dict.fromkeys(start, 0)
+    for d in range(1, depth + 1):
+        front = {n for n in seen if seen[n] == d - 1}
+        seen |= {y: d for s, t in edges for x, y in ((s, t), (t, s)) if x in front and y not in seen}
+    return seen
+
+
+def test_reachable_sends_the_front_and_keeps_edges_in_place(spark):
+    edges = [(1, 2), (1, 2), (2, 3), (4, 3), (4, 4), (5, 4), (8, 9), (None, 1)]
+    got = graph.reachable(spark.createDataFrame(edges, "src long, dst long"), spark.createDataFrame([(1,)], "node long"), 3)
+    known = [e for e in edges if None not in e]
+    assert {r.node: r.depth for r in got.collect() if r.node is not None} == reached(known, [1], 3)
+    # no shuffle of edges: what is stored of each hop are its nodes
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_edges_are_dealt_by_their_number(spark):
+    edges = spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "src long, dst long")
+    assert graph.dealt(edges, ["src", "dst"], 1_000_001).rdd.getNumPartitions() == 3
+    got = graph.degrees(graph.dealt(edges, ["src", "dst"], 3, each=1)).collect()
+    assert {(r.node, r.n_out, r.n_in) for r in got} == {(1, 1, 0), (2, 1, 1), (3, 0, 1)}
+
+
+@pytest.mark.parametrize("name", ["q_degree_centrality", "q_entry_leaf", "q_graph_stats", "q_xrefs_to"])
+def test_plans_deal_rows_by_their_number(spark, name):
+    from lodestone import catalog
+
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
+def test_expansion_counts_the_neighbours_edges_alone(spark):
+    from lodestone import catalog
+
+    plan = catalog.queries()["q_expansion"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
