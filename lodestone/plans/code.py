@@ -211,12 +211,23 @@ def source_tiers(spark, d):
     return load(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n")).withColumn("tier", tier)
 
 
+def number_windows(text):
+    """Windows of 55 characters around long numbers in a line.
+
+    A window ends within 55 characters of its number, so that the middle of a stretch without digits is in none;
+    it goes, as do lines without a long number, before the windows are matched.
+    """
+    near = F.regexp_replace(text, r"(?<![^0-9\n])(?=[^0-9\n]{111})([^0-9\n]{55})[^0-9\n]+([^0-9\n]{55})", "$1\n$2")
+    lines = F.filter(F.split(near, "\n"), lambda x: F.rlike(x, F.lit("[0-9]{4}")))
+    return F.flatten(F.transform(lines, lambda x: found(x, ".{0,55}[0-9]{4,}.{0,55}")))
+
+
 @query("q_tag_windows", r"""
     WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '.{0,55}[0-9]{4,}.{0,55}')) AS win FROM documents)
     SELECT tag, count(*) AS windows, count(DISTINCT doc_id) AS docs FROM w, (VALUES ('the'), ('er'), ('que')) t(tag) WHERE contains(win, tag) GROUP BY 1""")
 def tag_windows(spark, d):
     """Vocabulary words within 55 characters of long numbers."""
-    w = load(spark, d, "documents").select("doc_id", F.explode(found(F.lower("text"), ".{0,55}[0-9]{4,}.{0,55}")).alias("win"))
+    w = load(spark, d, "documents").select("doc_id", F.explode(number_windows(F.lower("text"))).alias("win"))
     tags = F.array_compact(F.array(*[F.when(F.contains("win", F.lit(t)), F.lit(t)) for t in ("the", "er", "que")]))
     return w.select("doc_id", F.explode(tags).alias("tag")).groupBy("tag").agg(F.count("*").alias("windows"), F.countDistinct("doc_id").alias("docs"))
 
