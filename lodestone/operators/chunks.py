@@ -1,53 +1,49 @@
 """Chunks of bounded length that end at paragraphs, lines or sentences where they can, and overlap.
 
-One regular expression says what a chunk is; its greedy repetitions find the last end of each kind, and
-its alternatives try the kinds in order.  A look-ahead captures the chunk, and what is consumed is the
-chunk without its overlap, so that the next match begins where the next chunk does.  Java's and Python's
-engines read it alike: columns use the first.
+The last end of each kind is searched backwards from the full length, so that a chunk costs a few searches
+however far its end is; columns cut their texts in Python workers, batch by batch.
 """
 
 from __future__ import annotations
 
-import re
-
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What a chunk may end with, best kinds first, and the width of each kind.
-ENDS = [(r"\n\n", 2), (r"\n", 1), (r"\. |[.;}]\n", 2)]
-BLANK = r"[\s\x1c-\x1f]"  # white space at the ends of a chunk goes
+# The marks that a chunk may end with, best kinds first; those of a kind have one width.
+ENDS = [("\n\n",), ("\n",), (". ", ".\n", ";\n", "}\n")]
 
 
-def pattern(most: int, overlap: int, window: int = 2000) -> str:
-    """Matches at the start of each chunk; group 1 is the chunk.
+def cut(text: str, most: int, overlap: int, window: int = 2000) -> list[str]:
+    """The chunks of a text; one that is not over ``most`` characters is a chunk as it is.
 
-    A chunk has at most ``most`` characters.  An end counts if its mark starts in the chunk's last ``window``
-    characters and behind its middle; the next chunk starts ``overlap`` characters before the end, at least one on.
+    An end counts if its mark starts in the chunk's last ``window`` characters and behind its middle; the next
+    chunk starts ``overlap`` characters before the end, at least one on.
     """
-    least = max(most - window, most // 2 + 1)
-    ways = [f"(.{{1,{most}}})(?!.)"]  # the rest of the text
-    for mark, width in [*ENDS, ("", 0)]:
-        low = least + width if width else most  # without any mark a chunk is full
-        behind = f"(?<={mark})" if width else ""
-        if low <= most and most > overlap:
-            ways.append(f"(.{{{max(1, low - overlap)},{most - overlap}}}).{{{overlap}}}{behind}")
-        if low <= (top := min(most, overlap)):  # no longer than the overlap: one character on
-            ways.append(f"(.).{{{low - 1},{top - 1}}}{behind}")
-    consumed = "|".join(rf"\{i}" for i in range(2, len(ways) + 2))
-    return f"(?s)(?=({'|'.join(ways)}))(?:{consumed})"
-
-
-def cut(text: str, most: int, overlap: int, window: int = 2000) -> list[str]:
-    """The chunks of a text; one that is not over ``most`` characters is a chunk as it is."""
     if len(text) <= most:
         return [text]
-    found = (m[1].strip() for m in re.finditer(pattern(most, overlap, window), text))
-    return [x for x in found if x] or [text[:most]]
+    least, start, out = max(most - window, most // 2 + 1), 0, []
+    while True:
+        end = start + most
+        if end >= len(text):
+            end = len(text)
+        else:
+            for marks in ENDS:
+                at = max(text.rfind(m, start + least, end) for m in marks)
+                if at >= 0:
+                    end = at + len(marks[0])
+                    break
+        if chunk := text[start:end].strip():
+            out.append(chunk)
+        if end == len(text):
+            return out or [text[:most]]
+        start = max(start + 1, end - overlap)
 
 
 def chunks(text: Column, most: int, overlap: int, window: int = 2000) -> Column:
     """Array of the chunks of a text; a null or empty text has one empty chunk."""
-    whole = F.coalesce(text, F.lit(""))
-    found = F.transform(F.regexp_extract_all(whole, F.lit(pattern(most, overlap, window)), F.lit(1)), lambda x: F.regexp_replace(x, f"(?U)^{BLANK}+|{BLANK}+$", ""))
-    found = F.filter(found, lambda x: x != "")
-    return F.when(F.length(whole) <= most, F.array(whole)).when(F.size(found) > 0, found).otherwise(F.array(F.substring(whole, 1, most)))
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([cut(t, most, overlap, window) for t in texts])
+
+    return F.pandas_udf(run, "array<string>")(F.coalesce(text, F.lit("")))

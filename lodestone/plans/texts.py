@@ -213,7 +213,11 @@ def chunks(spark, d):
 @query("q_boundary_chunks")
 def boundary_chunks(spark, d):
     """Chunks of at most 1,000 characters that end at a paragraph, line or sentence, and overlap by 100."""
-    return load(spark, d, "documents").select("doc_id", F.posexplode(bounded_chunks(F.col("text"), 1000, 100)).alias("chunk", "body"))
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) is None:
+        spark.conf.set(size, str(4 << 20))  # workers hold a few megabytes of texts, however long these are
+    cut = load(spark, d, "documents").select("doc_id", bounded_chunks(F.col("text"), 1000, 100).alias("c"))
+    return cut.select("doc_id", F.posexplode("c").alias("chunk", "body"))
 
 
 @query("q_keyword_rate", r"""

@@ -116,3 +116,11 @@ def test_chunks_of_a_long_text(spark):
     text = "word and word. " * 200_000
     got = spark.createDataFrame([(text,)], "t string").select(chunks.chunks(F.col("t"), 1000, 100).alias("c")).first().c
     assert got == ends_by_trial(text[:20_000], 1000, 100, 2000)[:15] + got[15:] and len(got) > 3000
+
+
+def test_chunks_without_ends_cost_few_searches():
+    import time
+
+    start = time.process_time()
+    assert len(chunks.cut("x" * 2_000_000, 1000, 100)) == 2223
+    assert time.process_time() - start < 1
