@@ -13,7 +13,8 @@ one pivot and then with three, and what is still apart meets pairwise.  Before s
 (256, one per shingle; they differ in no more bits than the sets do in shingles) or whose places of
 common shingles exclude the similarity: after the last common one of the first shingles no more can be
 common than what is left of the shorter rest.  A bucket whose members are all unlike costs the square
-of its size in parity comparisons.
+of its size in parity comparisons.  Links found later join the components known by then, so that
+components are sought over the new links alone, and steps without pairs end at once.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, compacted, pieces, release, trim, whole_text
+from lodestone.llm.common import bounded_batches, bounded_broadcast, checkpointed, compacted, counted, pieces, release, trim, whole_text
 from lodestone.llm.components import components
 from lodestone.llm.covering import links
 
@@ -168,12 +169,14 @@ def _decided(docs: DataFrame, rows: DataFrame, pairs: DataFrame, k: int, similar
     are at most ``most`` goes, each of which reads the texts.
     """
     spark = docs.sparkSession
-    pairs = compacted(pairs.select("u", "v").distinct())
+    pairs, n = counted(pairs.select("u", "v").distinct())
+    if not n:
+        return pairs
     hubs = pairs.groupBy(F.col("v").alias("hv")).agg(F.ceil(F.count(F.lit(1)) / together).alias("groups"))
     dealt = pairs.join(hubs, F.col("v") == F.col("hv")).select("u", "v", F.pmod(F.xxhash64("u"), F.col("groups")).alias("g"))
     sent = dealt.select(F.col("u").alias("to"), "v", "g", F.lit(False).alias("hub")).union(dealt.select("v", "v", "g", F.lit(True)).distinct())
-    sent = compacted(sent)
-    goes = max(1, min(most, -(-sent.count() // at_once)))
+    sent, n = counted(sent)
+    goes = max(1, min(most, -(-n // at_once)))
     del dealt, hubs, pairs
     release(spark)
     found = None
@@ -191,7 +194,8 @@ def _similar(docs: DataFrame, rows: DataFrame, sent: DataFrame, k: int, similar:
     asked = sent.select("to").distinct()
     # one row of each node asked for
     chosen = rows.join(asked, F.col("node") == F.col("to"), "left_semi").groupBy("node").agg(F.min(F.struct("th", "doc_id")).alias("x"))
-    chosen = bounded_broadcast(compacted(chosen.select(F.col("x.th").alias("c_th"), F.col("x.doc_id").alias("c_id"))))
+    chosen, n = counted(chosen.select(F.col("x.th").alias("c_th"), F.col("x.doc_id").alias("c_id")))
+    chosen = bounded_broadcast(chosen, n=n)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), whole_text().alias("t"))
     texts = texts.join(chosen, (F.xxhash64("t") == F.col("c_th")) & F.col("id").eqNullSafe(F.col("c_id")), "left_semi")
     sets = _sets(texts, k).join(sent, F.col("node") == F.col("to")).select("v", "g", F.struct("hub", "node", "set").alias("x"))
@@ -220,8 +224,11 @@ def _placed(pairs: DataFrame, shared: DataFrame, similar: tuple[int, int]) -> Da
                 keep[i] = most * (a + b) >= (n[i] + m[i]) * a
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("u_node", "v_node")], ["u", "v"])
 
-    pairs = compacted(pairs.select("u_node", "v_node", "u_n", "v_n").distinct())
-    asked = bounded_broadcast(compacted(pairs.select(F.explode(F.array("u_node", "v_node")).alias("asked")).distinct()))
+    pairs, n = counted(pairs.select("u_node", "v_node", "u_n", "v_n").distinct())
+    if not n:
+        return pairs.select(F.col("u_node").alias("u"), F.col("v_node").alias("v"))
+    asked, n = counted(pairs.select(F.explode(F.array("u_node", "v_node")).alias("asked")).distinct())
+    asked = bounded_broadcast(asked, n=n)
     lists = shared.join(asked, F.col("node") == F.col("asked"), "left_semi").groupBy("node").agg(F.collect_list(F.struct("h", "at")).alias("l"))
     lists = checkpointed(lists.select("node", F.col("l.h").alias("h"), F.col("l.at").alias("at")))
     both = pairs
@@ -249,35 +256,51 @@ def _open(shared: DataFrame, known: DataFrame) -> DataFrame:
     return checkpointed(shared.join(ends.where("x <> y").select(F.col("h").alias("h2")), F.col("h") == F.col("h2"), "left_semi"))
 
 
-def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2, pivots: tuple[int, ...] = (1, 3)) -> DataFrame:
-    """u, v: links whose components are those of "the Jaccard similarity is at least a/b"."""
+def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """The nodes, labelled with the smallest node that the links found join them to."""
+    named = components(found).select(F.col("node").alias("k"), F.col("component").alias("label"))
+    return checkpointed(nodes.join(named, F.col("node") == F.col("k"), "left").select(*nodes.columns, F.coalesce("label", "node").alias("label")))
+
+
+def _relabelled(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Labelled nodes after further links: components are sought among the labels that these join."""
+    labels = known.select("node", "label")
+    ends = found.join(labels.select(F.col("node").alias("k"), F.col("label").alias("lu")), F.col("u") == F.col("k"))
+    ends = ends.join(labels.select(F.col("node").alias("l"), F.col("label").alias("lv")), F.col("v") == F.col("l"))
+    named = components(ends.select(F.col("lu").alias("u"), F.col("lv").alias("v"))).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    rest = [c for c in known.columns if c != "label"]
+    return checkpointed(known.join(named, F.col("label") == F.col("old"), "left").select(*rest, F.coalesce("new", "label").alias("label")))
+
+
+def node_labels(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int], radius: int = 2, pivots: tuple[int, ...] = (1, 3)) -> DataFrame:
+    """node, label: the components of "the Jaccard similarity is at least a/b", named by their smallest node."""
     a, b = similar
     spark = docs.sparkSession
     nodes = checkpointed(rows.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "fp", *PARITY)]))
     found = _decided(docs, rows, links(nodes.where("n > 0").select("node", "fp"), radius), k, similar)
-    shared = _shared(rows)
-
-    def labelled(found: DataFrame) -> DataFrame:
-        named = components(found).select(F.col("node").alias("k"), F.col("component").alias("label"))
-        return checkpointed(nodes.join(named, F.col("node") == F.col("k"), "left").select("node", "n", *PARITY, F.coalesce("label", "node").alias("label")))
 
     def told(known: DataFrame, x: str) -> DataFrame:
         return known.select(*[F.col(c).alias(f"{x}{c}") for c in ("node", "label", "n", *PARITY)])
 
     apart = F.col("u_label") != F.col("v_label")
-    known = labelled(found)
-    shared = _open(shared, known)
+    known = _labelled(nodes.select("node", "n", *PARITY), found)
+    shared = _open(_shared(rows), known)
+    del found, nodes
     release(spark)
     for parts in pivots:
+        if shared.isEmpty():
+            return known.select("node", "label")
         # of a family of copies the member whose shingles are the most common is the nearest to all others
         chosen = shared.groupBy("h", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")).agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
         chosen = chosen.join(told(known, "v_"), F.col("pivot") == F.col("v_node")).withColumnRenamed("h", "v_h")
         met = shared.select("h", F.col("node").alias("k")).join(told(known, "u_"), F.col("k") == F.col("u_node"))
         met = met.join(chosen, F.col("h") == F.col("v_h")).where(apart & _possible(similar, "u_", "v_"))
-        found = compacted(found.union(_decided(docs, rows, _placed(met, shared, similar), k, similar)))
+        found = _decided(docs, rows, _placed(met, shared, similar), k, similar)
         del met, chosen
-        known = labelled(found)
-        shared = _open(shared, known)
+        if not found.isEmpty():
+            known = _relabelled(known, found)
+            shared = _open(shared, known)
+        del found
         release(spark)
 
     left = checkpointed(shared.join(told(known, "x_"), F.col("node") == F.col("x_node")).select("h", "at", *[F.col(f"x_{c}").alias(c) for c in ("node", "label", "n", *PARITY)]))
@@ -285,11 +308,12 @@ def node_links(docs: DataFrame, rows: DataFrame, k: int, similar: tuple[int, int
     # where the first common shingle stands, no more can be common than what the shorter rest has
     rest = F.least(F.col("u_n") - F.col("u_at"), F.col("v_n") - F.col("v_at")) * (a + b) >= (F.col("u_n") + F.col("v_n")) * a
     pairs = one.join(two, (F.col("u_h") == F.col("v_h")) & (F.col("u_node") < F.col("v_node")) & apart & rest & _possible(similar, "u_", "v_"))
-    return found.union(_decided(docs, rows, _placed(pairs, shared, similar), k, similar))
+    found = _decided(docs, rows, _placed(pairs, shared, similar), k, similar)
+    return (known if found.isEmpty() else _relabelled(known, found)).select("node", "label")
 
 
 def similar_rows(docs: DataFrame, k: int = 5, similar: tuple[int, int] = (4, 5)) -> DataFrame:
     """doc_id, th, component: every row's group of similarity a/b or more, also through others."""
     rows = checkpointed(shingled(docs, k, similar))
-    member = components(node_links(docs, rows, k, similar))
-    return rows.select("doc_id", "th", "node").join(member.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("doc_id", "th", F.coalesce("component", "node").alias("component"))
+    known = node_labels(docs, rows, k, similar).withColumnRenamed("node", "k")
+    return rows.select("doc_id", "th", "node").join(known, F.col("node") == F.col("k")).select("doc_id", "th", F.col("label").alias("component"))

@@ -309,3 +309,31 @@ def test_sets_sent_in_several_goes_give_the_same_links(spark):
     one, some = ({tuple(r) for r in jaccard._decided(docs, rows, pairs, 5, (4, 5), at_once=n).collect()} for n in (10_000, 5))
     assert one == some and one
     assert compacted(spark.range(100).repartition(64)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_links_found_later_join_known_components(spark):
+    from lodestone.llm import jaccard
+
+    first, later = [(2, 1), (4, 3), (6, 5), (5, 7)], [(4, 2), (9, 7), (3, 1)]
+    nodes = spark.createDataFrame([(i,) for i in range(1, 11)], "node long")
+    one, two = (spark.createDataFrame(x, "u long, v long") for x in (first, later))
+    got = {r.node: r.label for r in jaccard._relabelled(jaccard._labelled(nodes, one), two).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5, 7: 5, 8: 8, 9: 5, 10: 10}
+
+
+def test_near_dedup_asks_few_queries(spark):
+    """The driver keeps a record of each query: components of stars take no round, and steps without pairs end."""
+
+    def queries(f):
+        before = spark._jsparkSession.sharedState().statusStore().executionsCount()
+        out = f()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return out, spark._jsparkSession.sharedState().statusStore().executionsCount() - before
+
+    stars = spark.createDataFrame([(3, 1), (2, 1), (9, 8)], "u long, v long")
+    got, n = queries(lambda: components.components(stars).collect())
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)] and n <= 3
+    texts = [" ".join(f"{a}{i}" for i in range(40)) for a in "xyz"]
+    df = spark.createDataFrame(list(enumerate([*texts, texts[0] + " more"])), "doc_id long, text string")
+    got, n = queries(lambda: sorted(r.doc_id for r in near_dedup.drop_similar(df).collect()))
+    assert got == [0, 1, 2] and n <= 40, n
