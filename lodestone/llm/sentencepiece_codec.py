@@ -3,14 +3,16 @@
 The model file is parsed (a small protobuf reader, no generated code) and rebuilt: its normaliser
 (identity, dummy prefix, extra white space), the metaspace marker, byte fallback, and either a Unigram
 model from the piece scores or, for a BPE model, the merges that its scores rank.  Batches of whole
-texts are encoded, new words by the library's threads, and turned back into text; ``verify`` encodes
+texts are encoded, new words alone, and turned back into text; ``verify`` encodes
 every text with the SentencePiece library too and compares.  ``decoded`` is the tokenizer's decoder.
 
 The model's path is a parameter and may be any file that the driver reads; its bytes travel to the
 executors with the task, whose size is that of one vocabulary.
 
 Where no piece of the vocabulary has the marker after another character (this is checked), merges never
-cross the start of a run of blanks: words are encoded apart, and very long texts in segments.
+cross the start of a run of blanks: words are encoded apart, and very long texts in segments.  Where all
+bytes have pieces, texts are cut further, between characters that no piece joins, directly or through
+others (letters and punctuation, say).
 
 Nulls and ties: a null text is empty and has no ids; every row is encoded by itself; a null doc_id is
 kept; an empty table gives an empty result; other columns are ignored by ``encoded``.
@@ -22,7 +24,9 @@ import hashlib
 import os
 import re
 import struct
-from itertools import accumulate, chain, pairwise
+from array import array
+from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -144,15 +148,63 @@ def build_tokenizer(data: bytes):
     return t
 
 
+def parts_of(m: dict, most: int = 8):
+    """A function from a text, with markers for blanks, to parts that are encoded apart.
+
+    A piece lies in one class of characters, after any markers: two characters that stand together in a piece
+    are in one class.  The ``most`` largest classes are told apart, the others make up one; a character that
+    stands in no piece with another is a part.  Without all byte pieces neighbouring unknown characters are
+    joined, so that texts are only cut where runs of markers start.
+    """
+    if not m["byte_fallback"] or sum(kind == BYTE for _, _, kind in m["pieces"]) < 256:
+        return CUT
+    pieces = [p for p, _, kind in m["pieces"] if m["kind"] == UNIGRAM or kind in (NORMAL, USER)]
+    root: dict[str, str] = {}
+
+    def find(c: str) -> str:
+        while root.setdefault(c, c) != c:
+            c = root[c]
+        return c
+
+    for p in pieces:
+        p = p.lstrip(MARK)
+        if MARK in p:
+            return CUT
+        for a, b in zip(p, p[1:]):
+            root[find(a)] = find(b)
+    classes = defaultdict(list)
+    for c in root:
+        classes[find(c)].append(c)
+    large = sorted(classes.values(), key=lambda x: (-len(x), min(x)))
+    large = [*large[:most], list(chain.from_iterable(large[most:]))]
+    runs = [f"[{''.join(map(re.escape, x))}]+" for x in large if x]
+    return re.compile(f"{MARK}*(?:{'|'.join([*runs, f'[^{MARK}]'])})|{MARK}+", re.DOTALL).findall
+
+
+class _Ids(dict):
+    """Little-endian ids of parts, found when they are first asked for, or when they are not among ``older``."""
+
+    def __init__(self, found, older: dict[str, bytes]):
+        self.found, self.older, self.used = found, older, 0
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = array("i", self.found(part)).tobytes()
+        self[part] = ids
+        self.used += len(part) + len(ids) + 200  # two objects and an entry
+        return ids
+
+
 _built: dict[str, object] = {}
 
 
 class Codec:
     """Encodes whole texts, and compares each one's ids with the text and with the SentencePiece library's.
 
-    Where no merge crosses the start of a run of blanks the tokenizer sees every distinct cut between such
-    starts once, and the ids of a text are joined from those of its cuts; up to ``room`` bytes of them are
-    kept.  Texts over ``longest`` characters are taken in segments that end where a cut does, so that the
+    Where no merge crosses the start of a run of blanks the tokenizer sees every distinct part (``parts_of``)
+    once while it is known, and the ids of a text are joined from those of its parts.  About ``room`` bytes of
+    them are kept: those asked for since half as much was, and those that were kept before.  Texts over ``longest`` characters are taken in segments that end where a cut does, so that the
     libraries' tables follow the segment and not the text; shorter texts are one segment.
     """
 
@@ -162,11 +214,11 @@ class Codec:
         self.cuts = m["dummy_prefix"] and not m["squeeze"] and not m["charsmap"] and self.tokenizer.pre_tokenizer is not None
         if self.cuts:  # cuts are normalised already, and bring their first blank along: the dummy prefix or the text's
             self.tokenizer.normalizer = self.tokenizer.pre_tokenizer = None
+        self.parts, self.model = parts_of(m), self.tokenizer.model
         self.blank = "" if self.cuts or not m["dummy_prefix"] else " "
         # what each id stands for, as bytes: byte pieces join to characters
         self.surface = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m["pieces"]]
-        self.known: dict[str, bytes] = {}
-        self.used = 0
+        self.known = _Ids(self.alone, {})
         if verify:
             import sentencepiece
 
@@ -181,36 +233,30 @@ class Codec:
             at = found.start()
         return [*out, padded[at:]] if padded else []
 
-    def apart(self, pieces: list[str]) -> list[bytes]:
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        raw = np.array(list(chain.from_iterable(lists)), "<i4").tobytes()
-        ends = list(accumulate(map(len, lists), initial=0))
-        return [raw[4 * i : 4 * j] for i, j in pairwise(ends)]
+    def alone(self, text: str) -> list[int]:
+        # a part is normalised and no longer divided: the model alone has its say
+        return [x.id for x in self.model.tokenize(text)]
 
     def joined(self, segments: list[str]) -> list[bytes]:
-        """Little-endian ids of segments, from those of their cuts."""
-        cut = [CUT(x.replace(" ", MARK)) for x in segments]
-        if self.used > self.room:
-            self.known, self.used = {}, 0
-        found = [list(map(self.known.get, x)) for x in cut]
-        new = list({c for x, ids in zip(cut, found, strict=True) if None in ids for c, i in zip(x, ids, strict=True) if i is None})
-        for i in range(0, len(new), 4096):  # the library's encodings take kilobytes each until they are read
-            part = new[i : i + 4096]
-            ids = self.apart(part)
-            self.known.update(zip(part, ids, strict=True))
-            self.used += sum(map(len, part)) + sum(map(len, ids)) + 200 * len(part)  # two objects and an entry each
-        return [b"".join(map(self.known.__getitem__, x) if None in ids else ids) for x, ids in zip(cut, found, strict=True)]
+        """Little-endian ids of segments, from those of their parts."""
+        out = []
+        for x in segments:
+            if self.known.used > self.room // 2:
+                self.known.older = {}
+                self.known = _Ids(self.alone, self.known)
+            out.append(b"".join(map(self.known.__getitem__, self.parts(x.replace(" ", MARK)))))
+        return out
 
     def forget(self) -> None:
-        """Drops the kept cuts."""
-        self.known, self.used = {}, 0
+        """Drops the kept parts."""
+        self.known = _Ids(self.alone, {})
         trim()
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool | None]]:
         """Little-endian ids, round_trip and parity (None without the library) of every text."""
         cut = [self.segments(t) for t in texts]
         flat = [x for xs in cut for x in xs]
-        raw = self.joined(flat) if self.cuts else self.apart(flat)
+        raw = self.joined(flat) if self.cuts else [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(flat, add_special_tokens=False)]
         numbers = [np.frombuffer(x, "<i4").tolist() for x in raw]
         back = [b"".join(map(self.surface.__getitem__, i)) == (self.blank + x).encode() for i, x in zip(numbers, flat, strict=True)]
         same = [None] * len(flat)
@@ -241,8 +287,8 @@ def encoded(docs: DataFrame, model_file: str, verify: bool = False, threads: int
     """doc_id, ids array<int>, round_trip boolean, parity boolean (null unless verify) for every row.
 
     round_trip: what the ids stand for is the text.  parity: the SentencePiece library gives the same ids
-    for the text.  threads: of the tokenizers library, per task.  keep: a Python worker keeps its cuts (64 MB
-    at most) for its next task, which is faster; without it other operators get that memory back.
+    for the text.  threads: of the tokenizers library, per task.  keep: a Python worker keeps its parts (about
+    64 MB) for its next task, which is faster; without it other operators get that memory back.
     """
     bounded_batches(docs.sparkSession)
     with open(model_file, "rb") as f:

@@ -233,6 +233,20 @@ def test_rebuilt_models(kind, prefix, longest):
         assert max(map(len, map(codec.segments, texts))) > 20
 
 
+def test_words_are_encoded_by_parts_that_no_piece_joins():
+    """A hundred words of twenty parts: letters, and a mark that stands in no piece with them."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    data = model_file(sentencepiece_codec.BPE)
+    library, codec = sentencepiece.SentencePieceProcessor(model_proto=data), sentencepiece_codec.Codec(data, False)
+    some = ["".join(x) for x in itertools.product("abé", repeat=3)][:10]
+    texts = [f"{x}!{y}" for x in some for y in some]
+    assert [np.frombuffer(x, "<i4").tolist() for x in codec.encode(texts)[0]] == [library.encode(t) for t in texts]
+    assert len(codec.known) == 21
+    codec.room = 2  # what is asked for again is still known
+    codec.alone = codec.known.found = lambda part: pytest.fail(f"{part} is encoded again")
+    codec.encode(texts[:1] * 9)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 257, 1000])
 def test_permutation_is_a_bijection(n):
     assert sorted(token_output.permuted(np.arange(n), n, 7)) == list(range(n))
