@@ -12,7 +12,8 @@ block, and a lost task is done again from the same rows with the same result.  S
 partition x 2^33 + a count in the partition.
 
 Tokens: words are encoded apart (the pre-tokenizer drops white space, so that no token reaches over it)
-and each distinct one once while it is remembered.
+and each distinct one once while it is remembered.  Where the pre-tokenizer is the usual one of word
+vocabularies, texts are cut as it cuts them, so that a word is the same one whatever stands around it.
 
 Nulls and ties: a null or empty text is just the end id; each row is a document, rows that repeat an id
 too; a null doc_id is kept; an empty table gives an empty result; other columns are ignored.  A very
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -184,11 +185,11 @@ def packed(docs: DataFrame, tokenizer_file: str, length: int = 2048, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        def remembering() -> Known:
+        def remembering() -> tuple[Known, Callable | None]:
             words = Words(shared.value)
-            return Known(lambda chunks: ({}, {"ids": words.flat(chunks)}), memory)
+            return Known(lambda parts: ({}, {"ids": words.parts_flat(parts)}), memory), words.cut
 
-        known, block = kept(key, remembering), Block()
+        (known, cut), block = kept(key, remembering), Block()
         sequence = TaskContext.get().partitionId() << 33
         try:
             for batch in batches:
@@ -196,8 +197,8 @@ def packed(docs: DataFrame, tokenizer_file: str, length: int = 2048, end: int =
                 for part in pieces(batch.column("t"), 1 << 21):
                     doc_ids = batch.column("doc_id").slice(at, len(part)).to_pylist()
                     at += len(part)
-                    numbers, codes, firsts, _ = chunked(part, known)
-                    ids, lengths = known.listed("ids", numbers[codes]) if len(codes) else (np.empty(0, ID), np.empty(0, np.int64))
+                    numbers, codes, firsts, _ = chunked(part, known, cut)
+                    ids, lengths = known.listed("ids", numbers, codes) if len(codes) else (np.empty(0, ID), np.empty(0, np.int64))
                     ends = np.concatenate([[0], np.cumsum(lengths)])[firsts].tolist()
                     rows: list[tuple] = []
                     for doc_id, a, b in zip(doc_ids, ends, ends[1:], strict=False):

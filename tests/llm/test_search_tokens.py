@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import alignment, packing, ranked, registry
-from lodestone.llm.wordwise import Words, byte_characters
+from lodestone.llm.wordwise import Known, Words, byte_characters, chunked
 
 SCHEMA = "doc_id long, text string, ids string, t string, n string, row string, item string"
 ODD = ["", None, " ", "   ", "tail ", "tail  ", "a  b\n\n c\td", "nbsp  x 　 y", "file\x1c sep", "x▁y z", "<|endoftext|> and </s> <s> <0x41>", "it's 'S O'Clock we'll", "déjà ÉTÉ İstanbul ŉ ΟΔΟΣ é", "漢字 かな 🙂 \x00 end", "12 345.67 --- ???", "ſtraße Ǆ ÿ", "w" * 5000, "blank " * 3000]
@@ -258,6 +258,65 @@ def test_packing(spark, docs, length, room):
     assert all(left[k] == n * len(k[1]) for k, n in single.items()) and sum(p.length for p in pieces) == sum(n * len(k[1]) for k, n in want.items())
 
 
+def encoded_by_parts(words, texts, room=1 << 20):
+    """Ids of each text, and the parts that were learnt."""
+    import pyarrow as pa
+
+    seen = []
+
+    def learn(parts):
+        seen.extend(parts)
+        return {}, {"ids": words.parts_flat(parts)}
+
+    numbers, codes, firsts, _ = chunked(pa.array(texts), known := Known(learn, room), words.cut)
+    ids, lengths = known.listed("ids", numbers, codes)
+    ends = np.concatenate([[0], np.cumsum(lengths)])[firsts].tolist()
+    return [ids[a:b].tolist() for a, b in pairwise(ends)], seen
+
+
+def test_words_are_encoded_once_whatever_stands_around_them():
+    from tokenizers import Tokenizer
+
+    file = registry.tokenizer_file("word_bpe_49k.json")
+    texts = ["word", "Word, (word).\nWORD's\tword!", "", " \n", "x1word2", "漢字 word 漢字", "word<|endoftext|>"]
+    got, seen = encoded_by_parts(Words(open(file).read()), texts)
+    assert got == [e.ids for e in Tokenizer.from_file(file).encode_batch(texts, add_special_tokens=False)]
+    assert sorted(seen) == sorted([b"word", b",", b"(", b").", b"'s", b"!", b"x", b"1", b"2", "漢字".encode(), " 漢字".encode(), b"word<|endoftext|>"])
+
+
+def test_parts_are_those_of_the_pre_tokenizer():
+    from tokenizers import Tokenizer
+
+    file, rng = registry.tokenizer_file("word_bpe_49k.json"), random.Random(3)
+    words, t = Words(open(file).read()), Tokenizer.from_file(file)
+    atoms = [*"'stmdrlveSTLVaÀé×÷İıßſǅɐɏªº01² \n\t\r\v\x00\x1c\x7f<|>/.-_\"中яΣς\u0301\u0338\u00a0\u0085\u2003\u200b\u212a", "<|", "<|endoftext|>", "</w>", "'re", "'LL", "''", "é", "🙂"]
+    texts = [x for x in ODD if x is not None] + ["".join(rng.choices(rng.sample(atoms, rng.choice([4, 12, len(atoms)])), k=rng.randint(0, 12))) for _ in range(4000)]
+    assert encoded_by_parts(words, texts)[0] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert all(encoded_by_parts(words, [x])[0] == [t.encode(x, add_special_tokens=False).ids] for x in texts[:300] if x.strip())
+
+
+def test_other_word_vocabularies_are_not_cut_into_parts(spark, docs, tmp_path):
+    """Another pattern, other special tokens or a missing byte: chunks go the way they went."""
+    from tokenizers import Tokenizer
+
+    about = json.load(open(registry.tokenizer_file("word_bpe_49k.json")))
+    pattern = about["pre_tokenizer"]["pretokenizers"][0]["pattern"]
+    kinds = [json.loads(json.dumps(about)) for _ in range(3)]
+    kinds[0]["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": pattern["Regex"].replace("[\\p{N}]|", "[\\p{N}]+|")}
+    kinds[1]["added_tokens"][0]["content"] = "[x]"
+    kinds[2]["model"]["vocab"]["none</w>"] = kinds[2]["model"]["vocab"].pop("q</w>")
+    kinds[2]["model"]["merges"] = [m for m in kinds[2]["model"]["merges"] if not (m if isinstance(m, str) else " ".join(m)).endswith("q</w>")]
+    texts = ["word 12,345 [x] Q q's x", "a"]
+    for i, kind in enumerate(kinds):
+        (path := tmp_path / f"{i}.json").write_text(json.dumps(kind))
+        words = Words(path.read_text())
+        assert words.cut is None
+        assert encoded_by_parts(words, texts[1:])[0] == [Tokenizer.from_file(str(path)).encode("a", add_special_tokens=False).ids]
+    path = str(tmp_path / "0.json")
+    pieces = packing.packed(spark.createDataFrame([(1, texts[0])], "doc_id long, text string"), path).orderBy("start").collect()
+    assert np.frombuffer(b"".join(p.ids for p in pieces), "<u4").tolist() == [*Tokenizer.from_file(path).encode(texts[0], add_special_tokens=False).ids, 1]
+
+
 def test_packing_of_none_and_digests(spark, docs):
     file = registry.tokenizer_file("word_bpe_49k.json")
     assert packing.packed(docs.limit(0), file).count() == 0
